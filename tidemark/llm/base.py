@@ -107,5 +107,5 @@ def shingles(hashes, n: int = 5):
     m = len(h) - n + 1 if n else 0
     out = np.full(m, n, dtype=np.uint64)
     for k in range(n):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[k : k + m])
-    return out
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h[k : k + m]
+    return mixed(out)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, host_rules, packing, token_count
+from . import exact_dedup, host_rules, langid, license_scan, minhash_join, packing, token_count
 from .base import table
 
 #: Vocabularies of the production queries.
@@ -25,11 +25,23 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(PACK_VOCABULARY))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
+def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.minhash_join(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_host_rules, op3_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_host_rules, op3_packing, op6_language_id, op7_license_scan, op8_minhash_join, op10_token_counts)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
@@ -74,5 +86,20 @@ f AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND gone.source IS NULL AS kept
 FROM b LEFT JOIN gone ON b.source = gone.source
+""",
+    "op8_minhash_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS l FROM documents),
+t AS (SELECT array_to_string(l, ' ') AS cls, min(doc_id) AS text_id, count(*) AS n_copies, any_value(l) AS l FROM d GROUP BY cls),
+g AS (SELECT DISTINCT text_id, array_to_string(l[i:i + 4], ' ') AS gram
+  FROM (SELECT text_id, l, unnest(range(1, greatest(len(l) - 3, 2))) AS i FROM t WHERE len(l) > 0)),
+n AS (SELECT text_id, count(*) AS n FROM g GROUP BY text_id),
+p AS (SELECT a.text_id AS a, b.text_id AS b, count(*) AS both_have FROM g a JOIN g b ON a.gram = b.gram AND a.text_id < b.text_id GROUP BY 1, 2),
+k AS (SELECT a, b FROM p JOIN n x ON x.text_id = a JOIN n y ON y.text_id = b WHERE both_have >= 0.8 * (x.n + y.n - both_have)),
+e AS (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
+reach AS (SELECT a AS v, a AS u FROM e UNION SELECT reach.v, e.b FROM reach JOIN e ON e.a = reach.u),
+c AS (SELECT v, min(u) AS class_id FROM reach GROUP BY v),
+links AS (SELECT a AS v, count(*) AS n_links FROM e GROUP BY a)
+SELECT doc_id, coalesce(c.class_id, t.text_id) AS class_id, coalesce(n_links, 0) AS n_links, t.text_id, n_copies
+FROM d JOIN t ON array_to_string(d.l, ' ') = t.cls LEFT JOIN c ON c.v = t.text_id LEFT JOIN links ON links.v = t.text_id
 """,
 }
