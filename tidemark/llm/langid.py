@@ -28,6 +28,8 @@ DIM = 1024
 #: Labelled documents of a language that its prototype is fitted on, about.
 FIT_DOCS = 10_000
 UNKNOWN = "und"
+#: Cosines under this are those of unrelated vectors (about 1 / sqrt(DIM)).
+LEAST_SCORE = 0.03
 #: Characters of a text that are counted at a time.
 BLOCK = 1 << 20
 
@@ -174,6 +176,27 @@ def identify(docs: DataFrame, prototypes: list[tuple[str, list[int]]]) -> DataFr
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held, "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, prototypes: list[tuple[str, list[int]]], least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of docs with a language, with all their columns; a score under `least` is no language."""
+    prepare(docs.sparkSession)
+    at = docs.columns.index("text")
+    names, vectors = [k for k, _ in prototypes], [v for _, v in prototypes]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        p = np.array(vectors, np.float64).reshape(len(names), DIM)
+        p = (p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)).T
+        for b in batches:
+            v = bundles(b.column(at).to_pylist()).astype(np.float64)
+            size = np.linalg.norm(v, axis=1)
+            ok = (size > 0) & ((v @ p).max(1) >= least * size) if names else size < 0
+            yield b.filter(pa.array(ok, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def language_id(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     return identify(docs, fit(training_rows(docs)))

@@ -273,8 +273,11 @@ def minhash_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """The rows of docs but those of a class that another document stands for; one of each class stays, with all columns.
 
-    Of rows that repeat the id and words of the one that stays, all stay: exact dedup removes those.
+    An id goes only where none of its rows stands for a class. Rows that repeat the id and words of the one that stays
+    all stay (exact dedup removes those), and so do rows of null id.
     """
     members, classes = near_groups(docs, similarity, recall)
-    gone = staged(members.join(classes, "cls").filter("not doc_id <=> class_id").select(F.col("doc_id").alias("__tm_gone")), "gone")
-    return docs.join(_side(gone.filter("__tm_gone is not null").distinct()), F.col("doc_id").cast("long") == F.col("__tm_gone"), "left_anti")
+    told = members.join(classes, "cls").select("doc_id", "class_id")
+    gone = told.filter("doc_id <> class_id").select("doc_id").distinct().join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_anti")
+    gone = staged(gone.select(F.col("doc_id").alias("__tm_gone")), "gone")
+    return docs.join(_side(gone), F.col("doc_id").cast("long") == F.col("__tm_gone"), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, host_rules, langid, license_scan, minhash_join, packing, token_count
+from . import exact_dedup, host_rules, langid, license_scan, lm_score, minhash_join, mixing, packing, pseudonyms, token_count
 from .base import table
 
 #: Vocabularies of the production queries.
@@ -25,6 +25,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(PACK_VOCABULARY))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
@@ -37,11 +45,15 @@ def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.minhash_join(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_host_rules, op3_packing, op6_language_id, op7_license_scan, op8_minhash_join, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_host_rules, op3_packing, op4_mixing, op5_pseudonyms, op6_language_id, op7_license_scan, op8_minhash_join, op9_lm_scores, op10_token_counts)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
