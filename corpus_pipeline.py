@@ -2,9 +2,47 @@
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+import public_tokenizers
+from tidemark.llm import exact_dedup, langid, minhash_join, mixing, packing
+from tidemark.llm.base import staged, table
+from tidemark.llm.queries import PACK_VOCABULARY
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language go."""
+    return langid.keep_known(docs, langid.fit(langid.training_rows(docs)))
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts stays."""
+    return exact_dedup.keep_first(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays."""
+    return minhash_join.keep_one(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the order of the mixed stream, those of small sources in several epochs."""
+    return mixing.mixed(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences, a row for each piece."""
+    return packing.packed(docs, public_tokenizers.path(PACK_VOCABULARY))
+
+
+STAGES = [("language", language), ("exact copies", exact_copies), ("near copies", near_copies), ("mixture", mixture), ("sequences", sequences)]
+
+#: Language profiles, banding, scheduling and tokens are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
