@@ -1 +1 @@
-
+"""Column functions: text, dates and identifiers."""

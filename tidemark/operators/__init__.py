@@ -1 +1 @@
-
+"""Stages: every function takes DataFrames and returns a lazy DataFrame."""

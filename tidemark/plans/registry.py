@@ -1,4 +1,8 @@
 """Every query of the engine by name, and the DuckDB SQL that gives the same rows."""
 
-QUERIES = {}
-ORACLES = {}
+from . import captions, corpora, histories, labels
+
+QUERIES, ORACLES = {}, {}
+for _module in (histories, corpora, captions, labels):
+    QUERIES |= _module.QUERIES
+    ORACLES |= _module.ORACLES

@@ -1 +1 @@
-
+"""Resumable incremental runs on Structured Streaming."""
