@@ -135,7 +135,7 @@ def author_of(stem) -> Column:
 
 def clean_text(c) -> Column:
     """Soft hyphens out, hyphenated line breaks joined, blanks collapsed, at most one empty line, one line feed at the end."""
-    c = F.replace(_col(c), F.lit("­"), F.lit(""))
+    c = F.replace(_col(c), F.lit("\u00ad"), F.lit(""))
     c = F.regexp_replace(c, f"({WORD})-\n({WORD})", "$1$2")
     c = F.regexp_replace(c, "[ \t]+", " ")
     c = F.regexp_replace(c, "\n{3,}", "\n\n")
@@ -153,7 +153,7 @@ def sentences(c) -> Column:
 
 def split_lines(c) -> Column:
     """Lines as str.splitlines gives them: any line boundary, and no empty line at the end."""
-    lines = F.split(_col(c), "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\u0085  ]")
+    lines = F.split(_col(c), "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\u0085\u2028\u2029]")
     return let(lines, lambda parts: F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts))
 
 

@@ -61,7 +61,7 @@ _CLEAN = r"regexp_replace(regexp_replace(regexp_replace(replace(t, chr(173), '')
 
 @query(rf"SELECT doc_id, regexp_replace({_CLEAN}, '^[\s]+|[\s]+$', '', 'g') || chr(10) AS body FROM (SELECT doc_id, '  re' || chr(173) || 'ading compre-' || chr(10) || 'hension' || chr(9) || ' a-' || chr(10) || 'b-' || chr(10) || 'c' || chr(10) || chr(10) || chr(10) || chr(10) || text || ' ' || chr(10) AS t FROM documents)")
 def clean_text(spark, d):
-    t = F.concat(F.lit("  re­ading compre-\nhension\t a-\nb-\nc\n\n\n\n"), "text", F.lit(" \n"))
+    t = F.concat(F.lit("  re\u00adading compre-\nhension\t a-\nb-\nc\n\n\n\n"), "text", F.lit(" \n"))
     return T.table(spark, d, "documents").select("doc_id", X.clean_text(t).alias("body"))
 
 
