@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -7,9 +6,6 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-DATA = Path(os.environ.get("TESTDATA", "/root/testdata"))
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -4,7 +4,7 @@ from pathlib import Path
 
 import duckdb
 
-from conftest import DATA, TABLES
+from tables import DATA, TABLES
 
 
 def plain(value):

@@ -1,5 +1,5 @@
 import pytest
-from conftest import DATA
+from tables import DATA
 from oracle import check
 from pyspark.sql import DataFrame
 
