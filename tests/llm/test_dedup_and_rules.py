@@ -115,7 +115,7 @@ def test_automaton_against_its_readings():
     bad = ["one end", "one two y k", "one k k k end", "two x k end"]
     assert all(a.match(x.encode().split(), 0) == len(x.split()) for x in good) and not any(a.match(x.encode().split(), 0) for x in bad)
     with pytest.raises(ValueError):
-        L.Automaton("[[maybe]] x")
+        L.Automaton("{any:1-2} x")
 
 
 def test_license_rows(frame):

@@ -4,8 +4,8 @@ A template is licence wording with markup: `[[ ... ]]` is optional, `{name:a-b}`
 kind (a holder, a year), `{a|b}` for one of some wordings. Each is compiled into an automaton over words. A text
 is accepted where the mandatory words stand one after the other exactly, with optional regions present or not and
 replaceable ones of allowed size; a changed, missing or extra mandatory word means no match. A match adds the
-template's label, so a notice counts under the method only when its wording is whole. Templates start with a
-mandatory word, which the scan looks up, so an automaton runs only where that word stands.
+template's label, so a notice counts under the method only when its wording is whole. The words that can start a
+template are known, so an automaton runs only where one of them stands.
 
 Words are runs of ASCII digits, letters in lower case and characters beyond ASCII. A null text counts as empty:
 no words, no places, empty labels, score 0. Phrases and templates may overlap; every place counts. Repeated rows
@@ -101,7 +101,7 @@ class Automaton:
         self.end = at
         self.starts = {w for s in self._closure({0}) for w in self.edges[s]}
         if opened or None in self.starts or at in self._closure({0}):
-            raise ValueError(f"a template starts with a mandatory word and closes its regions: {template[:60]}")
+            raise ValueError(f"a template starts with a known word and closes its regions: {template[:60]}")
 
     def _state(self) -> int:
         self.edges.append({})
