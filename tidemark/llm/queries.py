@@ -55,7 +55,47 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_host_rules, op3_packing, op4_mixing, op5_pseudonyms, op6_language_id, op7_license_scan, op8_minhash_join, op9_lm_scores, op10_token_counts)}
 
+
+
+def _regex(template: str) -> str:
+    """A licence template as a regular expression over words with a space before each."""
+    out = ""
+    for x in license_scan._MARKUP.findall(template):
+        if x == "[[":
+            out += "(?:"
+        elif x == "]]":
+            out += ")?"
+        elif x[0] == "{" and ":" in x:
+            out += "(?: [^ ]+){" + x[1:-1].split(":")[1].replace("-", ",") + "}"
+        elif x[0] == "{":
+            out += "(?:" + "|".join("".join(" " + w for w in c.split()) for c in x[1:-1].split("|")) + ")"
+        else:
+            out += " " + x
+    return out
+
+
+def _license_sql() -> str:
+    templates = ", ".join(f"('{k}', '^({_regex(t)})(?: |$)')" for k, t in license_scan.TEMPLATES.items())
+    starts = ", ".join(sorted({f"'{w.decode()}'" for _, a in license_scan.compiled() for w in a.starts}))
+    phrases = ", ".join(f"('{label}', ' {p} ')" for p, label in license_scan.PHRASES.items())
+    return rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+likely AS (SELECT doc_id, i - 1 AS i, ' ' || array_to_string(w[i:i + 150], ' ') || ' ' AS rest FROM places WHERE w[i] IN ({starts}) OR w[i] IN ('mit', 'apache', 'general')),
+base AS (SELECT doc_id, i, len(string_split(trim(p), ' ')) AS n, label FROM likely, (VALUES {phrases}) v(label, p) WHERE starts_with(rest, p)),
+more AS (SELECT doc_id, i, len(string_split(trim(regexp_extract(rest, re, 1)), ' ')) AS n, label FROM likely, (VALUES {templates}) t(label, re) WHERE regexp_matches(rest, re)),
+found AS (SELECT * FROM base UNION ALL SELECT * FROM more),
+b AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
+f AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found GROUP BY doc_id),
+c AS (SELECT doc_id, count(DISTINCT k) AS covered FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CASE WHEN len(w) = 0 THEN 0.0::DOUBLE ELSE coalesce(covered, 0) / len(w) END AS score
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
 ORACLES = {
+    "op7_license_scan": _license_sql(),
     "op1_exact_dedup": r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
