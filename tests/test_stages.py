@@ -93,8 +93,8 @@ def test_records_of_files(spark, tmp_path):
     assert out["Book (Ann).txt"].sha256 == hashlib.sha256(b"one two three").hexdigest() and out["Book (Ann).txt"].words == 3
     assert out["bad.pdf"].status == "error: no tool" and out["odd.docx"].status == "error: unsupported extension .docx" and out["odd.docx"].words is None
     assert documents.ingest_report(documents.records(files, 2)).first() == (3, 1, 3, 2)
-    forge = docs_source.text_files(spark, str(tmp_path / "bad.pdf")).first().content_sha
-    assert forge == hashlib.sha256(b"x").hexdigest()
+    digest = docs_source.text_files(spark, str(tmp_path / "bad.pdf")).first().content_sha
+    assert digest == hashlib.sha256(b"x").hexdigest()
 
 
 def test_clusters(spark):

@@ -67,10 +67,10 @@ def domain_gate(totals: DataFrame, videos: int = 15, words: int = 40_000) -> Dat
     return totals.withColumn("fold", (F.col("videos") < videos) | (F.col("words") < words))
 
 
-def corpus_gate(transcripts: DataFrame, least: int = 15, one_skill: int = 40, one_skill_words: int = 100_000) -> DataFrame:
+def corpus_gate(transcripts: DataFrame, least: int = 15, one_topic: int = 40, one_topic_words: int = 100_000) -> DataFrame:
     """decline, one or several, by usable transcripts and words."""
     totals = transcripts.agg(F.count("*").alias("transcripts"), F.coalesce(F.sum("words"), F.lit(0)).alias("words"))
-    thin = (F.col("transcripts") < one_skill) | (F.col("words") < one_skill_words)
+    thin = (F.col("transcripts") < one_topic) | (F.col("words") < one_topic_words)
     return totals.withColumn("verdict", F.when(F.col("transcripts") < least, "decline").when(thin, "one").otherwise("several"))
 
 
