@@ -52,8 +52,9 @@ _ISO = rf"(?s)\A(\d{{4}}-\d{{2}}-\d{{2}}|\d{{8}})(?:.{_TIME}{_ZONE})?\z"
 def iso_day(c) -> Column:
     """The date as recorded in an ISO text (offsets do not move it); null for what is no valid date and time."""
     c = _col(c)
-    day = F.replace(F.regexp_extract(c, _ISO, 1), F.lit("-"), F.lit(""))
-    return F.when(c.rlike(_ISO), F.try_to_timestamp(day, F.lit("yyyyMMdd")).cast("date"))
+    day = F.regexp_extract(c, _ISO, 1)  # empty where nothing fits, and that is no date
+    dashed = F.when(F.length(day) == 8, F.concat_ws("-", F.substr(day, F.lit(1), F.lit(4)), F.substr(day, F.lit(5), F.lit(2)), F.substr(day, F.lit(7), F.lit(2)))).otherwise(day)
+    return dashed.try_cast("date")
 
 
 def from_epoch_1601(us) -> Column:

@@ -28,26 +28,23 @@ def cues(content, unescape: bool = True) -> Column:
     content = X._col(content)
     lines = F.filter(F.split(content, "\r\n|\r|\n"), lambda x: ~X.is_timing_line(x))
     # blank lines become form marks, so that one split gives the cues
-    marked = F.array_join(F.transform(lines, lambda x: F.when(x.rlike(rf"(?U)\A{SPACE}*\z"), F.lit("\r")).otherwise(x)), "\n")
-    parts = F.transform(F.split(marked, "(?:\n|^)(?:\r(?:\n|$))+"), lambda cue: F.split(cue, "\n"))
-    bare = F.transform(parts, lambda cue: F.transform(cue, X.strip_tags))
-    text = X.unescape_nested(bare) if unescape else bare
-    clean = F.transform(text, lambda cue: F.transform(cue, lambda x: X.collapse_space(X.strip(x))))
-    joined = F.transform(
-        F.arrays_zip(parts.alias("raw"), clean.alias("said")),
-        lambda c: F.arrays_zip(
-            F.transform(c["raw"], lambda x: x.rlike(rf"(?U)\A{SPACE}*\p{{Nd}}+{SPACE}*\z")).alias("index"),
-            c["said"].alias("said"),
-        ),
-    )
+    marked = F.array_join(F.transform(lines, lambda x: F.when(x.rlike(rf"\A{SPACE}*\z"), F.lit("\r")).otherwise(x)), "\n")
+    parts = F.split(marked, "(?:\n|^)(?:\r(?:\n|$))+")
+    # each line without tags, after a mark that tells index lines
+    digits = rf"\A{SPACE}*\p{{Nd}}+{SPACE}*\z"
+    bare = F.transform(parts, lambda cue: F.transform(F.split(cue, "\n"), lambda x: F.concat(F.when(x.rlike(digits), "#").otherwise("-"), X.strip_tags(x))))
+    text = X.unescape_nested(bare, content) if unescape else bare
 
     def accepted(lines: Column) -> Column:
         # the first line that is text by itself; index lines count from there on
-        place = F.array_position(F.transform(lines, lambda x: ~x["index"] & (x["said"] != "")), True)
-        kept = X.let(place, lambda first: F.filter(lines, lambda x, i: (first > 0) & (i + 1 >= first) & (x["said"] != "")))
-        return F.transform(kept, lambda x: x["said"])
+        place = F.array_position(F.transform(lines, lambda x: x.startswith("-") & (x != "-")), True)
+        kept = X.let(place, lambda first: F.filter(lines, lambda x, i: (first > 0) & (i + 1 >= first) & (F.length(x) > 1)))
+        return F.transform(kept, lambda x: F.substr(x, F.lit(2)))
+
+    def clean(cue: Column) -> Column:
+        return F.transform(cue, lambda x: F.concat(F.substr(x, F.lit(1), F.lit(1)), X.collapse_space(X.strip(F.substr(x, F.lit(2))))))
 
-    return F.filter(F.transform(joined, accepted), lambda cue: F.size(cue) > 0)
+    return F.filter(F.transform(text, lambda cue: X.let(clean(cue), accepted)), lambda cue: F.size(cue) > 0)
 
 
 def rolling_dedupe(lines) -> Column:

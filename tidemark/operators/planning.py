@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import file_stem, strip, without_suffix
+from ..functions.text import SPACE, file_stem, strip, without_suffix
 from .ordering import with_ordinal
 
 #: Rows of input order that one task numbers.
@@ -19,7 +19,7 @@ def done_ids(transcripts: DataFrame, srt: DataFrame, no_captions: DataFrame) ->
     """
     written = transcripts.filter(F.col("file").endswith(".txt")).select(without_suffix("file").alias("id"))
     fetched = srt.filter(F.col("file").endswith(".srt") & (F.col("size") > 0)).select(file_stem("file").alias("id"))
-    missed = no_captions.select(F.split(strip("value"), r"(?U)[\s\x1c-\x1f]+")[0].alias("id")).filter("id <> ''")
+    missed = no_captions.select(F.split(strip("value"), f"{SPACE}+")[0].alias("id")).filter("id <> ''")
     return written.union(fetched).union(missed).distinct()
 
 

@@ -29,8 +29,12 @@ def _first_titles(rows: DataFrame, most: int) -> DataFrame:
     return first.groupBy("channel").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "title"))), lambda x: x["title"]).alias("sample_titles"))
 
 
-def creators(events: DataFrame, cache: DataFrame | None = None, min_videos: int = 3, titles: int = TITLES) -> DataFrame:
-    """A row for each channel name of at least min_videos distinct videos."""
+def creators(events: DataFrame, cache: DataFrame | None = None, min_videos: int = 3, titles: int = TITLES, rank: bool = False) -> DataFrame:
+    """A row for each channel name of at least min_videos distinct videos.
+
+    With rank, their place (from 0): most videos, most events, then first seen. It is worked out before the titles are
+    joined, from the totals alone.
+    """
     rows = attribute(events, cache).withColumn("day", iso_day("watched_at"))
     totals = rows.groupBy("channel").agg(
         F.count_distinct("video_id").alias("videos"),
@@ -41,6 +45,8 @@ def creators(events: DataFrame, cache: DataFrame | None = None, min_videos: int
         F.min("ingest_ord").alias("first_ord"),
     )
     kept = totals.filter(F.col("videos") >= min_videos)
+    if rank:
+        kept = with_ordinal(kept, -F.col("videos"), [F.desc("videos"), F.desc("events"), "first_ord"], "rank")
     return kept.join(_first_titles(rows, titles), "channel").select(
         "channel",
         "channel_url",
@@ -51,14 +57,10 @@ def creators(events: DataFrame, cache: DataFrame | None = None, min_videos: int
         F.date_format("last", "yyyy-MM-dd").alias("last_watched"),
         "sample_titles",
         "first_ord",
+        *(["rank"] if rank else []),
     )
 
 
-def ranked(rows: DataFrame) -> DataFrame:
-    """Creators with their rank: most videos, most events, then first seen."""
-    return with_ordinal(rows, -F.col("videos"), [F.desc("videos"), F.desc("events"), "first_ord"], "rank")
-
-
 def top_creators(rows: DataFrame, n: int = 40) -> DataFrame:
     return rows.orderBy(F.desc("videos"), F.desc("events"), "first_ord").limit(n)
 

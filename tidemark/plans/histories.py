@@ -38,7 +38,7 @@ FROM a JOIN f USING (channel) WHERE videos >= 3
 
 
 def _ranking(events, cache=None):
-    rows = rank.ranked(rank.creators(events, cache))
+    rows = rank.creators(events, cache, rank=True)
     return rows.select((F.col("rank") + 1).alias("rank"), "channel", "channel_url", "videos", "events", "span_days", "first_watched", "last_watched", F.array_join("sample_titles", "|").alias("sample_titles"))
 
 
