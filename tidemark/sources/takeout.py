@@ -27,8 +27,13 @@ LOCATIONS = (
     "~/**/watch-history.json",
     "~/**/watch-history.html",
 )
+# Members of archives, and patterns of video addresses, event cells and links.
 LEAVES = ("/watch-history.json", "/watch-history.html")
 ARCHIVES = (".zip", ".tgz", ".tar.gz")
+VIDEO = "[?&]v=([A-Za-z0-9_-]{11})"
+CELL = '(?iu)<div class="outer-cell'
+LINK = r'(?s)<a href="([^"]+)"[^>]*>(.*?)</a>'
+MUSIC, MUSIC_CHARS = "YouTube Music", 400
 
 
 def find_export(home: str | None = None) -> str | None:
@@ -83,7 +88,7 @@ def _is_archive() -> Column:
 
 def video_id(url) -> Column:
     """Eleven characters after v= in an address; null where there are none."""
-    return X.falsy_to_null(F.regexp_extract(X._col(url), "[?&]v=([A-Za-z0-9_-]{11})", 1))
+    return X.falsy_to_null(F.regexp_extract(X._col(url), VIDEO, 1))
 
 
 def json_events(entries: DataFrame) -> DataFrame:
@@ -109,13 +114,13 @@ def parse_json(files: DataFrame) -> DataFrame:
 
 def html_cells(text) -> Column:
     """The event cells of an HTML export."""
-    parts = F.split(X._col(text), '(?iu)<div class="outer-cell')
+    parts = F.split(X._col(text), CELL)
     return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 
 
 def anchors(cell) -> Column:
     """The links of a cell: href and label."""
-    cell, pattern = X._col(cell), F.lit(r'(?s)<a href="([^"]+)"[^>]*>(.*?)</a>')
+    cell, pattern = X._col(cell), F.lit(LINK)
     return F.arrays_zip(F.regexp_extract_all(cell, pattern, F.lit(1)).alias("href"), F.regexp_extract_all(cell, pattern, F.lit(2)).alias("label"))
 
 
@@ -149,7 +154,7 @@ def cell_links(cell) -> Column:
 def parse_html(files: DataFrame) -> DataFrame:
     """Watch events of whole HTML exports (text); cells of the music section go."""
     cells = files.select(F.posexplode(html_cells("text")).alias("ingest_ord", "cell"))
-    cells = cells.filter(~F.contains(F.substr("cell", F.lit(1), F.lit(400)), F.lit("YouTube Music")))
+    cells = cells.filter(~F.contains(F.substr("cell", F.lit(1), F.lit(MUSIC_CHARS)), F.lit(MUSIC)))
     found = cells.select(F.col("ingest_ord").cast("long").alias("ingest_ord"), cell_links("cell").alias("l"), D.locale_stamp("cell").alias("watched_at")).filter("l.video_id is not null")
     return found.select("l.video_id", X.unescape_html("l.title").alias("title"), X.unescape_html("l.channel").alias("channel"), "l.channel_url", "watched_at", F.lit("takeout").alias("source"), "ingest_ord")
 
