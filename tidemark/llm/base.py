@@ -78,7 +78,7 @@ def crc_of_id(doc_id) -> F.Column:
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, kept up to a bound; the same in every process."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 

@@ -48,7 +48,7 @@ class Trigrams(dict):
     def __missing__(self, code: int):
         import numpy as np
 
-        if len(self) > 60_000:
+        if len(self) > 30_000:
             self.clear()
         a, b, c = code >> 42, code >> 21 & 0x1FFFFF, code & 0x1FFFFF
         v = self[code] = np.roll(symbol(a), 2) * np.roll(symbol(b), 1) * symbol(c)

@@ -34,7 +34,7 @@ SHARD_TOKENS = 1 << 20
 #: Token budget of a step group, in windows of the largest size.
 STEP_WINDOWS = 16
 #: Chunks of text whose ids a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long"
 #: Characters for which NFC is the identity, str.lower works letter by letter, and split() splits at the normaliser's white space.
 _PLAIN = re.compile("[^\x00-\x1b\x20-\x84\x86-įı-ž]")
