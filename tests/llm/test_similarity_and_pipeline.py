@@ -129,6 +129,21 @@ def test_mixed_stream(frame):
     assert Counter(map(tuple, out)) == Counter(map(tuple, again))
 
 
+def test_weights_hold_over_the_whole_stream_with_many_small_sources(frame):
+    rows = [(i, "t", "en", "hot" if i < 6000 else f"s{i % 300}") for i in range(7500)]
+    out = mixing.mix(frame(rows), block=1).collect()
+    sizes = Counter(s for *_, s in rows)
+    total = sum(n**mixing.ALPHA for n in sizes.values())
+    assert len(out) > 4 * 4096 and sorted(r.position for r in out) == list(range(len(out)))
+    by = defaultdict(list)
+    for r in out:
+        by[r.source].append(r.slot)
+        assert r.release <= r.slot < r.deadline
+    for s, n in sizes.items():
+        seen = np.bincount(by[s], minlength=len(out)).cumsum()
+        assert np.abs(seen - n**mixing.ALPHA / total * np.arange(1, len(out) + 1)).max() < 1 + 1e-9
+
+
 def rows_of(df):
     return df.select("source").collect()
 

@@ -1,10 +1,11 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Weights become whole numbers of slots k in a frame of Q slots. Block j of a source is released at slot
-floor(j*Q/k) and due before slot ceil((j+1)*Q/k); in every slot the released block with the earliest deadline
-runs. For unit blocks whose weights add up to one this meets every deadline, so at any point each source is less
-than one block away from its share. The schedule repeats with the frame, so one frame of bounded size is
-simulated on the driver and the place of every document follows from its place within its source.
+Weights become whole numbers k out of Q = `FRAME`, so finely that no stream comes near the end of a frame. Block j
+of a source is released at slot floor(j*Q/k) and due before slot ceil((j+1)*Q/k); in every slot the released block
+with the earliest deadline runs. For unit blocks whose weights add up to one this meets every deadline, so at any
+point of the stream each source is less than one block away from its target weight. The driver works out which
+source has each slot of the stream (a number for each `BLOCK` rows), and the place of every document follows from
+its place within its source.
 
 A source's documents are ordered by a hash of the id. To find the order without gathering a source in one task,
 each source is cut into hash buckets in proportion to its rows: counts of buckets give each bucket's first
@@ -12,7 +13,7 @@ place, and rows are numbered within buckets. A source that runs out begins again
 that lasts longest for its weight has been used up: every document comes at least once, and weights hold
 throughout. By default weights are proportional to rows to the power `ALPHA`, which lifts small sources.
 
-A null source is a source of its own. Sources beyond the `MAX_SOURCES` largest share one queue. Repeated rows
+Weights given must be above zero. A null source is a source of its own. Sources beyond the `MAX_SOURCES` largest share one queue. Repeated rows
 are scheduled as often as they come; ties of the order are between equal ids. Null ids and texts are scheduled
 like any others. An empty table gives an empty result.
 """
@@ -20,6 +21,10 @@ like any others. An empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
+from collections import deque
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,44 +32,73 @@ from pyspark.sql import functions as F
 from .base import prepare, staged
 
 ALPHA = 0.7
-#: Documents of a block, and fewest slots of a frame.
-BLOCK, FRAME = 16, 4096
+#: Documents of a block, and slots of a frame.
+BLOCK, FRAME = 16, 1 << 48
 MAX_SOURCES = 50_000
 #: Rows of a bucket at least, and buckets altogether, about.
 BUCKET_ROWS, BUCKETS = 512, 100_000
+#: Blocks of a source whose slots are looked up together.
+PART = 256
 #: Slots whose rows `mixed` keeps together in order.
 CHUNK_SLOTS = 64
 
 
 def quotas(weights: list[float], slots: int) -> list[int]:
     """Whole slots of a frame by largest remainders, one at least for every source."""
-    total = sum(weights)
-    exact = [w / total * (slots - len(weights)) for w in weights]
-    out = [1 + int(x) for x in exact]
-    for i in sorted(range(len(exact)), key=lambda i: (int(exact[i]) - exact[i], i))[: slots - sum(out)]:
+    order, left, total = deque(sorted(range(len(weights)), key=lambda i: (weights[i], i))), slots, math.fsum(weights)
+    while order and weights[order[0]] * left < total:
+        total -= weights[order.popleft()]
+        left -= 1
+    total = math.fsum(weights[i] for i in order)
+    exact = {i: weights[i] / total * left for i in order}
+    out = [int(exact.get(i, 1)) for i in range(len(weights))]
+    for i in sorted(order, key=lambda i: (int(exact[i]) - exact[i], i))[: slots - sum(out)]:
         out[i] += 1
     return out
 
 
-def frame(k: list[int]) -> list[tuple[int, int]]:
-    """(source, block) of every slot of a frame, earliest deadline first."""
+def frame(k: list[int], blocks: list[int] | None = None) -> Iterator[tuple[int, int]]:
+    """(source, block) of every slot of a frame, earliest deadline first; given blocks, up to where every source has had as many."""
     slots = sum(k)
-    jobs = sorted((j * slots // n, -(-(j + 1) * slots // n), s, j) for s, n in enumerate(k) for j in range(n))
-    ready: list[tuple[int, int, int]] = []
-    out, at = [], 0
+    missing = sum(x > 0 for x in blocks) if blocks else 0
+    ready = [(-(-slots // n), s, 0) for s, n in enumerate(k)]
+    heapq.heapify(ready)
+    coming: dict[int, list[tuple[int, int, int]]] = {}
     for t in range(slots):
-        while at < len(jobs) and jobs[at][0] <= t:
-            heapq.heappush(ready, jobs[at][1:])
-            at += 1
+        for job in coming.pop(t, ()):
+            heapq.heappush(ready, job)
         due, s, j = heapq.heappop(ready)
         if due <= t:
             raise AssertionError("a block missed its deadline")
-        out.append((s, j))
-    return out
+        yield s, j
+        if blocks and j + 1 == blocks[s]:
+            missing -= 1
+            if not missing:
+                return
+        after = -(-(j + 2) * slots // k[s]), s, j + 1
+        if (release := (j + 1) * slots // k[s]) <= t + 1:
+            heapq.heappush(ready, after)
+        else:
+            coming.setdefault(release, []).append(after)
+
+
+def _parts(spark, order, had) -> DataFrame:
+    """__source, __part, __slots: where the blocks of each source run, PART of them in a row."""
+    import numpy as np
+    import pyarrow as pa
+
+    parts = -(-had // PART)
+    source = np.repeat(np.arange(len(had), dtype=np.int32), parts)
+    part = np.arange(len(source)) - np.repeat(np.cumsum(parts) - parts, parts)
+    starts = np.append(np.repeat(np.cumsum(had) - had, parts) + part * PART, len(order)).astype(np.int32)
+    slots = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.argsort(order, kind="stable").astype(np.int32)))
+    return spark.createDataFrame(pa.table({"__source": pa.array(source), "__part": pa.array(part.astype(np.int64)), "__slots": slots}), "__source int, __part long, __slots array<int>")
 
 
 def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int = BLOCK, carry: list[str] | None = None) -> DataFrame:
     """A row for each time that a document comes: the carried columns, then __source, __epoch, __block, __slot, __release, __deadline, __position."""
+    import numpy as np
+
     spark = prepare(docs.sparkSession)
     carry = carry if carry is not None else ["doc_id", "source"]
     sizes = docs.groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
@@ -73,14 +107,12 @@ def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA,
     n = [r.n for r in sizes[:MAX_SOURCES]] + [rest] * (rest > 0)
     least = min(weights.values()) if weights else 0
     w = [weights.get(s, least) if weights else x**alpha for s, x in zip([*names, None], n)]
-    slots = max(FRAME, 1 << (4 * len(n) - 1).bit_length()) if n else 1
-    k = quotas(w, slots) if n else []
-    order = frame(k) if n else []
-    places: list[list[int]] = [[] for _ in n]
-    for t, (s, _) in enumerate(order):
-        places[s].append(t)
-    end = max(((b := -(-x // block) - 1) // k[s] * slots + places[s][b % k[s]] + 1 for s, x in enumerate(n)), default=0)
-    runs = [(end // slots * k[s] + sum(t < end % slots for t in places[s])) * block for s in range(len(n))]
+    if min(w, default=1) <= 0:
+        raise ValueError("weights must be above zero")
+    k = quotas(w, FRAME)
+    order = np.array(array("i", (s for s, _ in frame(k, [-(-x // block) for x in n]))), np.int32) if n else np.zeros(0, np.int32)
+    had = np.bincount(order, minlength=len(n))
+    runs = [int(x) * block for x in had]
     per = max(BUCKET_ROWS, -(-sum(n) // BUCKETS))
     about = spark.createDataFrame([(s, names[s] if s < len(names) else None, x, k[s], runs[s], -(-x // per)) for s, x in enumerate(n)], "__source int, __name string, __n long, __k long, __run long, __buckets long")
     known = about.filter(F.col("__source") < len(names)) if rest else about
@@ -99,15 +131,12 @@ def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA,
     rows = rows.join(F.broadcast(firsts), ["__source", "__bucket"])  # at most BUCKETS rows and one for each source
     place = F.col("__first") + F.col("__r")
     rows = rows.withColumn("__at", place).withColumn("__epoch", F.explode(F.expr("sequence(0L, (__run - 1 - __at) div __n)")))
-    told = F.col("__at") + F.col("__epoch") * F.col("__n")
-    rows = rows.withColumns({"__block": F.floor(told / block), "__inside": told % block}).withColumn("__turn", F.col("__block") % F.col("__k"))
-    table = spark.createDataFrame([(s, j, t) for t, (s, j) in enumerate(order)], "__source int, __turn long, __slot_in long")
-    rows = rows.join(F.broadcast(table), ["__source", "__turn"])  # a frame
-    base = F.expr(f"__block div __k * {slots}L")
-    rows = rows.withColumn("__slot", base + F.col("__slot_in"))
-    release = base + F.floor(F.col("__turn") * slots / F.col("__k"))
-    deadline = base + F.ceil((F.col("__turn") + 1) * slots / F.col("__k"))
-    return rows.select(*keep, "__source", "__epoch", "__block", "__slot", release.alias("__release"), deadline.alias("__deadline"), (F.col("__slot") * block + F.col("__inside")).alias("__position"))
+    rows = rows.withColumns({"__block": F.expr(f"(__at + __epoch * __n) div {block}"), "__inside": F.expr(f"(__at + __epoch * __n) % {block}")})
+    rows = rows.withColumn("__part", F.expr(f"__block div {PART}")).join(F.broadcast(_parts(spark, order, had)), ["__source", "__part"])  # a number for each slot
+    rows = rows.withColumn("__slot", F.get("__slots", (F.col("__block") % PART).cast("int")))
+    window = "(cast(__block{} as decimal(20,0)) * cast({} as decimal(16,0)){}) div cast(__k as decimal(16,0))"
+    release, deadline = F.expr(window.format("", FRAME, "")), F.expr(window.format(" + 1", FRAME, " + __k - 1"))
+    return rows.select(*keep, "__source", "__epoch", "__block", "__slot", release.alias("__release"), deadline.alias("__deadline"), (F.col("__slot").cast("long") * block + F.col("__inside")).alias("__position"))
 
 
 def mix(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int = BLOCK) -> DataFrame:
