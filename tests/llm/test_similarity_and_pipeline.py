@@ -250,6 +250,21 @@ def test_model_learns_from_both_sides(frame):
     assert near.shape == (10, 4) and near[5].tolist() == [ids[5], ids[6], ids[8], ids[9]], "the word itself is masked"
 
 
+def test_every_word_is_predicted_in_training(monkeypatch):
+    seen: Counter = Counter()
+    monkeypatch.setattr(lm_score.Model, "step", lambda self, near, want, rate: seen.update(near[:, lm_score.SIDE - 1].tolist()))
+    texts = [[f"t{i}w{k}" for k in range(n)] for i, n in enumerate([1, 2, 7, 8, 9, 64, 64, 3000])]
+    model = lm_score.Model([(w.encode(), 1) for t in texts for w in t], 0, {})
+    for k in range(lm_score.ROUNDS):
+        lm_score.train(model, (" ".join(t) for t in texts), k, lm_score.ROUNDS)
+    left = [0 if k == 0 else model.ids[t[k - 1].encode()] for t in texts for k in range(len(t))]
+    assert seen == Counter(left), "each word's left neighbour is read once"
+
+
+def test_texts_of_one_word_train(frame):
+    assert [r.n_words for r in lm_score.lm_scores(frame([(1, "one"), (2, "two")])).collect()] == [1, 1]
+
+
 def test_model_edges(frame):
     rows = [(1, None), (2, ""), (3, "word"), (3, "word"), (4, "new words " * 3000)]
     out = Counter((r.doc_id, r.n_words, r.mean_log_likelihood is None) for r in lm_score.lm_scores(frame(rows)).collect())
