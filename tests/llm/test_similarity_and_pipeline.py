@@ -155,6 +155,19 @@ def test_sources_beyond_the_bound_share_a_queue(frame, monkeypatch):
     assert {r.doc_id for r in out} == set(range(200)) and sorted(r.position for r in out) == list(range(len(out)))
 
 
+def test_sources_beyond_the_bound_keep_their_weights(frame, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
+    monkeypatch.setattr(mixing, "QUEUE_SOURCES", 3)
+    rows = [(i, "t", "en", "a" if i < 60 else "b" if i < 110 else None if i % 9 == 0 else f"s{i % 9}") for i in range(290)]
+    weights = {"a": 20, "b": 15, None: 9} | {f"s{i}": i for i in range(1, 9)}
+    out = mixing.mix(frame(rows), weights, block=1).collect()
+    assert sorted(r.position for r in out) == list(range(len(out))) and {r.doc_id for r in out} == set(range(290))
+    assert all(r.release <= r.slot < r.deadline for r in out)
+    for s, w in weights.items():
+        seen = np.bincount([r.slot for r in out if r.source == s], minlength=len(out)).cumsum()
+        assert np.abs(seen - w / sum(weights.values()) * np.arange(1, len(out) + 1)).max() < (1 if s in ("a", "b") else 2) + 1e-9
+
+
 PRIVATE = [
     "call +1 (988) 555-2485 or (415) 555-2671, 415-555-2671 now",
     "card 4041894974608795 and 4111 1111 1111 1111, amex 378282246310005",

@@ -13,7 +13,9 @@ place, and rows are numbered within buckets. A source that runs out begins again
 that lasts longest for its weight has been used up: every document comes at least once, and weights hold
 throughout. By default weights are proportional to rows to the power `ALPHA`, which lifts small sources.
 
-Weights given must be above zero. A null source is a source of its own. Sources beyond the `MAX_SOURCES` largest share one queue. Repeated rows
+Weights given must be above zero. A null source is a source of its own. Sources beyond the `MAX_SOURCES` largest
+share queues of about `QUEUE_SOURCES`, which weigh what their sources do and are worked out in tasks: the slots of a
+queue are given to its sources in the same way by their own weights, so each is less than two blocks away from its own. Repeated rows
 are scheduled as often as they come; ties of the order are between equal ids. Null ids and texts are scheduled
 like any others. An empty table gives an empty result.
 """
@@ -25,6 +27,7 @@ import math
 from array import array
 from collections import deque
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +37,7 @@ from .base import prepare, staged
 ALPHA = 0.7
 #: Documents of a block, and slots of a frame.
 BLOCK, FRAME = 16, 1 << 48
-MAX_SOURCES = 50_000
+MAX_SOURCES, QUEUE_SOURCES = 50_000, 4096
 #: Rows of a bucket at least, and buckets altogether, about.
 BUCKET_ROWS, BUCKETS = 512, 100_000
 #: Blocks of a source whose slots are looked up together.
@@ -82,6 +85,63 @@ def frame(k: list[int], blocks: list[int] | None = None) -> Iterator[tuple[int,
             coming.setdefault(release, []).append(after)
 
 
+def _release(j: str, k: str):
+    """The first slot for a source's block j (SQL) of k blocks in a frame."""
+    return F.expr(f"(cast({j} as decimal(20,0)) * cast({FRAME} as decimal(16,0))) div cast({k} as decimal(16,0))")
+
+
+def _deadline(j: str, k: str):
+    """The slot before which j blocks have run."""
+    return F.expr(f"(cast({j} as decimal(20,0)) * cast({FRAME} as decimal(16,0)) + {k} - 1) div cast({k} as decimal(16,0))")
+
+
+def _blocks(rows: DataFrame, block: int) -> DataFrame:
+    """A row for each time that a document comes, from __at, __n and __run: __epoch, __block, __inside."""
+    rows = rows.withColumn("__epoch", F.explode(F.expr("sequence(0L, (__run - 1 - __at) div __n)")))
+    return rows.withColumns({"__block": F.expr(f"(__at + __epoch * __n) div {block}"), "__inside": F.expr(f"(__at + __epoch * __n) % {block}")})
+
+
+def _queue(table, weight):
+    """Number, sources, rows, weights and quotas of a queue, in the same order wherever they are worked out."""
+    rows = sorted(zip(table.column("source").to_pylist(), table.column("n").to_pylist()), key=lambda x: (x[0] is None, x[0]))
+    w = [weight(*x) for x in rows]
+    if min(w) <= 0:
+        raise ValueError("weights must be above zero")
+    return table.column("__queue")[0].as_py(), rows, w, quotas(w, FRAME)
+
+
+def _totals(weight, block: int):
+    def run(table):
+        import pyarrow as pa
+
+        q, rows, w, k = _queue(table, weight)
+        blocks = max(-(-(-(-n // block)) * FRAME // x) for (_, n), x in zip(rows, k))  # by then all have come
+        return pa.table({"__queue": pa.array([q], pa.int64()), "w": [math.fsum(w)], "blocks": pa.array([blocks], pa.int64())})
+
+    return run
+
+
+def _turns(weight, of: dict):
+    """For each source of a queue, which of the queue's blocks are its own; of: source number, quota and blocks of a queue."""
+
+    def run(table):
+        import pyarrow as pa
+
+        q, rows, _, k = _queue(table, weight)
+        number, outer, length = of[q]
+        own: list[list[int]] = [[] for _ in rows]
+        for g, (s, _) in enumerate(islice(frame(k), length)):
+            own[s].append(g)
+        out = [(s, p) for s, x in enumerate(own) for p in range(-(-len(x) // PART))]
+        long = lambda x: pa.array(x, pa.int64())
+        return pa.table({
+            "__name": pa.array([rows[s][0] for s, _ in out], table.schema.field("source").type), "__source": pa.array([number] * len(out), pa.int32()), "__k": long([outer] * len(out)), "__n": long([rows[s][1] for s, _ in out]),
+            "__own": long([k[s] for s, _ in out]), "__blocks": long([len(own[s]) for s, _ in out]), "__part": long([p for _, p in out]), "__turns": pa.array([own[s][p * PART : (p + 1) * PART] for s, p in out], pa.list_(pa.int64())),
+        })
+
+    return run
+
+
 def _parts(spark, order, had) -> DataFrame:
     """__source, __part, __slots: where the blocks of each source run, PART of them in a row."""
     import numpy as np
@@ -102,24 +162,31 @@ def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA,
     spark = prepare(docs.sparkSession)
     carry = carry if carry is not None else ["doc_id", "source"]
     sizes = docs.groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
-    rest = docs.count() - sum(r.n for r in sizes[:MAX_SOURCES]) if len(sizes) > MAX_SOURCES else 0
     names = [r.source for r in sizes[:MAX_SOURCES]]
-    n = [r.n for r in sizes[:MAX_SOURCES]] + [rest] * (rest > 0)
+    n = [r.n for r in sizes[:MAX_SOURCES]]
     least = min(weights.values()) if weights else 0
-    w = [weights.get(s, least) if weights else x**alpha for s, x in zip([*names, None], n)]
+
+    def weight(s, x):
+        return weights.get(s, least) if weights else x**alpha
+
+    w, blocks = [weight(s, x) for s, x in zip(names, n)], [-(-x // block) for x in n]
+    tail, queues = None, []
+    if len(sizes) > MAX_SOURCES:
+        largest = F.broadcast(spark.createDataFrame([(s,) for s in names], docs.select(F.col("source").alias("__name")).schema))
+        tail = docs.groupBy("source").agg(F.count("*").alias("n")).join(largest, F.col("source").eqNullSafe(F.col("__name")), "left_anti")
+        tail = staged(tail, "tail")
+        tail = tail.withColumn("__queue", F.pmod(F.xxhash64("source"), F.lit(-(-tail.count() // QUEUE_SOURCES))))
+        queues = sorted(tail.groupBy("__queue").applyInArrow(_totals(weight, block), "__queue long, w double, blocks long").collect())
+        w, blocks = w + [q.w for q in queues], blocks + [q.blocks for q in queues]
     if min(w, default=1) <= 0:
         raise ValueError("weights must be above zero")
     k = quotas(w, FRAME)
-    order = np.array(array("i", (s for s, _ in frame(k, [-(-x // block) for x in n]))), np.int32) if n else np.zeros(0, np.int32)
-    had = np.bincount(order, minlength=len(n))
+    order = np.array(array("i", (s for s, _ in frame(k, blocks))), np.int32) if n else np.zeros(0, np.int32)
+    had = np.bincount(order, minlength=len(w))
     runs = [int(x) * block for x in had]
     per = max(BUCKET_ROWS, -(-sum(n) // BUCKETS))
-    about = spark.createDataFrame([(s, names[s] if s < len(names) else None, x, k[s], runs[s], -(-x // per)) for s, x in enumerate(n)], "__source int, __name string, __n long, __k long, __run long, __buckets long")
-    known = about.filter(F.col("__source") < len(names)) if rest else about
-    rows = docs.join(F.broadcast(known), docs["source"].cast("string").eqNullSafe(F.col("__name")), "left" if rest else "inner")
-    if rest:
-        last = about.filter(F.col("__source") == len(names)).first()
-        rows = rows.withColumns({c: F.coalesce(c, F.lit(last[c])) for c in ("__source", "__n", "__k", "__run", "__buckets")})
+    about = spark.createDataFrame([(s, names[s], x, k[s], runs[s], -(-x // per)) for s, x in enumerate(n)], "__source int, __name string, __n long, __k long, __run long, __buckets long")
+    rows = docs.join(F.broadcast(about), docs["source"].cast("string").eqNullSafe(F.col("__name")))
     key = F.xxhash64(F.col("doc_id").cast("string"), F.lit(11))
     rows = rows.withColumns({"__key": key, "__bucket": F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), F.col("__buckets"))})
     counts = staged(rows.groupBy("__source", "__bucket").agg(F.count("*").alias("__rows")), "buckets")
@@ -130,12 +197,24 @@ def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA,
     rows = rows.select(*keep, "__source", "__bucket", "__key", "__n", "__k", "__run").withColumn("__r", F.row_number().over(inside) - 1)
     rows = rows.join(F.broadcast(firsts), ["__source", "__bucket"])  # at most BUCKETS rows and one for each source
     place = F.col("__first") + F.col("__r")
-    rows = rows.withColumn("__at", place).withColumn("__epoch", F.explode(F.expr("sequence(0L, (__run - 1 - __at) div __n)")))
-    rows = rows.withColumns({"__block": F.expr(f"(__at + __epoch * __n) div {block}"), "__inside": F.expr(f"(__at + __epoch * __n) % {block}")})
-    rows = rows.withColumn("__part", F.expr(f"__block div {PART}")).join(F.broadcast(_parts(spark, order, had)), ["__source", "__part"])  # a number for each slot
-    rows = rows.withColumn("__slot", F.get("__slots", (F.col("__block") % PART).cast("int")))
-    window = "(cast(__block{} as decimal(20,0)) * cast({} as decimal(16,0)){}) div cast(__k as decimal(16,0))"
-    release, deadline = F.expr(window.format("", FRAME, "")), F.expr(window.format(" + 1", FRAME, " + __k - 1"))
+    rows = _blocks(rows.withColumn("__at", place), block).withColumns({"__turn": F.col("__block"), "__from": F.col("__block"), "__to": F.col("__block") + 1})
+    mine = [*keep, "__source", "__k", "__epoch", "__block", "__inside", "__turn", "__from", "__to"]
+    rows = rows.select(*mine)
+    if queues:
+        of = {q["__queue"]: (len(n) + i, k[len(n) + i], int(had[len(n) + i])) for i, q in enumerate(queues)}
+        kind = docs.schema["source"].dataType.simpleString()
+        turns = staged(tail.groupBy("__queue").applyInArrow(_turns(weight, of), f"__name {kind}, __source int, __k long, __n long, __own long, __blocks long, __part long, __turns array<long>"), "turns")
+        firsts = turns.filter("__part = 0").drop("__part", "__turns")
+        few = docs.join(firsts, docs["source"].eqNullSafe(F.col("__name")))
+        few = few.withColumn("__at", F.row_number().over(Window.partitionBy("__name").orderBy(key, "doc_id")).cast("long") - 1)
+        few = _blocks(few.withColumn("__run", F.col("__blocks") * block), block).withColumn("__part", F.expr(f"__block div {PART}"))
+        at = turns.selectExpr("__name as __which", "__part as __piece", "__turns")
+        few = few.join(at, F.col("__name").eqNullSafe(F.col("__which")) & (F.col("__part") == F.col("__piece")))
+        few = few.withColumns({"__turn": F.get("__turns", (F.col("__block") % PART).cast("int")), "__from": _release("__block", "__own"), "__to": _deadline("__block + 1", "__own")})
+        rows = rows.unionByName(few.select(*mine))
+    rows = rows.withColumn("__part", F.expr(f"__turn div {PART}")).join(F.broadcast(_parts(spark, order, had)), ["__source", "__part"])  # a number for each slot
+    rows = rows.withColumn("__slot", F.get("__slots", (F.col("__turn") % PART).cast("int")))
+    release, deadline = _release("__from", "__k"), _deadline("__to", "__k")
     return rows.select(*keep, "__source", "__epoch", "__block", "__slot", release.alias("__release"), deadline.alias("__deadline"), (F.col("__slot").cast("long") * block + F.col("__inside")).alias("__position"))
 
 
