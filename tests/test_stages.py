@@ -29,9 +29,26 @@ def test_ranking_of_awkward_events(spark):
     )
     cache = spark.createDataFrame([("v3", "A", "cached"), ("v4", None, "http://z")], S.CHANNEL_CACHE)
     out = rank.creators(e, cache, min_videos=3).collect()
-    assert [(r.channel, r.videos, r.events, r.span_days, r.first_watched, r.last_watched, r.channel_url, r.sample_titles) for r in out] == [("A", 3, 4, 4, "2024-01-01", "2024-01-05", "u", ["t1", "t2", "t3"])]
+    assert [(r.channel, r.videos, r.events, r.span_days, r.first_watched, r.last_watched, r.channel_url, r.sample_titles) for r in out] == [("A", 3, 4, 4, "2024-01-01", "2024-01-05", "w", ["t3", "t1", "t2"])], "undated events come first"
     assert rank.creators(e.filter("ingest_ord = 1"), None, 1).first().first_watched is None
     assert history.history_stats(e).first() == (5, 4, 2)
+
+
+def test_ranking_goes_by_history_order(spark, tmp_path):
+    """Exports are newest first and every source counts from 0: places in the input say nothing."""
+    export = events(spark, [("v3", "newest", "A", "url-new", "2024-03-01", "takeout"), ("v2", "middle", "A", None, "2024-02-01", "takeout"), ("v1", "oldest", "A", "url-old", "2024-01-01", "takeout"), ("w1", "b", "B", None, "2024-01-02", "takeout"), ("w2", "b", "B", None, "2024-01-03", "takeout"), ("w3", "b", "B", None, "2024-04-01", "takeout")])
+    other = events(spark, [("v3", "same time, later source", "A", "url-2", "2024-03-01", "chrome"), ("v0", "undated", "A", None, None, "chrome"), ("w3", "b", "B", None, "2024-04-01", "chrome"), ("w0", "b", "B", None, "2024-02-02", "chrome")])
+    both = history.union_sources(export, other)
+    assert both.select("ingest_ord").distinct().count() == 10
+    sinks.json_lines(history.sorted_history(both), str(tmp_path / "history"))
+    for e in (both, history.in_order(both), lists.history(spark, str(tmp_path / "history"))):
+        out = {r.channel: r for r in rank.creators(e, rank=True).collect()}
+        assert (out["A"].channel_url, out["A"].sample_titles) == ("url-old", ["undated", "oldest", "middle", "newest", "same time, later source"])
+        assert (out["A"].rank, out["B"].rank) == (0, 1), "equal counts go by the first event"
+
+
+def test_places_in_history(spark):
+    e = events(spark, [("v1", "t1", "A", None, "2024-01-01T00:00:00", "takeout"), ("v2", "t1", "A", "u", "bad", "takeout"), ("v3", "t2", "", None, "2024-01-05", "chrome"), ("v4", "x", None, None, None, "chrome"), ("v1", "t3", "A", "w", None, "firefox")])
     assert [r.ingest_ord for r in history.in_order(e).orderBy("history_ord").collect()] == [4, 3, 0, 2, 1]
 
 
@@ -70,11 +87,12 @@ def test_transcripts(spark):
 
 
 def test_furniture(spark):
-    pages = "\f".join(f"RUNNING HEADER\nBody text of page {i} with content.\n{i}" for i in range(1, 31))
-    texts = [pages, pages + "\fA unique closing line of prose.", "Front matter.\nxiv\fMore.\nxv", "", None]
+    leaves = [[f"  Slow Rivers, chapter {1 + i // 20}  ", f"Leaf {i}: water finds the low ground,", f"and turns {i} times.", f" {i} "] for i in range(40)]
+    pages = "\f".join("\n".join(x) for x in leaves)
+    texts = [pages, pages + "\fThe sea at last.", "Preface.\nMCM\fThanks.\n\n7", "", None, "Twice.\fTwice.\fTwice.\fTwice."]
     out = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(documents.without_furniture("t")).collect()]
-    body = [f"Body text of page {i} with content." for i in range(1, 31)]
-    assert out == ["\n".join(body), "\n".join([*body, "A unique closing line of prose."]), "Front matter.\nMore.", "", None]
+    body = [x for leaf in leaves for x in leaf[1:3]]
+    assert out == ["\n".join(body), "\n".join([*body, "The sea at last."]), "Preface.\nThanks.\n", "", None, "Twice.\nTwice.\nTwice.\nTwice."]
     rows = spark.createDataFrame([("b", i, t) for i, t in enumerate(pages.split("\f"))] + [("e", 0, "12")], "doc string, page int, text string")
     assert {r.doc: r.text for r in documents.stripped_pages(rows).collect()} == {"b": "\n".join(body), "e": ""}
 
@@ -191,3 +209,114 @@ def test_incremental_conversion_and_cache(spark, tmp_path):
     after = incremental.merged_cache(cache, asked, answers)
     assert {(r.video_id, r.channel, r.status) for r in after.collect()} == {("k", "K", "named"), ("t", "T", "named"), ("m", None, "miss")}
     assert sorted(r.video_id for r in incremental.settled(cache).collect()) == ["k"]
+
+
+def test_broken_exports_stop_the_query(spark, tmp_path):
+    for i, text in enumerate(['[{"titleUrl": "x"', "", "[1, 2", "no json"]):
+        (tmp_path / f"e{i}").mkdir()
+        (tmp_path / f"e{i}" / "watch-history.json").write_text(text)
+        with pytest.raises(Exception):
+            takeout.read_export(spark, str(tmp_path / f"e{i}")).collect()
+
+
+def test_replacement_keeps_the_old_table_on_failure(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.json_lines(spark.range(3), path)
+    real = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    class Failing:
+        def __init__(self, at):
+            self.at, self.seen = at, 0
+
+        def __getattr__(self, name):
+            return getattr(real, name)
+
+        def rename(self, a, b):
+            self.seen += 1
+            return False if self.seen == self.at else real.rename(a, b)
+
+    for at in (1, 2):
+        monkeypatch.setattr(sinks, "_file_system", lambda spark, path, at=at: Failing(at))
+        with pytest.raises(OSError):
+            sinks.replaced(spark.range(5), path)
+        assert spark.read.json(path).count() == 3
+    monkeypatch.undo()
+    sinks.replaced(spark.range(5), path)
+    assert spark.read.json(path).count() == 5
+
+
+def test_repeated_info_records_do_not_multiply_videos(spark):
+    v = spark.createDataFrame([("a", "t", "u", None, None, None)], S.VIDEO)
+    info = spark.createDataFrame([("a", "20240101", 5, 2.0, "1.json"), ("a", "20240202", 6, 3.0, "2.json"), ("", "20250101", 1, 1.0, "3.json")], "id string, upload_date string, view_count long, duration double, file string")
+    assert [(r.upload_date, r.view_count) for r in videos.backfill(v, info).collect()] == [("20240202", 6)]
+    assert videos.backfill(v, info.drop("file")).count() == 1
+
+
+def test_repeated_runs_of_sinks_add_nothing(spark, tmp_path):
+    ids = spark.createDataFrame([("a",), ("b",), ("a",)], "id string")
+    for _ in range(2):
+        sinks.append_lines(ids, str(tmp_path / "ids"))
+    assert sorted(r.value for r in lists.lines(spark, str(tmp_path / "ids")).collect()) == ["a", "b"]
+    rows = spark.createDataFrame([("a", "one"), ("b", "two")], S.TRANSCRIPT)
+    sinks.transcripts(rows.limit(1), str(tmp_path / "t"), "c")
+    sinks.transcripts(rows.withColumn("body", F.lit("new")), str(tmp_path / "t"), "c")
+    got = {r.id: r.body for r in spark.read.parquet(str(tmp_path / "t")).collect()}
+    assert len(got) == 2 and sorted(got.values()) in (["new\n", "one\n"], ["new\n", "two\n"])
+    for _ in range(2):
+        sinks.append_records(rows, str(tmp_path / "r"))
+    assert spark.read.json(str(tmp_path / "r")).count() == 4
+
+
+def test_fetcher(tmp_path):
+    from types import SimpleNamespace
+
+    from tidemark.sources import fetcher
+
+    def run(command, **how):
+        if command[0] == "broken":
+            raise OSError("not there")
+        if command[1:] == ["--version"]:
+            return SimpleNamespace(stdout={"old": "2025.01.01\n", "silent": "", "new": "2026.02.02\n"}[command[0]], returncode=0)
+        if "listed" in command[-1]:
+            how["stdout"].write("{}\n")
+        return SimpleNamespace(returncode=1, stderr="refused", stdout="")
+
+    assert fetcher.find([None, "broken", "silent", "old", "new"], run) == ("old", "2025.01.01", False)
+    assert fetcher.find(["new"], run)[2]
+    with pytest.raises(FileNotFoundError):
+        fetcher.find(["broken"], run)
+    fetcher.list_channel("new", "http://listed", str(tmp_path / "a"), run)  # ends badly, but has listed something
+    assert (tmp_path / "a").read_text() == "{}\n"
+    with pytest.raises(RuntimeError, match="refused"):
+        fetcher.list_channel("new", "http://empty", str(tmp_path / "b"), run)
+    seen = []
+    fetcher.fetch_captions("new", ["-a", "b"], "/x", 2.0, lambda c, **_: seen.append(c))
+    assert seen[0][-3:] == ["--", "-a", "b"] and "en.*" in seen[0] and seen[0][0] == "new"
+
+
+def test_one_hot_group_is_spread(spark, monkeypatch):
+    """A day, a count or a domain that holds every row still takes many ranges, each a bounded part."""
+    from tidemark.operators import ordering
+
+    made, real = [], ordering.staged
+    monkeypatch.setattr(ordering, "staged", lambda df, name: made.append(real(df, name)) or made[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(20_000).selectExpr("id", "'same' as g", "1 as count")
+        for within in (None, ["g"]):
+            out = ordering.with_ordinal(rows, [F.desc("count"), F.desc("id")], "place", within)
+            assert out.filter("place = 19999 - id").count() == 20_000
+            assert max(r["count"] for r in made[-1].groupBy("__range").count().collect()) < 10_000
+        assert ordering.with_ordinal(rows.limit(0), [F.col("id")], "place").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_shared_folder_is_named_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from tidemark import staging
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    with pytest.raises(ValueError):
+        staging.shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")))

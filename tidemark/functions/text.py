@@ -190,17 +190,38 @@ def decoded(binary) -> Column:
     return F.make_valid_utf8(_col(binary).cast("string"))
 
 
-_UNTRANSLATABLE = re.compile(r"\(\?\(|\\[NZAbB]?\{|(?<!\\)\(\?[a-zA-Z]*L")
+#: Without regard to case, Unicode classes, and the line feed as the only line end: as Python's patterns are read.
+JAVA_FLAGS = "(?iuUd)"
+_PYTHON_ONLY = re.compile(r"\(\?\(|\\[NZAbB]?\{|\(\?[a-zA-Z]*[Lx]")
+_PARTS = re.compile(r"(?s)\\.|\(\?P<(\w+)>|\(\?P=(\w+)\)|\[\^?\]?|.")
 
 
 def java_pattern(pattern: str) -> str | None:
     """A Python pattern, searched without regard to case, for the JVM; None where only Python can run it."""
     re.compile(pattern)  # a broken taxonomy fails when it is read
-    if _UNTRANSLATABLE.search(pattern):
+    if _PYTHON_ONLY.search(pattern.replace("\\\\", "")):
         return None
-    out = re.sub(r"\(\?P<([A-Za-z]\w*)>", lambda m: f"(?<{m[1].replace('_', '')}>", pattern)
-    out = re.sub(r"\(\?P=([A-Za-z]\w*)\)", lambda m: rf"\k<{m[1].replace('_', '')}>", out)
-    return "(?iuU)" + out.replace(r"\Z", r"\z")
+    out, inside, names = [], False, {}
+    for m in _PARTS.finditer(pattern):
+        x = m[0]
+        if x[0] == "[":
+            # in a class a bracket is a plain character to Python, and the start of a nested class to Java
+            out.append((r"\[" if inside else "[") + x[1:].replace("]", r"\]") if not inside or x == "[" else None)
+            if out[-1] is None:  # "[]" or "[^]" inside a class: a bracket, and the end of the class
+                out[-1], inside = r"\[" + x[1:], not x.endswith("]")
+            else:
+                inside = True
+        elif x == "]" and inside:
+            inside = False
+            out.append(x)
+        elif inside:
+            out.append(r"\&" if x == "&" else x)
+        elif m[1] or m[2]:
+            name = names.setdefault(m[1] or m[2], f"g{len(names)}")
+            out.append(f"(?<{name}>" if m[1] else rf"\k<{name}>")
+        else:
+            out.append(r"\z" if x == r"\Z" else x)
+    return JAVA_FLAGS + "".join(out)
 
 
 def searches(c, pattern: str) -> Column:

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from .ordering import with_ordinal
+
+
+#: Domains of a taxonomy at most; every title is held against each.
+MOST_DOMAINS = 10_000
 
 
 def with_titles(transcripts: DataFrame, videos: DataFrame, order: str = "ingest_ord") -> DataFrame:
@@ -26,18 +31,27 @@ def labelled(rows: DataFrame, domains: list[tuple[str, str]]) -> DataFrame:
 
 
 def labelled_by_table(rows: DataFrame, domains: DataFrame) -> DataFrame:
-    """The same for a taxonomy held in a table (domain, pattern for the JVM); the table is the broadcast side."""
-    return rows.join(F.broadcast(domains.select("domain", "pattern")), F.expr("title rlike concat('(?iuU)', pattern)")).drop("pattern")
+    """The same for a taxonomy held in a table (domain, pattern for the JVM), one of at most MOST_DOMAINS rows."""
+    taxonomy = domains.select("domain", "pattern")
+    if len(taxonomy.limit(MOST_DOMAINS + 1).collect()) > MOST_DOMAINS:
+        raise ValueError(f"a taxonomy has at most {MOST_DOMAINS} domains")
+    taxonomy = F.broadcast(taxonomy)
+    return rows.join(taxonomy, F.expr(f"title rlike concat('{X.JAVA_FLAGS}', pattern)")).drop("pattern")
+
+
+_MEMBER = ("domain", "place", "id", "title", "views", "words")
 
 
 def members(hits: DataFrame) -> DataFrame:
-    """Members of each domain in order of views, then id."""
-    place = F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("views"), "id"))
-    return hits.withColumn("place", place.cast("long")).select("domain", "place", "id", "title", "views", "words")
+    """Members of each domain in order of views, then id; a domain may take many tasks."""
+    placed = with_ordinal(hits, [F.desc("views"), F.col("id")], "place", ["domain"])
+    return placed.withColumn("place", F.col("place") + 1).select(*_MEMBER)
 
 
 def top_members(hits: DataFrame, n: int = 25) -> DataFrame:
-    return members(hits).filter(F.col("place") <= n)
+    """The first n members of each domain; every task keeps n of a domain before they meet."""
+    place = F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("views"), "id"))
+    return hits.withColumn("place", place.cast("long")).filter(F.col("place") <= n).select(*_MEMBER)
 
 
 def summary(hits: DataFrame, domains: DataFrame) -> DataFrame:
@@ -79,5 +93,3 @@ def nested(hits: DataFrame, domains: DataFrame) -> DataFrame:
     item = F.struct("place", F.struct("id", "title", "views", "words").alias("m"))
     grouped = members(hits).groupBy("domain").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["m"]).alias("members"))
     return domains.select("ord", "domain").join(grouped, "domain", "left").withColumn("members", F.coalesce("members", F.array().cast("array<struct<id:string,title:string,views:bigint,words:bigint>>")))
-
-

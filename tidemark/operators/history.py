@@ -4,26 +4,42 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import falsy_to_null
 from .ordering import with_ordinal
 
 
+#: Bits of an input place below the number of its source.
+SOURCE_BITS = 52
+
+
 def union_sources(*sources: DataFrame) -> DataFrame:
-    """All events of all sources; a view that two sources hold counts twice."""
-    return reduce(DataFrame.unionByName, sources)
+    """All events of all sources; a view that two sources hold counts twice.
+
+    The number of the source goes above the place in it, so input order is that of the sources, then that inside them.
+    """
+    numbered = (s.withColumn("ingest_ord", F.lit(i << SOURCE_BITS) + F.col("ingest_ord")) for i, s in enumerate(sources))
+    return reduce(DataFrame.unionByName, numbered)
+
+
+def _order() -> list[Column]:
+    return [F.coalesce("watched_at", F.lit("")), F.col("video_id"), F.col("ingest_ord")]
+
+
+def place(events: DataFrame) -> Column:
+    """A value that orders events as the history does: history_ord where they have one, else the sort key itself."""
+    return F.col("history_ord") if "history_ord" in events.columns else F.struct(*_order())
 
 
 def in_order(events: DataFrame) -> DataFrame:
     """Events with their place in history order: time as text (none first), video, then input order."""
-    when = F.coalesce("watched_at", F.lit(""))
-    return with_ordinal(events, F.substr(when, F.lit(1), F.lit(10)), [when, "video_id", "ingest_ord"], "history_ord")
+    return with_ordinal(events, _order(), "history_ord")
 
 
 def sorted_history(events: DataFrame) -> DataFrame:
-    return events.orderBy(F.coalesce("watched_at", F.lit("")), "video_id", "ingest_ord")
+    return events.orderBy(*_order())
 
 
 def source_counts(events: DataFrame) -> DataFrame:

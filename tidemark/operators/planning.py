@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.text import SPACE, file_stem, strip, without_suffix
 from .ordering import with_ordinal
 
-#: Rows of input order that one task numbers.
-SPAN = 65_536
-
-
 def done_ids(transcripts: DataFrame, srt: DataFrame, no_captions: DataFrame) -> DataFrame:
     """Ids with a transcript file, a caption file that is not empty, or a recorded miss.
 
@@ -30,7 +26,7 @@ def todo(videos: DataFrame, done: DataFrame) -> DataFrame:
 
 def shard(rows: DataFrame, shard: int = 0, shards: int = 1, limit: int = 0, order: str = "ingest_ord") -> DataFrame:
     """Every shards-th row from `shard` on of what is left, then at most limit rows (0: all), with its place."""
-    placed = with_ordinal(rows, F.floor(F.col(order) / SPAN), [order], "place")
+    placed = with_ordinal(rows, [F.col(order)], "place")
     mine = placed.filter(F.col("place") % shards == shard).withColumn("place", F.expr(f"place div {shards}"))
     return mine.filter(F.col("place") < limit) if limit else mine
 
@@ -53,7 +49,7 @@ def not_fetched(batch: DataFrame, srt: DataFrame) -> DataFrame:
 def resolve_plan(ids: DataFrame, cache: DataFrame, limit: int = 150, batch: int = 20) -> DataFrame:
     """The next ids to resolve, in order, with their batch; ids in the cache (misses too) are not asked for again."""
     next_ids = ids.select("video_id").distinct().join(cache.select("video_id"), "video_id", "left_anti").orderBy("video_id").limit(limit)
-    return batches(with_ordinal(next_ids, F.lit(0), ["video_id"], "place"), batch)  # at most limit rows
+    return batches(with_ordinal(next_ids, [F.col("video_id")], "place"), batch)
 
 
 def lookup_lines(lines: DataFrame) -> DataFrame:

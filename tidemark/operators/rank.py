@@ -1,4 +1,7 @@
-"""Creators ranked by breadth, repetition, span and recency of viewing."""
+"""Creators ranked by breadth, repetition, span and recency of viewing.
+
+First addresses, first titles and ties go by history order (`history.place`), not by the order of the input.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, iso_day
 from ..functions.text import first_truthy
+from .history import place
 from .ordering import with_ordinal
 
 TITLES = 25
@@ -24,7 +28,7 @@ def attribute(events: DataFrame, cache: DataFrame | None = None) -> DataFrame:
 
 def _first_titles(rows: DataFrame, most: int) -> DataFrame:
     """The first distinct titles of a channel. A channel's titles are cut to `most` before they meet in one place."""
-    seen = rows.groupBy("channel", "title").agg(F.min("ingest_ord").alias("ord"))
+    seen = rows.groupBy("channel", "title").agg(F.min("__place").alias("ord"))
     first = seen.withColumn("r", F.row_number().over(Window.partitionBy("channel").orderBy("ord", "title"))).filter(F.col("r") <= most)
     return first.groupBy("channel").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "title"))), lambda x: x["title"]).alias("sample_titles"))
 
@@ -35,18 +39,18 @@ def creators(events: DataFrame, cache: DataFrame | None = None, min_videos: int
     With rank, their place (from 0): most videos, most events, then first seen. It is worked out before the titles are
     joined, from the totals alone.
     """
-    rows = attribute(events, cache).withColumn("day", iso_day("watched_at"))
+    rows = attribute(events.withColumn("__place", place(events)), cache).withColumn("day", iso_day("watched_at"))
     totals = rows.groupBy("channel").agg(
         F.count_distinct("video_id").alias("videos"),
         F.count("*").alias("events"),
         F.min("day").alias("first"),
         F.max("day").alias("last"),
-        F.min_by("channel_url", F.when(F.col("channel_url").isNotNull(), F.col("ingest_ord"))).alias("channel_url"),
-        F.min("ingest_ord").alias("first_ord"),
+        F.min_by("channel_url", F.when(F.col("channel_url").isNotNull(), F.col("__place"))).alias("channel_url"),
+        F.min("__place").alias("first_ord"),
     )
     kept = totals.filter(F.col("videos") >= min_videos)
     if rank:
-        kept = with_ordinal(kept, -F.col("videos"), [F.desc("videos"), F.desc("events"), "first_ord"], "rank")
+        kept = with_ordinal(kept, [F.desc("videos"), F.desc("events"), F.col("first_ord")], "rank")
     return kept.join(_first_titles(rows, titles), "channel").select(
         "channel",
         "channel_url",

@@ -24,14 +24,26 @@ def channel_name(raw: DataFrame, order: str = "ingest_ord") -> DataFrame:
     return kept.agg(F.min_by(name, F.when(name.isNotNull(), F.col(order))).alias("channel"))
 
 
+def channel_record(raw: DataFrame, slug: str, url: str, tab: str = "videos", order: str = "ingest_ord") -> DataFrame:
+    """One row: a channel's slug, name (the slug where no entry has one), address, tab and number of videos."""
+    count = reduce_videos(raw, order).agg(F.count("*").alias("video_count"))
+    one = channel_name(raw, order).join(F.broadcast(count), F.lit(True))
+    return one.select(F.lit(slug).alias("slug"), F.coalesce("channel", F.lit(slug)).alias("channel"), F.lit(url).alias("url"), F.lit(tab).alias("tab"), "video_count")
+
+
 def runtime(videos: DataFrame) -> DataFrame:
     """Videos and their total hours."""
     return videos.agg(F.count("*").alias("videos"), (F.coalesce(F.sum("duration"), F.lit(0.0)) / 3600).alias("hours"))
 
 
 def backfill(videos: DataFrame, info: DataFrame) -> DataFrame:
-    """Missing (null, not zero or empty) dates, views and durations from info records; `filled` tells where a date was."""
-    side = info.select(F.col("id").alias("__id"), *(F.col(c).alias(f"__{c}") for c in ("upload_date", "view_count", "duration")))
+    """Missing (null, not zero or empty) dates, views and durations from info records; `filled` tells where a date was.
+
+    Of repeated ids the record whose file sorts last counts (where they have no file, the greatest one), so no video is multiplied.
+    """
+    fields = ("upload_date", "view_count", "duration")
+    one = latest_info(info) if "file" in info.columns else latest_info(info.withColumn("__all", F.struct(*fields)), "__all")
+    side = one.select(F.col("id").alias("__id"), *(F.col(c).alias(f"__{c}") for c in ("upload_date", "view_count", "duration")))
     joined = videos.join(side, videos["id"] == F.col("__id"), "left")
     filled = F.col("upload_date").isNull() & F.col("__upload_date").isNotNull()
     new = {c: F.coalesce(c, f"__{c}") for c in ("upload_date", "view_count", "duration")}

@@ -24,12 +24,12 @@ def query(sql: str | None = None):
 def _srt(spark, d):
     """A caption file of each conversation: a cue of two lines for each turn, with tags and index lines."""
     c = T.table(spark, d, "conversations")
-    said = F.regexp_replace(F.substr("text", F.lit(1), F.lit(60)), r"[\s&<>]+", " ")
+    said = F.regexp_replace("text", r"[\s&<>]+", " ")
     cue = F.concat(F.col("turn").cast("string"), F.lit("\n00:00:0"), (F.col("turn") % 10).cast("string"), F.lit(",000 --> 00:00:59,000 x\n42\n<i>"), F.trim(said), F.lit("</i>\n7\n<b></b>\n \n"))
     return c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", cue.alias("cue")))), lambda x: x["cue"]), "").alias("content"))
 
 
-_SAID = r"trim(regexp_replace(substr(text, 1, 60), '[\s&<>]+', ' ', 'g'))"
+_SAID = r"trim(regexp_replace(text, '[\s&<>]+', ' ', 'g'))"
 
 
 @query(
@@ -45,14 +45,14 @@ def srt_parse(spark, d):
 
 def _rolling(spark, d):
     c = T.table(spark, d, "conversations")
-    line = F.when(F.col("turn") % 3 == 2, "again").otherwise(F.substr("text", F.lit(1), F.lit(30)))
+    line = F.when(F.col("turn") % 3 == 2, "again").otherwise(F.col("text"))
     lines = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("x")))), lambda x: x["x"]).alias("l"))
     # every line comes back one and two cues later, as rolling captions do
     return lines.select("conv_id", F.flatten(F.transform("l", lambda x, i: F.concat(F.slice("l", F.greatest(i - 1, F.lit(1)), F.lit(2)), F.array(x)))).alias("l"))
 
 
 _ROLLING = """
-WITH l AS (SELECT conv_id, list(CASE WHEN turn % 3 = 2 THEN 'again' ELSE substr(text, 1, 30) END ORDER BY turn) AS l FROM conversations GROUP BY conv_id),
+WITH l AS (SELECT conv_id, list(CASE WHEN turn % 3 = 2 THEN 'again' ELSE text END ORDER BY turn) AS l FROM conversations GROUP BY conv_id),
 r AS (SELECT conv_id, flatten(list_transform(range(0, len(l)), lambda i: list_concat(l[greatest(i - 1, 1) : greatest(i - 1, 1) + 1], [l[i + 1]]))) AS l FROM l)
 SELECT conv_id, array_to_string(list_reduce(l, lambda a, x: CASE WHEN list_contains(a[greatest(len(a) - 2, 1) : len(a)], x[1]) THEN a ELSE list_concat(a, x) END), '|') AS said
 FROM (SELECT conv_id, list_concat([[]::VARCHAR[]], list_transform(l, lambda x: [x])) AS l FROM r)

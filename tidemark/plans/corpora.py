@@ -32,12 +32,12 @@ def doc_slug_ascii(spark, d):
 
 @query()
 def doc_slug_unicode(spark, d):
-    return T.documents(spark, d).select("id", X.doc_slug(F.substr("text", F.lit(1), F.lit(60))).alias("slug"))
+    return T.documents(spark, d).select("id", X.doc_slug("text").alias("slug"))
 
 
-@query("SELECT page_id, replace(replace(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&') AS title FROM pages")
+@query("SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;?', '&', 'g') AS page FROM pages")
 def html_unescape(spark, d):
-    return T.table(spark, d, "pages").select("page_id", X.unescape_html(F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)).alias("title"))
+    return T.table(spark, d, "pages").select("page_id", X.unescape_html("html").alias("page"))
 
 
 @query("SELECT page_id, regexp_replace(html, '<[^>]+>', '', 'g') AS bare FROM pages")
@@ -83,37 +83,47 @@ def _pages(spark, d):
     return docs.select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), page.alias("text"))
 
 
-_PAGES = "(SELECT source AS doc, doc_id AS page, 'HEAD OF ' || upper(source) || chr(10) || text || chr(10) || CASE WHEN doc_id % 7 = 0 THEN 'xiv' ELSE (doc_id % 2000)::VARCHAR END AS text FROM documents)"
-_FURNITURE = rf"""
-l AS (SELECT doc, page, unnest(x) AS line, generate_subscripts(x, 1) AS pos, len(x) AS last FROM (SELECT doc, page, string_split(text, chr(10)) AS x FROM {_PAGES})),
+_BY_SOURCE = "(SELECT source AS doc, doc_id AS page, 'HEAD OF ' || upper(source) || chr(10) || text || chr(10) || CASE WHEN doc_id % 7 = 0 THEN 'xiv' ELSE (doc_id % 2000)::VARCHAR END AS text FROM documents)"
+_FURNITURE = r"""
+l AS (SELECT doc, page, unnest(x) AS line, generate_subscripts(x, 1) AS pos, len(x) AS last FROM (SELECT doc, page, string_split(text, chr(10)) AS x FROM {pages})),
 b AS (SELECT *, trim(line, ' ' || chr(9)) AS bare FROM l WHERE trim(line, ' ' || chr(9)) <> ''),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc, page ORDER BY pos) AS f, row_number() OVER (PARTITION BY doc, page ORDER BY pos DESC) AS z FROM b),
 c AS (SELECT doc, bare, count(DISTINCT page) AS n FROM r WHERE (f <= 3 OR z <= 3) AND length(bare) < 80 GROUP BY 1, 2),
-k AS (SELECT doc, greatest(5, count(*) // 20) AS need FROM {_PAGES} GROUP BY doc),
+k AS (SELECT doc, greatest(5, count(*) // 20) AS need FROM {pages} GROUP BY doc),
 g AS (SELECT c.doc, bare, n FROM c JOIN k ON c.doc = k.doc WHERE n >= need)"""
+_STRIPPED = """WITH """ + _FURNITURE.strip() + """,
+s AS (SELECT l.doc, string_agg(line, chr(10) ORDER BY page, pos) AS text FROM l LEFT JOIN g ON g.doc = l.doc AND g.bare = trim(line, ' ' || chr(9))
+  WHERE g.bare IS NULL AND NOT regexp_full_match(trim(line, ' ' || chr(9)), '(?i)([ivxlcdm]+|[0-9]{{1,4}})') AND NOT (line = '' AND pos = last) GROUP BY l.doc)
+SELECT k.doc, sha256(coalesce(s.text, '')) AS text_sha, length(coalesce(s.text, '')) AS n_chars FROM k LEFT JOIN s ON s.doc = k.doc"""
 
 
-@query(f"WITH {_FURNITURE.strip()} SELECT doc, bare AS line, n FROM g")
+@query(f"WITH {_FURNITURE.strip().format(pages=_BY_SOURCE)} SELECT doc, bare AS line, n FROM g")
 def furniture_lines(spark, d):
     return O.furniture_lines(_pages(spark, d))
 
 
-@query(
-    f"""WITH {_FURNITURE.strip()},
-s AS (SELECT l.doc, string_agg(line, chr(10) ORDER BY page, pos) AS text FROM l LEFT JOIN g ON g.doc = l.doc AND g.bare = trim(line, ' ' || chr(9))
-  WHERE g.bare IS NULL AND NOT regexp_full_match(trim(line, ' ' || chr(9)), '(?i)([ivxlcdm]+|[0-9]{{1,4}})') AND NOT (line = '' AND pos = last) GROUP BY l.doc)
-SELECT k.doc, sha256(coalesce(s.text, '')) AS text_sha, length(coalesce(s.text, '')) AS n_chars FROM k LEFT JOIN s ON s.doc = k.doc"""
-)
+@query(_STRIPPED.format(pages=_BY_SOURCE))
 def page_furniture(spark, d):
     out = O.stripped_pages(_pages(spark, d))
     return out.select("doc", F.sha2("text", 256).alias("text_sha"), F.length("text").cast("long").alias("n_chars"))
 
 
-@query("SELECT doc_id, string_agg('Body ' || p::VARCHAR || ' of ' || doc_id::VARCHAR, chr(10) ORDER BY p) AS text FROM documents, range(1, 31) AS r(p) WHERE doc_id % 10 = 0 GROUP BY doc_id")
+_IN_ROW = "(SELECT doc_id AS doc, p AS page, 'Folio of ' || doc_id::VARCHAR || chr(10) || array_to_string(x[p * 4 + 1 : p * 4 + 4], chr(10)) || chr(10) || (p + 1)::VARCHAR AS text FROM (SELECT doc_id, x, unnest(range(0, (len(x) + 3) // 4)) AS p FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents)))"
+
+
+@query(_STRIPPED.format(pages=_IN_ROW))
 def page_furniture_in_row(spark, d):
-    pages = F.transform(F.sequence(F.lit(1), F.lit(30)), lambda p: F.concat(F.lit("RUNNING HEADER\nBody "), p.cast("string"), F.lit(" of "), F.col("doc_id").cast("string"), F.lit("\n"), p.cast("string")))
-    rows = T.table(spark, d, "documents").filter("doc_id % 10 = 0").withColumn("t", F.array_join(pages, "\f"))
-    return rows.select("doc_id", O.without_furniture("t").alias("text"))
+    """Every document as a book of pages of four lines each, with a head and a page number."""
+    lines = F.split("text", "\n")
+    head = F.concat(F.lit("Folio of "), F.col("doc_id").cast("string"), F.lit("\n"))
+
+    def pages(x):
+        firsts = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / 4).cast("int"))
+        return F.transform(firsts, lambda p: F.concat(head, F.array_join(F.slice(x, p * 4 + 1, 4), "\n"), F.lit("\n"), (p + 1).cast("string")))
+
+    rows = T.table(spark, d, "documents").withColumn("t", F.array_join(X.let(lines, pages), "\f"))
+    out = rows.select(F.col("doc_id").alias("doc"), O.without_furniture("t").alias("text"))
+    return out.select("doc", F.sha2("text", 256).alias("text_sha"), F.length("text").cast("long").alias("n_chars"))
 
 
 def _files(spark, d):
@@ -152,7 +162,7 @@ def slug_collisions(spark, d):
     return O.slug_collisions(p.select(F.concat(F.lit("transcripts/"), X.doc_slug("p_name"), F.lit(".txt")).alias("transcript"), F.col("p_partkey").cast("string").alias("sha256")))
 
 
-@query("SELECT page_id, file_stem, no_suffix, ext FROM (SELECT page_id, 'v' || page_id::VARCHAR AS file_stem, 'v' || page_id::VARCHAR || '.en' AS no_suffix, '.srt' AS ext FROM pages)")
+@query("SELECT page_id, string_split(n, '.')[1] AS file_stem, substr(n, 1, greatest(length(n) - 4, 0)) AS no_suffix, '.srt' AS ext FROM (SELECT page_id, string_split(url, '/')[-1] || '.en.SRT' AS n FROM pages)")
 def file_names(spark, d):
-    name = F.concat(F.lit("v"), F.col("page_id").cast("string"), F.lit(".en.SRT"))
+    name = F.concat(F.substring_index("url", "/", -1), F.lit(".en.SRT"))
     return T.table(spark, d, "pages").select("page_id", X.file_stem(name).alias("file_stem"), X.without_suffix(name).alias("no_suffix"), X.suffix(name).alias("ext"))

@@ -74,7 +74,7 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").cast("string").alias("id"),
-        F.substr("text", F.lit(1), F.lit(20)).alias("title"),
+        F.col("text").alias("title"),
         F.when(F.col("doc_id") % 3 == 0, "20230615").alias("upload_date"),
         F.when(F.col("doc_id") % 4 == 0, 0).when(F.col("doc_id") % 4 == 1, F.col("n_chars")).cast("long").alias("view_count"),
         F.when(F.col("doc_id") % 2 == 0, F.col("n_chars") / 2).cast("double").alias("duration"),
@@ -84,6 +84,6 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LISTED_SQL = """(SELECT doc_id::VARCHAR AS id, substr(text, 1, 20) AS title, CASE WHEN doc_id % 3 = 0 THEN '20230615' END AS upload_date,
+LISTED_SQL = """(SELECT doc_id::VARCHAR AS id, text AS title, CASE WHEN doc_id % 3 = 0 THEN '20230615' END AS upload_date,
   CASE WHEN doc_id % 4 = 0 THEN 0 WHEN doc_id % 4 = 1 THEN n_chars END::BIGINT AS view_count,
   CASE WHEN doc_id % 2 = 0 THEN n_chars / 2 END::DOUBLE AS duration, source AS channel, lang AS uploader, doc_id AS ingest_ord FROM documents)"""

@@ -26,11 +26,11 @@ def query(sql: str | None = None):
 
 
 _RANK_SQL = """
-WITH e AS (SELECT * FROM {rows} WHERE channel IS NOT NULL),
-t AS (SELECT channel, title, min(ingest_ord) AS o FROM e GROUP BY 1, 2),
+WITH e AS (SELECT *, row_number() OVER (ORDER BY coalesce(watched_at, ''), video_id, ingest_ord) AS ord FROM {rows} WHERE channel IS NOT NULL),
+t AS (SELECT channel, title, min(ord) AS o FROM e GROUP BY 1, 2),
 f AS (SELECT channel, string_agg(title, '|' ORDER BY o, title) AS sample_titles FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY o, title) AS r FROM t) WHERE r <= 25 GROUP BY channel),
-a AS (SELECT channel, arg_min(channel_url, ingest_ord) FILTER (WHERE channel_url IS NOT NULL) AS channel_url, count(DISTINCT video_id) AS videos, count(*) AS events,
-  min(substr(watched_at, 1, 10)) AS first_watched, max(substr(watched_at, 1, 10)) AS last_watched, min(ingest_ord) AS first_ord FROM e GROUP BY channel)
+a AS (SELECT channel, arg_min(channel_url, ord) FILTER (WHERE channel_url IS NOT NULL) AS channel_url, count(DISTINCT video_id) AS videos, count(*) AS events,
+  min(substr(watched_at, 1, 10)) AS first_watched, max(substr(watched_at, 1, 10)) AS last_watched, min(ord) AS first_ord FROM e GROUP BY channel)
 SELECT row_number() OVER (ORDER BY videos DESC, events DESC, first_ord) AS rank, channel, channel_url, videos, events,
   date_diff('day', first_watched::DATE, last_watched::DATE) AS span_days, first_watched, last_watched, sample_titles
 FROM a JOIN f USING (channel) WHERE videos >= 3
@@ -68,7 +68,7 @@ def rank_creators_resolved(spark, d):
     return _ranking(T.watch_events(spark, d), cache)
 
 
-@query(f"SELECT channel, videos, events FROM (SELECT channel, count(DISTINCT video_id) AS videos, count(*) AS events, min(ingest_ord) AS o FROM {EVENTS_SQL} WHERE channel IS NOT NULL GROUP BY channel) WHERE videos >= 3 ORDER BY videos DESC, events DESC, o LIMIT 40")
+@query(f"SELECT channel, videos, events FROM (SELECT channel, count(DISTINCT video_id) AS videos, count(*) AS events, min(ord) AS o FROM (SELECT *, row_number() OVER (ORDER BY coalesce(watched_at, ''), video_id, ingest_ord) AS ord FROM {EVENTS_SQL}) WHERE channel IS NOT NULL GROUP BY channel) WHERE videos >= 3 ORDER BY videos DESC, events DESC, o LIMIT 40")
 def top_creators(spark, d):
     return rank.top_creators(rank.creators(T.watch_events(spark, d))).select("channel", "videos", "events")
 
@@ -93,11 +93,15 @@ def history_stats(spark, d):
     return history.history_stats(T.watch_events(spark, d))
 
 
-@query(f"SELECT ingest_ord, source, video_id, row_number() OVER (ORDER BY coalesce(watched_at, ''), video_id, ingest_ord) - 1 AS history_ord FROM {EVENTS_SQL} WHERE source <> 'view'")
+_SOURCES = ("view", "click", "purchase")
+
+
+@query(f"SELECT ingest_ord, source, video_id, row_number() OVER (ORDER BY coalesce(watched_at, ''), video_id, CASE source WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'purchase' THEN 2 ELSE 3 END, ingest_ord) - 1 AS history_ord FROM {EVENTS_SQL}")
 def history_union_order(spark, d):
     e = T.watch_events(spark, d)
-    parts = [e.filter(F.col("source") == s) for s in ("click", "purchase", "signup", "error")]
-    return history.in_order(history.union_sources(*parts)).select("ingest_ord", "source", "video_id", "history_ord")
+    parts = [*(e.filter(F.col("source") == s) for s in _SOURCES), e.filter(F.col("source").isNull() | ~F.col("source").isin(*_SOURCES))]
+    placed = history.in_order(history.union_sources(*parts))
+    return placed.select(F.col("ingest_ord").bitwiseAND(F.lit((1 << history.SOURCE_BITS) - 1)).alias("ingest_ord"), "source", "video_id", "history_ord")
 
 
 @query(f"SELECT DISTINCT video_id FROM {EVENTS_SQL} WHERE coalesce(channel, '') = ''")
@@ -173,14 +177,15 @@ def html_anchors(spark, d):
     return T.table(spark, d, "pages").select("page_id", F.explode(takeout.anchors("html")).alias("a")).select("page_id", "a.href", "a.label")
 
 
-_CELLS_SQL = "(SELECT page_id, unnest(string_split_regex(replace(html, '<li>', '<DIV class=\"outer-cell'), '(?i)<div class=\"outer-cell')[2:]) AS cell FROM pages)"
+_CELLS_SQL = "(SELECT page_id, unnest(c) AS cell, generate_subscripts(c, 1) AS pos FROM (SELECT page_id, string_split_regex(replace(html, '<li>', '<DIV class=\"outer-cell'), '(?i)<div class=\"outer-cell')[2:] AS c FROM pages))"
 
 
-@query(f"SELECT page_id, cell FROM {_CELLS_SQL} WHERE NOT contains(substr(cell, 1, 400), 'track(1')")
+@query(f"SELECT page_id, pos - 1 AS ingest_ord, cell FROM (SELECT page_id, pos, replace(cell, 'the</a>', 'YouTube Music</a>') AS cell FROM {_CELLS_SQL}) x WHERE NOT contains(substr(cell, 1, 400), 'YouTube Music')")
 def html_cells(spark, d):
-    html = F.replace("html", F.lit("<li>"), F.lit('<DIV class="outer-cell'))
-    cells = T.table(spark, d, "pages").select("page_id", F.explode(takeout.html_cells(html)).alias("cell"))
-    return cells.filter(~F.contains(F.substr("cell", F.lit(1), F.lit(400)), F.lit("track(1")))
+    """List items as event cells; some labels are those of the music section."""
+    html = F.replace(F.replace("html", F.lit("<li>"), F.lit('<DIV class="outer-cell')), F.lit("the</a>"), F.lit("YouTube Music</a>"))
+    cells = takeout.event_cells(T.table(spark, d, "pages").select("page_id", html.alias("text")), "page_id")
+    return cells.select("page_id", F.col("ingest_ord").cast("long").alias("ingest_ord"), "cell")
 
 
 @query(
@@ -347,4 +352,4 @@ def latest_info(spark, d):
 
 @query("SELECT p_partkey, p_type, row_number() OVER (PARTITION BY p_type ORDER BY p_size, p_partkey) - 1 AS place FROM part")
 def ordinal_within(spark, d):
-    return with_ordinal(T.table(spark, d, "part"), F.col("p_size"), ["p_size", "p_partkey"], "place", ["p_type"]).select("p_partkey", "p_type", "place")
+    return with_ordinal(T.table(spark, d, "part"), [F.col("p_size"), F.col("p_partkey")], "place", ["p_type"]).select("p_partkey", "p_type", "place")

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sources import lists
+
 
 def json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines in the frame's order, null fields kept, text beyond ASCII as it is."""
@@ -19,8 +21,18 @@ def json_document(df: DataFrame, path: str, order: str) -> None:
     df.agg(F.to_json(rows, {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def json_object(row: DataFrame, path: str) -> None:
+    """One JSON object of a frame of one row (a channel's summary)."""
+    row.limit(1).select(F.to_json(F.struct(*row.columns), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def append_lines(ids: DataFrame, path: str) -> None:
-    ids.select(F.col(ids.columns[0]).cast("string").alias("value")).write.mode("append").text(path)
+    """Ids after those that are there; a repeated run adds nothing."""
+    spark = ids.sparkSession
+    new = ids.select(F.col(ids.columns[0]).cast("string").alias("value")).distinct()
+    if lists.exists(spark, path):
+        new = new.join(spark.read.text(path), "value", "left_anti")
+    new.write.mode("append").text(path)
 
 
 def append_records(records: DataFrame, path: str) -> None:
@@ -29,8 +41,12 @@ def append_records(records: DataFrame, path: str) -> None:
 
 
 def transcripts(df: DataFrame, path: str, corpus: str) -> None:
-    """id and body under their corpus, so that a run reads only its own."""
-    df.select("id", F.concat("body", F.lit("\n")).alias("body"), F.lit(corpus).alias("corpus")).write.mode("append").partitionBy("corpus").parquet(path)
+    """id and body under their corpus, so that a run reads only its own; ids that are there stay as they are."""
+    spark, mine = df.sparkSession, f"{path}/corpus={corpus}"
+    new = df.select("id", F.concat("body", F.lit("\n")).alias("body"))
+    if lists.exists(spark, mine):
+        new = new.join(spark.read.schema("id string").parquet(mine), "id", "left_anti")
+    new.write.mode("append").parquet(mine)
 
 
 def raw_and_reduced(raw: DataFrame, reduced: DataFrame, path: str) -> None:
@@ -39,17 +55,35 @@ def raw_and_reduced(raw: DataFrame, reduced: DataFrame, path: str) -> None:
     json_lines(reduced, f"{path}/videos")
 
 
+def enumerated(raw: DataFrame, reduced: DataFrame, channel: DataFrame, path: str) -> None:
+    """A channel's listing, its videos, and its summary as one object."""
+    raw_and_reduced(raw, reduced, path)
+    json_object(channel, f"{path}/channel")
+
+
+def _file_system(spark, path):
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def replaced(df: DataFrame, path: str) -> None:
-    """A table in place of the one at path, which df may read: written beside it, then renamed."""
+    """A table in place of the one at path, which df may read: written beside it, then renamed.
+
+    If a rename fails the old table is put back and the call fails; nothing is deleted before the new one is in place.
+    On object stores a rename copies, and readers may meet neither table for that time.
+    """
     spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    jvm = spark.sparkContext._jvm
     new, old, at = (jvm.org.apache.hadoop.fs.Path(x) for x in (f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}", path))
     df.write.option("ignoreNullFields", "false").json(new.toString())
-    fs = at.getFileSystem(conf)
-    if fs.exists(at):
-        fs.rename(at, old)
-    fs.rename(new, at)
-    if fs.exists(old):
+    fs = _file_system(spark, at)
+    was = fs.exists(at)
+    if was and not fs.rename(at, old):
+        raise OSError(f"{path} could not be moved aside; the new table is at {new.toString()}")
+    if not fs.rename(new, at):
+        if was:
+            fs.rename(old, at)
+        raise OSError(f"{path} is as it was; the new table is at {new.toString()}")
+    if was:
         fs.delete(old, True)
 
 

@@ -18,10 +18,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Files without a byte at a path or pattern, and in the folders there: readers of files pass them over."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = [x for s in fs.globStatus(at) or () for x in (fs.listStatus(s.getPath()) if s.isDirectory() else (s,))]
+    return [x.getPath().toString() for x in there if x.isFile() and not x.getLen() and x.getPath().getName()[0] not in "._"]
+
+
 def history(spark: SparkSession, path: str) -> DataFrame:
-    """Watch events from JSON lines; ingest_ord where it was written, else the place in the files."""
+    """Watch events from JSON lines. Their order in the files is the history's (history_ord); ingest_ord is as written."""
     rows = spark.read.schema(S.ORDERED_EVENT).json(path)
-    return rows.withColumn("ingest_ord", F.coalesce("ingest_ord", F.monotonically_increasing_id()))
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return rows.withColumns({"history_ord": at, "ingest_ord": F.coalesce("ingest_ord", F.monotonically_increasing_id())})
 
 
 def channel_cache(spark: SparkSession, path: str) -> DataFrame:

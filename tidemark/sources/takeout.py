@@ -15,6 +15,7 @@ from ..functions import dates as D
 from ..functions import text as X
 from ..schemas import TAKEOUT_ENTRY
 from ..session import importable
+from . import lists
 
 # Where exports are looked for, the first pattern with a hit first.
 LOCATIONS = (
@@ -63,8 +64,10 @@ def _choose(archive: str, names: list[str], read) -> tuple[str, bytes]:
 
 
 def export_files(spark: SparkSession, path: str) -> DataFrame:
-    """path, leaf, text of loose files and archives, opened on the executors."""
+    """path, leaf, text of loose files and archives, opened on the executors. An empty file is no export and stops the query."""
     importable(spark)
+    if empty := lists.empty_files(spark, path):
+        raise ValueError(f"{empty[0]} is empty")
     raw = spark.read.format("binaryFile").load(path).select("path", "content")
     loose = raw.filter(~_is_archive()).select("path", F.col("path").alias("leaf"), X.decoded("content").alias("text"))
     packed = raw.filter(_is_archive())
@@ -107,8 +110,9 @@ def json_events(entries: DataFrame) -> DataFrame:
 
 
 def parse_json(files: DataFrame) -> DataFrame:
-    """Watch events of whole JSON exports (text)."""
-    entries = files.select(F.posexplode(F.from_json("text", "array<" + TAKEOUT_ENTRY.simpleString() + ">")).alias("ingest_ord", "e"))
+    """Watch events of whole JSON exports (text). An export that is broken, cut off or empty stops the query."""
+    parsed = F.from_json("text", "array<" + TAKEOUT_ENTRY.simpleString() + ">", {"mode": "FAILFAST"})
+    entries = files.select(F.posexplode(F.coalesce(parsed, F.raise_error(F.lit("an export holds no JSON array")))).alias("ingest_ord", "e"))
     return json_events(entries.select("e.*", F.col("ingest_ord").cast("long").alias("ingest_ord")))
 
 
@@ -151,10 +155,15 @@ def cell_links(cell) -> Column:
     return X.let(found, lambda links: X.let(first_video(links), lambda at: chosen(links, at)))
 
 
+def event_cells(files: DataFrame, *carry: str) -> DataFrame:
+    """The carried columns, place and cell of whole HTML exports (text); cells of the music section go."""
+    cells = files.select(*carry, F.posexplode(html_cells("text")).alias("ingest_ord", "cell"))
+    return cells.filter(~F.contains(F.substr("cell", F.lit(1), F.lit(MUSIC_CHARS)), F.lit(MUSIC)))
+
+
 def parse_html(files: DataFrame) -> DataFrame:
-    """Watch events of whole HTML exports (text); cells of the music section go."""
-    cells = files.select(F.posexplode(html_cells("text")).alias("ingest_ord", "cell"))
-    cells = cells.filter(~F.contains(F.substr("cell", F.lit(1), F.lit(MUSIC_CHARS)), F.lit(MUSIC)))
+    """Watch events of whole HTML exports (text)."""
+    cells = event_cells(files)
     found = cells.select(F.col("ingest_ord").cast("long").alias("ingest_ord"), cell_links("cell").alias("l"), D.locale_stamp("cell").alias("watched_at")).filter("l.video_id is not null")
     return found.select("l.video_id", X.unescape_html("l.title").alias("title"), X.unescape_html("l.channel").alias("channel"), "l.channel_url", "watched_at", F.lit("takeout").alias("source"), "ingest_ord")
 
