@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import tempfile
-import uuid
 import zlib
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import freed, staged  # noqa: F401 - the operators take these from here
+
 #: ASCII white space, the only separators of the word contracts.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 #: Rows of an Arrow batch; texts are long, so fewer than Spark's default.
@@ -30,40 +29,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # the session is gone: nothing is left to clean with
-        pass
-
+#: By operator, what its tasks remember in a worker process.
+_memories: dict[str, list] = {}
 
-_kept: set[str] = set()
 
+def remembered(owner: str, memory):
+    """Note a memory (anything with clear) as that of an operator's tasks."""
+    _memories.setdefault(owner, []).append(memory)
+    return memory
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: its lineage ends there, and lost executors recompute only from it.
 
-    The application's tables go when the Python process ends.
-    """
-    spark = df.sparkSession
-    top = f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}"
-    if top not in _kept:
-        _kept.add(top)
-        atexit.register(_remove, spark, top)
-    path = f"{top}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def working(owner: str) -> None:
+    """A task of an operator starts: what those of other operators left in this worker goes."""
+    for other, memories in _memories.items():
+        if other != owner:
+            for m in memories:
+                m.clear()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
