@@ -7,12 +7,15 @@ added up. A language's prototype bundles the signs of its documents' bundles. A
 prototype has the largest cosine with its bundle.
 
 Prototypes are integer sums, so they do not depend on the order of rows or partitions; each partition adds up its
-own before the sums meet (a row for each language and partition). They are fitted on at most about `FIT_DOCS`
-labelled documents of each language, picked by a hash of the id.
-
-A null text, or one without a letter, is `und` with score 0. Documents of null language are not learned from;
-neither are `und` texts. With nothing to learn from, every document is `und`. Equal cosines go to the language
-that sorts first. Every row returns once; an empty table gives an empty result. Whole texts are read, in blocks.
+own before the sums meet (a row for each language and partition). The sample they are fitted on is bounded: at most
+about `FIT_DOCS` labelled documents of a language, picked by a hash of the id, of the `FIT_LANGUAGES` languages with
+the most labels (a column of dirty labels reaches neither the driver nor the plan).
+
+A null text, or one without a letter (of any plane of Unicode), is `und` with score 0. Documents of null language or id
+are not learned from; neither are `und` texts. With nothing to learn from, every document is `und`. Equal cosines go to
+the language that sorts first. Every row returns once, repeated rows as often as they come; an empty table gives an
+empty result. Whole texts are read, in blocks. Columns other than doc_id, text and lang are not read by `identify`, and
+`keep_known` carries all of them along, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,14 +25,17 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import crc_of_id, prepare
+from .base import crc_of_id, prepare, remembered, working
 
 DIM = 1024
 #: Labelled documents of a language that its prototype is fitted on, about.
 FIT_DOCS = 10_000
+#: Languages at most that are learned, those with the most labels.
+FIT_LANGUAGES = 1_000
 UNKNOWN = "und"
-#: Cosines under this are those of unrelated vectors (about 1 / sqrt(DIM)).
-LEAST_SCORE = 0.03
+#: Best cosines under this are those of unrelated vectors, whose spread is 1 / sqrt(DIM). Of the documents of sf0.1 2 in 10,000 are
+#: below, of random letters in scripts that no document has 99 in 100, of single words 3 in 10.
+LEAST_SCORE = 3 / 32
 #: Characters of a text that are counted at a time.
 BLOCK = 1 << 20
 
@@ -48,25 +54,25 @@ class Trigrams(dict):
     def __missing__(self, code: int):
         import numpy as np
 
-        if len(self) > 30_000:
+        if len(self) > 16_000:
             self.clear()
         a, b, c = code >> 42, code >> 21 & 0x1FFFFF, code & 0x1FFFFF
         v = self[code] = np.roll(symbol(a), 2) * np.roll(symbol(b), 1) * symbol(c)
         return v
 
 
-_trigrams = Trigrams()
+_trigrams = remembered("langid", Trigrams())
 
 
 @functools.cache
 def _folding():
-    """By code point: the lower-case letter's code point, or 0 where there is no letter. Plane 0 and the next two."""
+    """By code point, in all planes: the lower-case letter's code point, or 0 where there is no letter."""
     import sys
 
     import numpy as np
 
-    out = np.zeros(0x30000, np.int64)
-    for i in range(min(len(out), sys.maxunicode)):
+    out = np.zeros(sys.maxunicode + 1, np.int32)
+    for i in range(len(out)):
         ch = chr(i)
         if ch.isalpha():
             low = ch.lower()
@@ -82,7 +88,7 @@ def trigram_codes(text: str):
     parts, last = [], np.zeros(1, np.int64)
     for i in range(0, len(text), BLOCK):
         points = np.frombuffer(text[i : i + BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)
-        letters = np.where(points < len(fold), fold[np.minimum(points, len(fold) - 1)], 0)
+        letters = fold[points].astype(np.int64)
         s = np.concatenate([last, letters])
         keep = np.ones(len(s), bool)
         keep[1:] = (s[1:] != 0) | (s[:-1] != 0)  # one edge between words
@@ -110,9 +116,9 @@ def bundles(texts: list[str | None]):
             continue
         known, at = np.unique(flat, return_inverse=True)
         doc = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-        for lo in range(0, len(known), 8192):  # blocks of trigrams, for texts in many scripts
-            hi = min(lo + 8192, len(known))
-            mine = (at >= lo) & (at < hi) if len(known) > 8192 else slice(None)
+        for lo in range(0, len(known), 2048):  # blocks of trigrams, for bounded memory
+            hi = min(lo + 2048, len(known))
+            mine = (at >= lo) & (at < hi) if len(known) > 2048 else slice(None)
             n = np.bincount(doc[mine] * (hi - lo) + at[mine] - lo, minlength=len(codes) * (hi - lo)).reshape(len(codes), hi - lo)
             out[i : i + len(codes)] += n.astype(np.float32) @ np.stack([_trigrams[int(k)] for k in known[lo:hi]]).astype(np.float32)
     return out
@@ -125,6 +131,7 @@ def fit(labelled: DataFrame) -> list[tuple[str, list[int]]]:
         import numpy as np
         import pyarrow as pa
 
+        working("langid")
         sums: dict[str, object] = {}
         for b in batches:
             v = np.sign(bundles(b.column(0).to_pylist())).astype(np.int64)
@@ -139,15 +146,16 @@ def fit(labelled: DataFrame) -> list[tuple[str, list[int]]]:
     return sorted((r.lang, [x.x for x in r.v]) for r in total.collect() if any(x.x for x in r.v))
 
 
-def training_rows(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
-    """Labelled rows to learn from: remainder not 1, at most about fit_docs of each language."""
-    rows = docs.filter("lang is not null and text is not null").filter(crc_of_id("doc_id") % 3 != 1)
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    share = F.lit(0)
-    pick = F.xxhash64(F.col("doc_id").cast("string")) % 1_000_000
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, max(1, 1_000_000 * fit_docs // max(n, 1))).otherwise(share)
-    return rows.filter(F.abs(pick) < share).select("text", "lang")
+def training_rows(docs: DataFrame, fit_docs: int = FIT_DOCS, languages: int = FIT_LANGUAGES) -> DataFrame:
+    """Labelled rows to learn from: remainder not 1, at most about fit_docs of each of the languages with the most labels.
+
+    Labels are counted without reading texts.
+    """
+    rows = docs.select("doc_id", "text", "lang").filter("lang is not null").filter(crc_of_id("doc_id") % 3 != 1)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    share = counts.select(F.col("lang").alias("known"), F.greatest(F.lit(1), F.expr(f"{fit_docs} * 1000000L div n")).alias("share"))
+    pick = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000))
+    return rows.join(F.broadcast(share), (F.col("lang") == F.col("known")) & (pick < F.col("share"))).filter("text is not null").select("text", "lang")
 
 
 def identify(docs: DataFrame, prototypes: list[tuple[str, list[int]]]) -> DataFrame:
@@ -160,6 +168,7 @@ def identify(docs: DataFrame, prototypes: list[tuple[str, list[int]]]) -> DataFr
         import numpy as np
         import pyarrow as pa
 
+        working("langid")
         p = np.array(vectors, np.float64).reshape(len(names), DIM)
         p = (p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)).T
         for b in batches:
@@ -186,6 +195,7 @@ def keep_known(docs: DataFrame, prototypes: list[tuple[str, list[int]]], least:
         import numpy as np
         import pyarrow as pa
 
+        working("langid")
         p = np.array(vectors, np.float64).reshape(len(names), DIM)
         p = (p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)).T
         for b in batches:
@@ -194,7 +204,8 @@ def keep_known(docs: DataFrame, prototypes: list[tuple[str, list[int]]], least:
             ok = (size > 0) & ((v @ p).max(1) >= least * size) if names else size < 0
             yield b.filter(pa.array(ok, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # any name may stand in a table
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def language_id(docs: DataFrame) -> DataFrame:
