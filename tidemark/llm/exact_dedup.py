@@ -8,8 +8,9 @@ ordinary shuffle and a window.
 
 Of equal texts the row with the most code points in its original text stays, then the smallest doc_id (null
 ids last). A null text counts as empty, and empty texts form one group. Rows that repeat with the same id and
-text form a group like any other copies: exactly one of them stays. An empty table gives an empty result.
-Other columns are ignored by `exact_dedup` and carried along by `keep_first`.
+text form a group like any other copies: exactly one of them stays. An empty table gives an empty result. Texts are
+read whole, whatever their length. Other columns are ignored by `exact_dedup` and carried along by `keep_first`,
+whatever their names (but for three that start with __tm_).
 """
 
 from __future__ import annotations
@@ -93,4 +94,4 @@ def keep_first(docs: DataFrame, k: int = HEAVY) -> DataFrame:
     mine = (F.col("__tm_winner.o") == -F.col("__tm_chars")) & F.col("__tm_winner.doc_id").eqNullSafe(F.col("doc_id"))
     left = full.join(F.broadcast(heavy), "__tm_digest", "left").filter(F.col("__tm_winner").isNull() | mine)
     order = Window.partitionBy("__tm_digest").orderBy(F.desc("__tm_chars"), F.col("doc_id").asc_nulls_last())
-    return left.withColumn("__tm_rank", F.row_number().over(order)).filter("__tm_rank = 1").select(*docs.columns)
+    return left.withColumn("__tm_rank", F.row_number().over(order)).filter("__tm_rank = 1").drop("__tm_digest", "__tm_chars", "__tm_winner", "__tm_rank")

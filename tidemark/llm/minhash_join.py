@@ -15,7 +15,10 @@ Components of the roots are the near-duplicate classes.
 
 Result for every row: class_id (smallest doc_id of its class), n_links (different texts at the threshold or
 above), text_id (smallest doc_id of its copies) and n_copies. Rows that repeat count as copies. Null ids sort last;
-a class of null ids alone has a null class_id. A null text counts as empty. An empty table gives an empty result.
+a class of null ids alone has a null class_id. A null text counts as empty. Long texts are read whole. An empty table
+gives an empty result. Other columns are ignored by `minhash_join` and carried along by `keep_one`, whatever their
+names. Texts are found again by a hash of the text beside the id, so ids that are null or stand on many texts cost no
+more than others.
 """
 
 from __future__ import annotations
@@ -26,16 +29,16 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import WordHashes, prepare, shingles, staged
+from .base import WordHashes, freed, prepare, remembered, shingles, staged, working
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.995
 #: Pairs of similarity LOW shall meet with this probability at most.
 LOW, LOW_RATE = 0.25, 1e-3
 #: Members of a block, and n-grams of it, about.
-BLOCK_ROWS, BLOCK_GRAMS = 128, 1_000_000
+BLOCK_ROWS, BLOCK_GRAMS = 512, 250_000
 #: Rows (of at most some 40 bytes) up to which a side is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
-_hashes = WordHashes()
+_hashes = remembered("minhash_join", WordHashes())
 
 
 def banding(similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int]:
@@ -95,12 +98,13 @@ class MinHash:
 
 
 def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, cls (of the words), n_grams, bands of every row."""
+    """doc_id, cls (of the words), n_grams, bands and raw (a hash of the text) of every row."""
     prepare(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
 
+        working("minhash_join")
         m = MinHash(bands, rows)
         for b in batches:
             cls, n, keys = [], [], []
@@ -110,9 +114,9 @@ def signatures(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 cls.append(text_class(w))
                 n.append(len(g))
                 keys.append(m.keys(g) if len(g) else [])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cls, pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "cls", "n_grams", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cls, pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64())), b.column(2)], ["doc_id", "cls", "n_grams", "bands", "raw"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, cls binary, n_grams long, bands array<long>")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text", "xxhash64(text) raw").mapInArrow(run, "doc_id long, cls binary, n_grams long, bands array<long>, raw long")
 
 
 def _side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -127,7 +131,7 @@ def components(edges: DataFrame) -> DataFrame:
     the logarithm of the longest chain. Every round is a written table.
     """
     both = staged(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct(), "edges")
-    now = staged(both.groupBy("a").agg(F.min("b").alias("n")).select(F.col("a").alias("v"), F.least("a", "n").alias("root")), "labels")
+    last = now = staged(both.groupBy("a").agg(F.min("b").alias("n")).select(F.col("a").alias("v"), F.least("a", "n").alias("root")), "labels")
     while True:
         near = both.join(now.select(F.col("v").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("n"))
         seen = now.join(near.withColumnRenamed("a", "v"), "v").select("v", "root", F.least("root", "n").alias("best"))
@@ -135,9 +139,11 @@ def components(edges: DataFrame) -> DataFrame:
         hooked = staged(asked.groupBy("v").agg(F.min("best").alias("up")), "hooked")
         jumped = hooked.join(hooked.select(F.col("v").alias("up"), F.col("up").alias("top")), "up").select("v", "top")
         after = staged(now.join(jumped, "v").select("v", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved")), "labels")
+        freed(hooked, last)
         if after.filter("moved").isEmpty():
+            freed(both)
             return after.select("v", "root")
-        now = after.select("v", "root")
+        last, now = after, after.select("v", "root")
 
 
 def verified(sets: list, left, right, similarity: float):
@@ -164,8 +170,8 @@ def verified(sets: list, left, right, similarity: float):
         doc, col = doc[order], col[order]
         inter = np.zeros((len(left), len(right)), np.float32)
         width = int(shared.sum())
-        for lo in range(0, width, 8192):
-            hi = min(lo + 8192, width)
+        for lo in range(0, width, 4096):
+            hi = min(lo + 4096, width)
             a, b = np.searchsorted(col, [lo, hi])
             m = np.zeros((n, hi - lo), np.float32)
             m[doc[a:b], col[a:b] - lo] = 1
@@ -214,12 +220,13 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
     prepare(docs.sparkSession)
     bands, rows = banding(similarity, recall)
     sig = staged(signatures(docs, bands, rows), "signatures")
-    texts = staged(sig.groupBy("cls").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("n_copies"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands")), "texts")
+    texts = staged(sig.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "raw")).alias("one"), F.count("*").alias("n_copies"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands")).selectExpr("cls", "one.doc_id text_id", "one.raw raw", "n_copies", "n_grams", "bands"), "texts")
     keys = texts.select("cls", F.explode("bands").alias("key"))
     multi = staged(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("cls").alias("head")).filter("n > 1").select("key", "head"), "buckets")
     stars = keys.join(multi, "key").select(F.col("cls").alias("a"), F.col("head").alias("b")).filter("a <> b")
     group = components(stars)
-    found = staged(group.join(texts.select(F.col("cls").alias("v"), "text_id", "n_grams"), "v").select(F.col("v").alias("cls"), "text_id", "n_grams", F.col("root").alias("candidates")), "candidates")
+    found = staged(group.join(texts.select(F.col("cls").alias("v"), "text_id", "raw", "n_grams"), "v").select(F.col("v").alias("cls"), "text_id", "raw", "n_grams", F.col("root").alias("candidates")), "candidates")
+    freed(multi)
     big = staged(
         found.groupBy("candidates")
         .agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_grams") / BLOCK_GRAMS)).alias("parts"), F.count("*").alias("n"))
@@ -227,11 +234,12 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
         .filter("parts > 1"),
         "large",
     )
-    sets = _sets(docs, found.select("cls", "text_id", "candidates"))
+    sets = _sets(docs, found.select("cls", "text_id", "raw", "candidates"))
     dealt = sets.join(_side(big), "candidates", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     units = dealt.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).select("candidates", "cls", "grams", "block", "parts", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     done = staged(units.groupBy("candidates", "lo", "hi").applyInArrow(_unit(similarity), "cls binary, root binary, links long, parts int"), "links")
+    freed(sets, big)
     # a group of one unit has its roots; those of several units join over their units
     joined = components(done.filter("parts > 1 and cls <> root").select(F.col("cls").alias("a"), F.col("root").alias("b")))
     linked = done.groupBy("cls").agg(F.sum("links").alias("n_links"), F.min("root").alias("root")).filter("n_links > 0")
@@ -240,17 +248,20 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
     heads = linked.groupBy("root").agg(F.min("text_id").alias("class_id"))
     classes = linked.join(heads, "root").select("cls", "n_links", "class_id")
     classes = texts.select("cls", "text_id", "n_copies").join(classes, "cls", "left").select("cls", "text_id", "n_copies", F.when(F.col("n_links").isNull(), F.col("text_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return sig.select("doc_id", "cls"), staged(classes, "classes")
+    classes = staged(classes, "classes")
+    freed(found, done, linked, texts)
+    return sig.select("doc_id", "cls"), classes
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """cls, candidates and the full n-gram set (sorted 64-bit hashes) of wanted texts, once each."""
-    side = _side(wanted.withColumnRenamed("text_id", "wanted_id"))
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").join(side, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("text", "cls", "candidates")
+    side = _side(wanted.selectExpr("cls", "candidates", "text_id wanted_id", "raw wanted"))
+    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text", "xxhash64(text) raw").join(side, (F.col("raw") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("text", "cls", "candidates")
 
     def run(batches):
         import pyarrow as pa
 
+        working("minhash_join")
         for b in batches:
             cls, grp, grams = [], [], []
             for t, c, g in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
