@@ -7,17 +7,18 @@ point of the stream each source is less than one block away from its target weig
 source has each slot of the stream (a number for each `BLOCK` rows), and the place of every document follows from
 its place within its source.
 
-A source's documents are ordered by a hash of the id. To find the order without gathering a source in one task,
-each source is cut into hash buckets in proportion to its rows: counts of buckets give each bucket's first
-place, and rows are numbered within buckets. A source that runs out begins again (a new epoch) until the source
+A source's documents are ordered by a hash of the id (SHA-256, its first 60 bits). To find the order without gathering a
+source in one task, the hashes of each source are cut into ranges in proportion to its rows: counts of ranges give each
+range's first place, and rows are numbered within ranges. A source that runs out begins again (a new epoch) until the source
 that lasts longest for its weight has been used up: every document comes at least once, and weights hold
 throughout. By default weights are proportional to rows to the power `ALPHA`, which lifts small sources.
 
 Weights given must be above zero. A null source is a source of its own. Sources beyond the `MAX_SOURCES` largest
 share queues of about `QUEUE_SOURCES`, which weigh what their sources do and are worked out in tasks: the slots of a
 queue are given to its sources in the same way by their own weights, so each is less than two blocks away from its own. Repeated rows
-are scheduled as often as they come; ties of the order are between equal ids. Null ids and texts are scheduled
-like any others. An empty table gives an empty result.
+are scheduled as often as they come; ties of the order are between equal ids, and go by a hash of what is carried. Null ids and texts are scheduled
+like any others. An empty table gives an empty result. Texts are carried whole, whatever their length. Columns other than
+doc_id and source are not read by `mix`; `mixed` carries all of them along as one value, whatever their names.
 """
 
 from __future__ import annotations
@@ -101,6 +102,11 @@ def _blocks(rows: DataFrame, block: int) -> DataFrame:
     return rows.withColumns({"__block": F.expr(f"(__at + __epoch * __n) div {block}"), "__inside": F.expr(f"(__at + __epoch * __n) % {block}")})
 
 
+def _key():
+    """The place of a document in its source's order, from 0 to before 2^60."""
+    return F.conv(F.substr(F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 256), F.lit(1), F.lit(15)), 16, 10).cast("long")
+
+
 def _queue(table, weight):
     """Number, sources, rows, weights and quotas of a queue, in the same order wherever they are worked out."""
     rows = sorted(zip(table.column("source").to_pylist(), table.column("n").to_pylist()), key=lambda x: (x[0] is None, x[0]))
@@ -155,12 +161,11 @@ def _parts(spark, order, had) -> DataFrame:
     return spark.createDataFrame(pa.table({"__source": pa.array(source), "__part": pa.array(part.astype(np.int64)), "__slots": slots}), "__source int, __part long, __slots array<int>")
 
 
-def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int = BLOCK, carry: list[str] | None = None) -> DataFrame:
-    """A row for each time that a document comes: the carried columns, then __source, __epoch, __block, __slot, __release, __deadline, __position."""
+def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int = BLOCK, carry: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
+    """A row for each time that a document (doc_id, source, perhaps others) comes: the carried columns, then __source, __epoch, __block, __slot, __release, __deadline, __position."""
     import numpy as np
 
     spark = prepare(docs.sparkSession)
-    carry = carry if carry is not None else ["doc_id", "source"]
     sizes = docs.groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
     names = [r.source for r in sizes[:MAX_SOURCES]]
     n = [r.n for r in sizes[:MAX_SOURCES]]
@@ -187,14 +192,14 @@ def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA,
     per = max(BUCKET_ROWS, -(-sum(n) // BUCKETS))
     about = spark.createDataFrame([(s, names[s], x, k[s], runs[s], -(-x // per)) for s, x in enumerate(n)], "__source int, __name string, __n long, __k long, __run long, __buckets long")
     rows = docs.join(F.broadcast(about), docs["source"].cast("string").eqNullSafe(F.col("__name")))
-    key = F.xxhash64(F.col("doc_id").cast("string"), F.lit(11))
-    rows = rows.withColumns({"__key": key, "__bucket": F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), F.col("__buckets"))})
+    rows = rows.withColumn("__key", _key()).withColumn("__bucket", F.expr("(__key div 268435456) * __buckets div 4294967296"))  # 2^28 and 2^32
     counts = staged(rows.groupBy("__source", "__bucket").agg(F.count("*").alias("__rows")), "buckets")
     before = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("__source", "__bucket", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__first"))
-    inside = Window.partitionBy("__source", "__bucket").orderBy("__key", "doc_id")
-    keep = [c for c in carry if not c.startswith("__")]
-    rows = rows.select(*keep, "__source", "__bucket", "__key", "__n", "__k", "__run").withColumn("__r", F.row_number().over(inside) - 1)
+    keep = list(carry)
+    tie = F.xxhash64(*keep)
+    inside = Window.partitionBy("__source", "__bucket").orderBy("__key", "__tie")
+    rows = rows.select(*keep, tie.alias("__tie"), "__source", "__bucket", "__key", "__n", "__k", "__run").withColumn("__r", F.row_number().over(inside) - 1)
     rows = rows.join(F.broadcast(firsts), ["__source", "__bucket"])  # at most BUCKETS rows and one for each source
     place = F.col("__first") + F.col("__r")
     rows = _blocks(rows.withColumn("__at", place), block).withColumns({"__turn": F.col("__block"), "__from": F.col("__block"), "__to": F.col("__block") + 1})
@@ -206,7 +211,7 @@ def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA,
         turns = staged(tail.groupBy("__queue").applyInArrow(_turns(weight, of), f"__name {kind}, __source int, __k long, __n long, __own long, __blocks long, __part long, __turns array<long>"), "turns")
         firsts = turns.filter("__part = 0").drop("__part", "__turns")
         few = docs.join(firsts, docs["source"].eqNullSafe(F.col("__name")))
-        few = few.withColumn("__at", F.row_number().over(Window.partitionBy("__name").orderBy(key, "doc_id")).cast("long") - 1)
+        few = few.withColumn("__at", F.row_number().over(Window.partitionBy("__name").orderBy(_key(), tie)).cast("long") - 1)
         few = _blocks(few.withColumn("__run", F.col("__blocks") * block), block).withColumn("__part", F.expr(f"__block div {PART}"))
         at = turns.selectExpr("__name as __which", "__part as __piece", "__turns")
         few = few.join(at, F.col("__name").eqNullSafe(F.col("__which")) & (F.col("__part") == F.col("__piece")))
@@ -226,5 +231,7 @@ def mix(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, bloc
 
 def mixed(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int = BLOCK) -> DataFrame:
     """The documents in the order of the mixed stream, with all their columns; stretches of CHUNK_SLOTS slots stay together."""
-    out = schedule(docs, weights, alpha, block, docs.columns)
-    return out.repartition(F.floor(F.col("__slot") / CHUNK_SLOTS)).sortWithinPartitions("__position").select(*docs.columns)
+    quoted = [f"`{c.replace('`', '``')}`" for c in docs.columns]
+    whole = docs.select(F.col("doc_id"), F.col("source"), F.struct(*quoted).alias("__document"))
+    out = schedule(whole, weights, alpha, block, ("__document",))
+    return out.repartition(F.floor(F.col("__slot") / CHUNK_SLOTS)).sortWithinPartitions("__position").select("__document.*")

@@ -74,14 +74,20 @@ def _regex(template: str) -> str:
     return out
 
 
+def _most_words(template: str) -> int:
+    """Words of a template's longest reading, at most."""
+    return sum(int(x.split("-")[1][:-1]) if ":" in x else max(len(c.split()) for c in x[1:-1].split("|")) if x[0] == "{" else x not in ("[[", "]]") for x in license_scan._MARKUP.findall(template))
+
+
 def _license_sql() -> str:
+    most = max(map(_most_words, license_scan.TEMPLATES.values())) + 1
     templates = ", ".join(f"('{k}', '^({_regex(t)})(?: |$)')" for k, t in license_scan.TEMPLATES.items())
     starts = ", ".join(sorted({f"'{w.decode()}'" for _, a in license_scan.compiled() for w in a.starts}))
     phrases = ", ".join(f"('{label}', ' {p} ')" for p, label in license_scan.PHRASES.items())
     return rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
-likely AS (SELECT doc_id, i - 1 AS i, ' ' || array_to_string(w[i:i + 150], ' ') || ' ' AS rest FROM places WHERE w[i] IN ({starts}) OR w[i] IN ('mit', 'apache', 'general')),
+likely AS (SELECT doc_id, i - 1 AS i, ' ' || array_to_string(w[i:i + {most}], ' ') || ' ' AS rest FROM places WHERE w[i] IN ({starts}) OR w[i] IN ('mit', 'apache', 'general')),
 base AS (SELECT doc_id, i, len(string_split(trim(p), ' ')) AS n, label FROM likely, (VALUES {phrases}) v(label, p) WHERE starts_with(rest, p)),
 more AS (SELECT doc_id, i, len(string_split(trim(regexp_extract(rest, re, 1)), ' ')) AS n, label FROM likely, (VALUES {templates}) t(label, re) WHERE regexp_matches(rest, re)),
 found AS (SELECT * FROM base UNION ALL SELECT * FROM more),
@@ -94,7 +100,29 @@ FROM d LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN c USING (
 """
 
 
+#: Earliest deadline first, slot by slot; h is how many blocks each source has had.
+_MIXING_SQL = f"""
+WITH RECURSIVE n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+w AS (SELECT source, n, row_number() OVER (ORDER BY n DESC, source NULLS LAST) - 1 AS s, (n + {mixing.BLOCK - 1}) // {mixing.BLOCK} AS blocks, pow(n, {mixing.ALPHA}) / (SELECT sum(pow(n, {mixing.ALPHA})) FROM n) * {mixing.FRAME} AS exact FROM n),
+f AS (SELECT *, floor(exact)::HUGEINT + CASE WHEN row_number() OVER (ORDER BY floor(exact) - exact, s) <= {mixing.FRAME} - sum(floor(exact)::HUGEINT) OVER () THEN 1 ELSE 0 END AS k FROM w),
+c AS (SELECT list(k ORDER BY s) AS k, list(blocks ORDER BY s) AS b, count(*) AS m FROM f),
+e AS (
+  SELECT 0::HUGEINT AS t, list_transform(range(0, m), lambda i: 0::HUGEINT) AS h, -1::HUGEINT AS s, 0::HUGEINT AS block FROM c
+  UNION ALL
+  SELECT t + 1, list_transform(range(0, m), lambda i: h[i + 1] + CASE WHEN i = p THEN 1 ELSE 0 END), p, h[p::BIGINT + 1]
+  FROM (SELECT t, h, m, list_min(list_transform(list_filter(range(0, m), lambda i: h[i + 1] * {mixing.FRAME} // k[i + 1] <= t), lambda i: ((h[i + 1] + 1) * {mixing.FRAME} + k[i + 1] - 1) // k[i + 1] * 1000000 + i)) % 1000000 AS p
+    FROM e, c WHERE len(list_filter(range(0, m), lambda i: h[i + 1] < b[i + 1])) > 0)
+),
+d AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY substr(sha256(coalesce(doc_id::VARCHAR, '')), 1, 15), doc_id) - 1 AS r FROM documents)
+SELECT doc_id, d.source, ((block * {mixing.BLOCK} + x.inside) // n)::BIGINT AS epoch, block::BIGINT AS block, (t - 1)::BIGINT AS slot,
+  (block * {mixing.FRAME} // k)::BIGINT AS release, (((block + 1) * {mixing.FRAME} + k - 1) // k)::BIGINT AS deadline, ((t - 1) * {mixing.BLOCK} + x.inside)::BIGINT AS position
+FROM e JOIN f ON f.s = e.s, range({mixing.BLOCK}) AS x(inside), d
+WHERE d.source IS NOT DISTINCT FROM f.source AND d.r = (block * {mixing.BLOCK} + x.inside) % n
+"""
+
+
 ORACLES = {
+    "op4_mixing": _MIXING_SQL,
     "op7_license_scan": _license_sql(),
     "op1_exact_dedup": r"""
 WITH n AS (
