@@ -1,4 +1,18 @@
-"""The corpus pipeline: stages that each apply one operator to all that the one before kept."""
+"""The corpus pipeline: stages that each apply one operator to all that the one before kept.
+
+Every stage reads whole texts, however long, and all but the last return the columns of documents, with whatever other
+columns the table has, whatever their names. An empty table passes through all stages as an empty one.
+
+| Stage | Null or empty text | Null id, language, source | Repeated rows and ties |
+|---|---|---|---|
+| language | goes: it has no letter | stays by its text; such rows are not learned from | each stays by its text |
+| exact copies | one empty text stays | null ids come last among equal texts | one of each group stays |
+| near copies | has no n-grams: links to nothing | rows of null id stay | rows that repeat the id and words of the one that stays, stay |
+| mixture | scheduled like any other | a null source is a source of its own | scheduled as often as they come; small sources come again |
+| sequences | its end id alone | packed like any other | packed as often as they come |
+
+Quality rules, pseudonyms, licences and language-model scores are in no stage: the order of the stages is given.
+"""
 
 from __future__ import annotations
 

@@ -109,6 +109,43 @@ def test_templates(text, labels):
     assert {x[2] for x in L.scan(text)[1]} == labels
 
 
+# Fixed value: the text of a public licence.
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE
+AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_a_licence_counts_only_when_its_whole_wording_stands():
+    labels = lambda t: {x[2] for x in L.scan(t)[1]}
+    assert labels("Some code. " + MIT + " More.") == {"mit-text"}
+    for before, after in (("NONINFRINGEMENT", "INFRINGEMENT"), ("IN NO EVENT", "IN ANY EVENT"), ("WITHOUT WARRANTY", "WITH WARRANTY"), ("OTHER DEALINGS IN THE SOFTWARE.", "OTHER DEALINGS."), ("free of charge", "for a charge")):
+        assert before in MIT and labels(MIT.replace(before, after)) == set()
+
+
+@pytest.mark.parametrize("label", L.TEMPLATES)
+def test_every_template_reads_its_own_wording(label):
+    """The longest and the shortest reading of a template match; without their last word they do not."""
+    for long in (True, False):
+        words, depth = [], 0
+        for x in L._MARKUP.findall(L.TEMPLATES[label]):
+            depth += (x == "[[") - (x == "]]")
+            if x in ("[[", "]]") or (depth and not long):
+                continue
+            if x[0] == "{" and ":" in x:
+                low, high = map(int, x[1:-1].split(":")[1].split("-"))
+                words += ["filler"] * (high if long else low)
+            elif x[0] == "{":
+                words += (max if long else min)(x[1:-1].split("|"), key=lambda c: len(c.split())).split()
+            else:
+                words.append(x)
+        assert label in {x[2] for x in L.scan(" ".join(words))[1] if x[1] == len(words)}
+        assert label not in {x[2] for x in L.scan(" ".join(words[: len(words) // 2]))[1]}
+
+
 def test_automaton_against_its_readings():
     a = L.Automaton("one [[two {x|y z}]] {any:1-2} end")
     good = ["one k end", "one k k end", "one two x k end", "one two y z k k end", "one two x end", "one end end"]

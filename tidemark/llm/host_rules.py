@@ -9,7 +9,8 @@ stay near the corpus rate, so a few bad pages do not condemn them.
 Words are maximal runs of anything but ASCII white space. A null text has no words, so it fails the base rules.
 A null source belongs to no host and gets no host verdict. With fewer than two hosts, or no spread between
 them, the prior is the corpus rate with the weight of `LEAST_WEIGHT` documents. An empty table gives an empty
-result. Repeated rows each count and each return.
+result. Repeated rows each count and each return, those of null id too. Texts are read whole, whatever their length.
+Columns other than doc_id, source and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import WordHashes, prepare, shingles, staged
+from .base import WordHashes, prepare, remembered, shingles, staged, working
 
 #: Base rules: fewest words, and the largest share of words in repeated 5-word windows (percent).
 LEAST_WORDS, MOST_REPEATED = 10, 20
@@ -66,12 +67,13 @@ def features(text: str | None, hashes) -> tuple[int, int, int, int, int]:
     return n, len(text) - spaces, symbols, dup, repeated
 
 
-_hashes = WordHashes()
+_hashes = remembered("host_rules", WordHashes())
 
 
 def _measure(batches):
     import pyarrow as pa
 
+    working("host_rules")
     names = [x.split()[0] for x in _PLAIN.split(", ")]
     for b in batches:
         rows = [features(t, _hashes) for t in b.column(2).to_pylist()]

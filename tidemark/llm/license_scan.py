@@ -9,8 +9,9 @@ template are known, so an automaton runs only where one of them stands.
 
 Words are runs of ASCII digits, letters in lower case and characters beyond ASCII. A null text counts as empty:
 no words, no places, empty labels, score 0. Phrases and templates may overlap; every place counts. Repeated rows
-each return. An empty table gives an empty result. The score is the share of a text's words that stand in
-phrases or template matches.
+each return, those of null id too. An empty table gives an empty result. Texts are read whole, whatever their length.
+Columns other than doc_id and text are not read, whatever their names. The score is the share of a text's words that
+stand in phrases or template matches.
 """
 
 from __future__ import annotations
@@ -31,17 +32,33 @@ TEMPLATES = {
         "permission is hereby granted free of charge to any person obtaining a copy of this {software|font} [[and associated documentation files]] the software "
         "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software "
         "and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice "
-        "[[including the next paragraph]] shall be included in all copies or substantial portions of the software"
+        "[[including the next paragraph]] shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+        "in no event shall the {authors or copyright holders|copyright holders|authors} be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+        "arising from out of or in connection with the software or the use or other dealings in the software"
     ),
     "isc-text": (
         "permission to use copy modify and {or|} distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice "
-        "and this permission notice appear in all copies"
+        "and this permission notice appear in all copies "
+        "the software is provided as is and {the author disclaims|holder disclaims|isc disclaims|the authors disclaim} all warranties with regard to this software including all implied warranties of merchantability and fitness "
+        "in no event shall {the author|the authors|isc} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"
     ),
     "bsd-text": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
-        "[[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
-        "[[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
-        "in the documentation and or other materials provided with the distribution"
+        "[[{1|a}]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "[[{2|b}]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+        "in the documentation and or other materials provided with the distribution "
+        "[[[[{3|c}]] neither the name of {holder:1-10} nor the names of {its|their|the} contributors may be used to endorse or promote products derived from this software without specific prior written permission]] "
+        "this software is provided by the copyright {holders|holder} and contributors as is and any express or implied warranties including but not limited to "
+        "the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright {holder|holders|owner} or contributors be liable for any direct indirect incidental special exemplary or consequential damages "
+        "including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort "
+        "including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+    ),
+    "apache-notice": (
+        "licensed under the apache license version 2 0 the license you may not use this {file|software|work} except in compliance with the license you may obtain a copy of the license at {http|https} www apache org licenses license 2 0 "
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied "
+        "see the license for the specific language governing permissions and limitations under the license"
     ),
     "apache-2.0": "licensed under the apache license version 2 0 [[the license]]",
     "mit-notice": "{released|licensed|distributed} under the [[terms of the]] mit license",

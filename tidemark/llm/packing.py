@@ -12,8 +12,9 @@ A shard is what one task reads, up to `SHARD_TOKENS` at a time: packing needs no
 (the longest document at most beyond it), and a lost task is redone from its own input. Sequence ids hold the
 task and a running number.
 
-A null or empty text gives its end id alone. Rows that repeat are packed as often as they come. An empty table
-gives an empty result.
+A null or empty text gives its end id alone. Rows that repeat are packed as often as they come, those of null id too.
+Texts are tokenised whole, whatever their length. An empty table gives an empty result. Columns other than doc_id and
+text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from bisect import bisect_right, insort
 
 from pyspark.sql import DataFrame
 
-from .base import prepare
+from .base import prepare, remembered, working
 
 TIERS = (2048, 1024, 512, 256)
 END = 1
@@ -62,10 +63,14 @@ class Encoder(dict):
         self.bare.pre_tokenizer = self.full.pre_tokenizer
         self.added = [t.content for t in self.full.get_added_tokens_decoder().values()]
 
+    def clear(self) -> None:
+        super().clear()
+        self.older = {}
+
     def __missing__(self, chunk: str) -> bytes:
         if len(self) > REMEMBERED:
             self.older = dict(self)
-            self.clear()
+            super().clear()
         found = self.older.get(chunk)
         if found is None:
             runs = _RUNS(chunk) if _PLAIN.search(chunk) is None else ()
@@ -88,7 +93,7 @@ def encoder(path: str) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path)
+    return remembered("packing", Encoder(path))
 
 
 def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:
@@ -160,6 +165,7 @@ def packed(docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, end: int
         import pyarrow as pa
         from pyspark import TaskContext
 
+        working("packing")
         enc, last = encoder(path), array("I", [end]).tobytes()
         task = TaskContext.get().partitionId() << 40
         sequence = group = 0

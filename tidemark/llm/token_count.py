@@ -7,7 +7,9 @@ strings that encode alone as one token are found at the same time; pre-tokens am
 only the rest is merged by the library, each distinct one once while it is remembered.
 
 A null text counts as empty, which has no tokens. Every row gives a row; nothing is truncated. Texts with a
-literal space mark, or a vocabulary for which the proof fails, are encoded whole.
+literal space mark, or a vocabulary for which the proof fails, are encoded whole. Rows that repeat each return, those
+of null id too; an empty table gives an empty result. Columns other than doc_id and text are not read, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from .base import prepare
+from .base import prepare, remembered, working
 
 #: Pre-tokens remembered by a worker.
 REMEMBERED = 600_000
@@ -42,11 +44,14 @@ class Counts(dict):
         self.whole[""] = 1  # a space mark alone
         self.update(self.whole)
 
+    def clear(self) -> None:
+        super().clear()
+        self.update(self.whole)
+
     def learn(self, keys: set[str]) -> None:
         """Merge what is not known yet, in one call of the library."""
         if len(self) > REMEMBERED:
             self.clear()
-            self.update(self.whole)
         new = [k for k in keys if k not in self]
         for k, ids in zip(new, self.sp.encode(new, num_threads=1)):
             self[k] = len(ids) - (self.feed if k[:1] == "\n" else 0)
@@ -82,7 +87,7 @@ class Counts(dict):
 
 @functools.cache
 def counts(path: str) -> Counts:
-    return Counts(path)
+    return remembered("token_count", Counts(path))
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
@@ -92,6 +97,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        working("token_count")
         c = counts(path)
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
