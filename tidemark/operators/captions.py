@@ -5,6 +5,9 @@ A file is one row throughout, so nothing here shuffles but the choice among a vi
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterable, Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,19 +59,20 @@ def rolling_dedupe(lines) -> Column:
     )
 
 
-def emitted(lines: list[str]) -> list[str]:
-    """The same over a Python list."""
-    out: list[str] = []
-    for x in lines:
-        if x not in out[-WINDOW:]:
-            out.append(x)
-    return out
+def emitted(lines: Iterable[str]) -> Iterator[str]:
+    """The same over any lines, in turn; only the last WINDOW are held."""
+    recent: deque[str] = deque(maxlen=WINDOW)
+    for line in lines:
+        if line in recent:
+            continue
+        recent.append(line)
+        yield line
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def rolling_dedupe_long(lines: pd.Series) -> pd.Series:
     """The same in time proportional to the lines, for whole transcripts."""
-    return lines.map(lambda rows: None if rows is None else emitted(rows))
+    return lines.map(lambda rows: None if rows is None else list(emitted(rows)))
 
 
 def _joined(rows: DataFrame) -> DataFrame:

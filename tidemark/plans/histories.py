@@ -188,25 +188,23 @@ def html_cells(spark, d):
     return cells.select("page_id", F.col("ingest_ord").cast("long").alias("ingest_ord"), "cell")
 
 
+_CHANNEL_LINKS = "(SELECT page_id, unnest(x) AS href, trim(regexp_replace(unnest(y), '<[^>]+>', '', 'g')) AS label, generate_subscripts(x, 1) AS pos FROM (SELECT page_id, " + ", ".join(_ANCHORS.format(i).replace("(html,", "(replace(html, ' href=\"/', ' href=\"/channel/'),") + f" AS {c}" for i, c in ((1, "x"), (2, "y"))) + " FROM pages))"
+
+
 @query(
-    """
-SELECT page_id, lpad(page_id::VARCHAR, 11, 'x') AS video_id, 'A ' || page_id::VARCHAR AS title, CASE WHEN page_id % 3 = 0 THEN 'N' || page_id::VARCHAR WHEN page_id % 3 = 1 THEN 'M' END AS channel,
-  CASE WHEN page_id % 3 = 0 THEN '/channel/n' WHEN page_id % 3 = 1 THEN '/channel/m' ELSE '/channel/e' END AS channel_url FROM pages
+    f"""
+SELECT p.page_id, lpad(p.page_id::VARCHAR, 11, 'x') AS video_id, 'A ' || p.page_id::VARCHAR AS title, arg_min(label, pos) FILTER (WHERE label <> '') AS channel, coalesce(arg_min(href, pos) FILTER (WHERE label <> ''), arg_max(href, pos)) AS channel_url
+FROM pages p LEFT JOIN {_CHANNEL_LINKS} l ON l.page_id = p.page_id AND contains(href, '/channel/') GROUP BY p.page_id
 """
 )
 def html_first_link(spark, d):
+    """A link to a video before each page, whose own links are made those of channels."""
     i = F.col("page_id").cast("string")
     video = F.concat(F.lit('<a href="https://y/watch?v='), F.lpad(i, 11, "x"), F.lit('" class="k"> <b>A</b> '), i, F.lit("</a>"))
-    named = F.concat(F.lit('<a href="/channel/n">N'), i, F.lit("</a>"))
-    empty, late = F.lit('<a href="/channel/e"><i></i></a>'), F.lit('<a href="/channel/m">M</a><a href="/channel/z">Z</a>')
-    k = F.col("page_id") % 3
-    cell = F.concat(F.lit("<p>"), video, F.when(k == 0, F.concat(named, empty)).when(k == 1, F.concat(empty, late)).otherwise(empty), F.lit('<a href="https://y/watch?v=zzzzzzzzzzz">no</a>'))
+    cell = F.concat(video, F.replace("html", F.lit(' href="/'), F.lit(' href="/channel/')), F.lit('<a href="https://y/watch?v=zzzzzzzzzzz">no</a>'))
     return T.table(spark, d, "pages").select("page_id", takeout.cell_links(cell).alias("l")).select("page_id", "l.*")
 
 
-_HALF = "strftime(ts, '%p')"
-
-
 @query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS stamp FROM events")
 def stamp_dmy(spark, d):
     cell = F.concat(F.lit("x 1 b, "), F.date_format("ts", "d MMM yyyy, HH:mm:ss"), F.lit(" ACST</div>"))
@@ -319,7 +317,7 @@ def dedupe_keep_first(spark, d):
 def reduce_videos(spark, d):
     once = T.listed(spark, d)
     again = once.withColumns({"title": F.lit("later"), "ingest_ord": F.col("ingest_ord") + 10_000_000})
-    nameless = once.limit(3).withColumn("id", F.lit(""))
+    nameless = once.withColumn("id", F.lit(""))
     return videos.reduce_videos(once.unionByName(again).unionByName(nameless)).drop("ingest_ord")
 
 
