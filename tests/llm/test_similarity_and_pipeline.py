@@ -76,6 +76,29 @@ def test_large_groups_meet_in_blocks(frame, monkeypatch):
     assert {tuple(r) for r in minhash_join.minhash_join(frame(rows)).collect()} == whole
 
 
+def test_core_of_a_large_group(frame, monkeypatch):
+    """Members near the pivot are linked without meeting; the others still meet them all."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(300)]
+    rows = []
+    for i in range(120):
+        copy = list(base)
+        for _ in range(rng.choice([1, 1, 2, 3, 6, 9, 14])):
+            copy[rng.randrange(300)] = f"x{rng.randrange(10_000)}"
+        rows.append((i, " ".join(copy)))
+    monkeypatch.setattr(minhash_join, "BLOCK_ROWS", 16)
+    sent = []
+    real = minhash_join._pairs_of_blocks
+    monkeypatch.setattr(minhash_join, "_pairs_of_blocks", lambda split, cut: sent.append((split.count(), split.filter("core").count(), real(split, cut).count())) or real(split, cut))
+    got = {r.doc_id: (r.class_id, r.n_links, r.text_id, r.n_copies) for r in minhash_join.minhash_join(frame(rows)).collect()}
+    assert got == join_model(rows)
+    members, core, rows_sent = sent[0]
+    assert 0 < core < members and rows_sent < members * -(-members // 16)
+    few = [(i, " ".join([*base[: 2 * i], f"y{i}", *base[2 * i + 1 :]])) for i in range(100)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in minhash_join.minhash_join(frame(few)).collect()}
+    assert got == {i: (0, 99) for i in range(100)} and sent[1] == (100, 100, 0), "near copies of one text do not meet at all"
+
+
 def test_one_of_each_class_stays(frame):
     rows = near_copies(n=10)
     kept = [r.doc_id for r in minhash_join.keep_one(frame(rows).selectExpr("*", "1 as cls", "2 as root")).collect()]

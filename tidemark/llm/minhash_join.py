@@ -11,6 +11,11 @@ of the stars are the candidate groups: every pair that shares a bucket lies in o
 members, built again from whole texts, then meet by candidate group, and every pair inside is verified there on the
 full sets, in blocks: a group of many members is cut into g blocks, and pairs of blocks are separate units of
 work. A unit gives a row for each member (its links and the root of its verified links), never the pairs.
+
+Jaccard distance is a metric, so in a large group the exact distance to one member (its pivot) settles most pairs:
+members within half the distance allowed of the pivot, the group's core, are all linked with one another. Of `PIVOTS`
+members the one with the largest core is taken. Only pairs with a member outside the core meet in blocks, so a group of
+many near copies of one text is read about once.
 Components of the roots are the near-duplicate classes.
 
 Result for every row: class_id (smallest doc_id of its class), n_links (different texts at the threshold or
@@ -26,7 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import WordHashes, freed, prepare, remembered, shingles, staged, working
@@ -36,6 +41,8 @@ WORDS, SIMILARITY, RECALL = 5, 0.8, 0.995
 LOW, LOW_RATE = 0.25, 1e-3
 #: Members of a block, and n-grams of it, about.
 BLOCK_ROWS, BLOCK_GRAMS = 512, 250_000
+#: Members of a large group that are tried as its pivot.
+PIVOTS = 8
 #: Rows (of at most some 40 bytes) up to which a side is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 _hashes = remembered("minhash_join", WordHashes())
@@ -235,11 +242,19 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
         "large",
     )
     sets = _sets(docs, found.select("cls", "text_id", "raw", "candidates"))
-    dealt = sets.join(_side(big), "candidates", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
-    units = dealt.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).select("candidates", "cls", "grams", "block", "parts", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    done = staged(units.groupBy("candidates", "lo", "hi").applyInArrow(_unit(similarity), "cls binary, root binary, links long, parts int"), "links")
-    freed(sets, big)
+    zero = F.lit(0)
+    units = sets.join(_side(big), "candidates", "left_anti").select("candidates", "cls", "grams", zero.alias("block"), F.lit(1).alias("parts"), zero.alias("lo"), zero.alias("hi"))
+    split = core = None
+    if not big.isEmpty():
+        split, cut = _large(sets.join(_side(big), "candidates"), similarity)
+        units = units.unionByName(_pairs_of_blocks(split, cut))
+        core = cut.filter("n_core > 0").select("candidates", "first", "n_core")
+    verified_links = units.groupBy("candidates", "lo", "hi").applyInArrow(_unit(similarity), "cls binary, root binary, links long, parts int")
+    if core is not None:
+        sure = split.filter("core").join(_side(core), "candidates").select("cls", F.col("first").alias("root"), (F.col("n_core") - 1).alias("links"), F.lit(2).alias("parts"))
+        verified_links = verified_links.unionByName(sure)
+    done = staged(verified_links, "links")
+    freed(sets, big, *((split, cut) if split is not None else ()))
     # a group of one unit has its roots; those of several units join over their units
     joined = components(done.filter("parts > 1 and cls <> root").select(F.col("cls").alias("a"), F.col("root").alias("b")))
     linked = done.groupBy("cls").agg(F.sum("links").alias("n_links"), F.min("root").alias("root")).filter("n_links > 0")
@@ -253,6 +268,63 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
     return sig.select("doc_id", "cls"), classes
 
 
+def _to_pivot(similarity: float):
+    def run(table):
+        """Members of a block of a large group, and its pivots: a bit for each pivot whose core has the member."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        few = table.filter(table.column("pivot"))
+        pivots = [np.frombuffer(x, np.uint64) for _, x in sorted(zip(few.column("cls").to_pylist(), few.column("grams").to_pylist()))]
+        table = table.filter(pc.invert(table.column("pivot")))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
+        size = np.array([len(s) for s in sets], np.int64)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        cores = np.zeros(len(sets), np.int64)
+        for i, pivot in enumerate(pivots):
+            shared = pivot[np.minimum(np.searchsorted(pivot, flat), len(pivot) - 1)] == flat
+            inter = np.add.reduceat(shared, size.cumsum() - size, dtype=np.int64) if sets else size
+            cores |= (1 - inter / (size + len(pivot) - inter) <= (1 - similarity) / 2 - 1e-12).astype(np.int64) << i
+        return pa.table({"candidates": table.column("candidates"), "cls": table.column("cls"), "grams": table.column("grams"), "n": pa.array(size, pa.int64()), "cores": pa.array(cores, pa.int64())})
+
+    return run
+
+
+def _large(members: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Members of large groups (candidates, cls, grams, n, core), and for each group its blocks and its core.
+
+    members: cls, candidates, grams, parts. The pivots tried are a group's smallest members, by a hash of their words.
+    """
+    own = members.select("candidates", "cls", "grams", F.lit(False).alias("pivot"), F.pmod(F.xxhash64("cls"), F.col("parts")).alias("block"))
+    first = F.row_number().over(Window.partitionBy("candidates").orderBy("cls"))
+    pivots = members.withColumn("place", first).filter(F.col("place") <= PIVOTS)
+    pivots = pivots.select("candidates", "cls", "grams", F.lit(True).alias("pivot"), F.explode(F.expr("sequence(0L, parts - 1L)")).alias("block"))
+    near = staged(own.unionByName(pivots).groupBy("candidates", "block").applyInArrow(_to_pivot(similarity), "candidates binary, cls binary, grams binary, n long, cores long"), "cores")
+    inside = F.array(*(F.count_if(F.col("cores").bitwiseAND(F.lit(1 << i)) != 0) for i in range(PIVOTS)))
+    best = near.groupBy("candidates").agg(inside.alias("c")).selectExpr("candidates", "cast(array_position(c, array_max(c)) - 1 as int) best")
+    split = staged(near.join(_side(best), "candidates").selectExpr("candidates", "cls", "grams", "n", "(shiftright(cores, best) & 1) = 1 core"), "split")
+    freed(near)
+
+    def blocks(of):
+        count = F.count(F.when(of, 1))
+        return F.least(count, F.greatest(F.ceil(count / BLOCK_ROWS), F.ceil(F.coalesce(F.sum(F.when(of, F.col("n"))), F.lit(0)) / BLOCK_GRAMS)))
+
+    core = F.col("core")
+    cut = split.groupBy("candidates").agg(blocks(core).alias("core_blocks"), blocks(~core).alias("rest_blocks"), F.count(F.when(core, 1)).alias("n_core"), F.min(F.when(core, F.col("cls"))).alias("first"))
+    return split, staged(cut, "cut")
+
+
+def _pairs_of_blocks(split: DataFrame, cut: DataFrame) -> DataFrame:
+    """Units of large groups: every pair of blocks but those of two blocks of the core; rest blocks have the first numbers."""
+    rows = split.join(_side(cut.select("candidates", "core_blocks", "rest_blocks")), "candidates")
+    block = F.expr("if(core, rest_blocks + pmod(xxhash64(cls), greatest(core_blocks, 1L)), pmod(xxhash64(cls), greatest(rest_blocks, 1L)))")
+    most = F.expr("if(core, rest_blocks, rest_blocks + core_blocks)")
+    others = F.explode(F.expr("if(most > 0, sequence(0L, greatest(most, 1L) - 1L), cast(array() as array<bigint>))"))
+    rows = rows.withColumns({"block": block, "most": most}).withColumn("other", others)
+    return rows.select("candidates", "cls", "grams", F.col("block").cast("int").alias("block"), F.lit(2).alias("parts"), F.least("block", "other").cast("int").alias("lo"), F.greatest("block", "other").cast("int").alias("hi"))
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """cls, candidates and the full n-gram set (sorted 64-bit hashes) of wanted texts, once each."""
     side = _side(wanted.selectExpr("cls", "candidates", "text_id wanted_id", "raw wanted"))
