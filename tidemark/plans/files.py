@@ -9,7 +9,6 @@ from __future__ import annotations
 import io
 import sqlite3
 import tarfile
-import uuid
 import zipfile
 
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from ..operators.captions import cues
 from ..operators.ordering import with_ordinal
 from ..sources import browser, lists, takeout
 from ..sources import documents as files
-from ..staging import shared_dir
+from ..staging import folder
 from ..streaming import incremental
 from . import captions, fixtures as T
 from .fixtures import EVENTS_SQL, LISTED_SQL
@@ -41,10 +40,6 @@ def query(sql: str | None = None):
     return add
 
 
-def _folder(spark, name):
-    return f"{shared_dir(spark)}/tidemark-files-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
 def _put(spark, path, content: bytes):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
@@ -90,7 +85,7 @@ _EVENT = ("video_id", "title", "channel", "channel_url", "watched_at", "source")
 @query(_ENTRY_SQL)
 def read_json_exports(spark, d):
     """Loose exports."""
-    path = _folder(spark, "exports")
+    path = folder(spark, "exports")
     _texts(_entries(spark, d), path)
     return takeout.read_export(spark, f"{path}/*/part-*").select(*_EVENT)
 
@@ -98,7 +93,7 @@ def read_json_exports(spark, d):
 @query(_ENTRY_SQL)
 def read_archived_exports(spark, d):
     """The same inside archives of both kinds (S2); each also holds a page that is not the history."""
-    path = _folder(spark, "archives")
+    path = folder(spark, "archives")
     for r in _entries(spark, d).toLocalIterator():  # an export at a time
         raw, packed = r.value.encode(), io.BytesIO()
         if r.file % 2:
@@ -128,7 +123,7 @@ def read_html_exports(spark, d):
         F.lit('</a><br><a href="https://example.com/channel/'), who, F.lit('">N'), who, F.lit("</a><br>10 Aug 2026, 14:37:27 ACST"),
     )
     rows = _joined(T.table(spark, d, "pages").select(_file("page_id"), "page_id", cell.alias("c")), "k", "c", "\n", "page_id")
-    path = _folder(spark, "html")
+    path = folder(spark, "html")
     for r in rows.toLocalIterator():
         _put(spark, f"{path}/{r.file}/watch-history.html", b"<html>" + r.value.encode())
     return takeout.read_export(spark, f"{path}/*/watch-history.html").select(*_EVENT)
@@ -140,7 +135,7 @@ def read_browser_databases(spark, d):
     i = F.col("page_id")
     url = F.when(i % 3 != 2, F.concat(F.lit("https://www.YouTube.com/watch?v="), F.lpad(i.cast("string"), 11, "w"))).otherwise(F.col("url"))
     rows = T.table(spark, d, "pages").select("page_id", url.alias("url")).orderBy("page_id")
-    home, out = _folder(spark, "browsers"), []
+    home, out = folder(spark, "browsers"), []
     for label, kind, rest, now in (("chrome", browser.CHROME, 0, 13_348_540_800_000_000), ("firefox", browser.FIREFOX, 1, 1_704_067_200_000_000)):
         base = sqlite3.connect(":memory:")
         base.execute(f"CREATE TABLE {kind[0]} (url, title, {kind[1]} INTEGER)")
@@ -156,7 +151,7 @@ def read_browser_databases(spark, d):
 @query(f"SELECT video_id, title, channel, channel_url, watched_at, source, row_number() OVER (ORDER BY watched_at, video_id, ingest_ord) AS place FROM {EVENTS_SQL}")
 def history_file(spark, d):
     """The sorted history written as lines (K1) and read in its order."""
-    path = _folder(spark, "history")
+    path = folder(spark, "history")
     sinks.json_lines(history.sorted_history(T.watch_events(spark, d)), path)
     read = lists.history(spark, path)
     placed = with_ordinal(read, [F.col("history_ord")], "place")
@@ -166,7 +161,7 @@ def history_file(spark, d):
 @query(f"SELECT channel, arg_min(channel_url, ord) FILTER (WHERE channel_url IS NOT NULL) AS channel_url, count(DISTINCT video_id) AS videos, count(*) AS events FROM (SELECT *, row_number() OVER (ORDER BY watched_at, video_id, ingest_ord) AS ord FROM {EVENTS_SQL}) WHERE channel IS NOT NULL GROUP BY channel HAVING count(DISTINCT video_id) >= 3")
 def rank_from_file(spark, d):
     """Ranking of a history that comes from a file, written as one document (K2) and read back."""
-    path = _folder(spark, "history")
+    path = folder(spark, "history")
     sinks.json_lines(history.sorted_history(T.watch_events(spark, d)), f"{path}/lines")
     made = rank.creators(lists.history(spark, f"{path}/lines")).select("channel", "channel_url", "videos", "events")
     sinks.json_document(made, f"{path}/creators", "channel")
@@ -180,7 +175,7 @@ def channel_cache_file(spark, d):
     p = T.table(spark, d, "part")
     value = F.when(F.col("p_size") % 3 != 0, F.struct(F.col("p_brand").alias("channel"), F.concat(F.lit("https://example.com/"), "p_brand").alias("channel_url"))).otherwise(F.struct(F.lit(None).cast("string").alias("channel"), F.lit(None).cast("string").alias("channel_url")))
     rows = p.select(_file("p_partkey").alias("file"), F.col("p_partkey").cast("string").alias("k"), value.alias("v"))
-    path = _folder(spark, "cache")
+    path = folder(spark, "cache")
     _texts(rows.groupBy("file").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", "v"))), {"ignoreNullFields": "false"}).alias("value")), path)
     return lists.channel_cache(spark, f"{path}/*/part-*")
 
@@ -188,7 +183,7 @@ def channel_cache_file(spark, d):
 @query(f"SELECT id, title, 'https://www.youtube.com/watch?v=' || id AS url, upload_date, duration, view_count FROM {LISTED_SQL}")
 def listing_files(spark, d):
     """A listing with broken lines (S12), kept as it came beside the reduced one (K4, K5), read back by the tolerant reader (S13) and replaced in place (K6)."""
-    path = _folder(spark, "listing")
+    path = folder(spark, "listing")
     rows = T.listed(spark, d)
     good = rows.select(F.to_json(F.struct("id", "title", "upload_date", "duration", "view_count", "channel", "uploader")).alias("value"))
     bad = rows.filter("ingest_ord % 50 = 0").select(F.lit("ERROR: broken line").alias("value"))
@@ -203,7 +198,7 @@ def listing_files(spark, d):
 @query(f"SELECT 'slug' AS slug, (SELECT coalesce(nullif(channel, ''), uploader) FROM {LISTED_SQL} ORDER BY ingest_ord LIMIT 1) AS channel, 'https://example.com/c' AS url, 'videos' AS tab, count(*) AS video_count FROM {LISTED_SQL}")
 def channel_file(spark, d):
     """A channel's summary object (K5)."""
-    path = _folder(spark, "channel")
+    path = folder(spark, "channel")
     raw = T.listed(spark, d)
     sinks.json_object(videos.channel_record(raw, "slug", "https://example.com/c"), path)
     return spark.read.schema("slug string, channel string, url string, tab string, video_count long").json(path)
@@ -212,7 +207,7 @@ def channel_file(spark, d):
 @query("SELECT doc_id::VARCHAR AS id, '20240101' AS upload_date, toxic::BIGINT AS view_count, quality::DOUBLE AS duration FROM labels")
 def info_files(spark, d):
     """Info records, a file each, among files that are no records."""
-    path = _folder(spark, "info")
+    path = folder(spark, "info")
     rows = T.label_info(spark, d).select(F.col("id").alias("file"), F.to_json(F.struct("*")).alias("value"))
     rows.repartition("file").write.partitionBy("file").text(f"{path}/good")
     rows.limit(1).select(F.lit("{broken").alias("value"), F.lit("x").alias("file")).write.partitionBy("file").text(f"{path}/bad")
@@ -222,7 +217,7 @@ def info_files(spark, d):
 def _srt_folder(spark, d):
     """Caption files of SPAN conversations each."""
     rows = captions._srt(spark, d).select(_file("conv_id"), "conv_id", "content")
-    path = _folder(spark, "srt")
+    path = folder(spark, "srt")
     for r in _joined(rows, "k", "content", "\n", "conv_id").toLocalIterator():
         _put(spark, f"{path}/v{r.file}.en.srt", r.value.encode() + b"\xff")
     return path
@@ -249,7 +244,7 @@ def srt_folder(spark, d):
 @query("SELECT doc_id::VARCHAR AS id FROM documents WHERE doc_id % 10 = 0 OR doc_id % 15 = 0")
 def missed_lines(spark, d):
     """Ids without captions, appended by two runs of which one is repeated (K7)."""
-    path = _folder(spark, "missed")
+    path = folder(spark, "missed")
     ids = T.documents(spark, d)
     for some in ("ingest_ord % 10 = 0", "ingest_ord % 15 = 0", "ingest_ord % 10 = 0"):
         sinks.append_lines(ids.filter(some).select("id"), path)
@@ -259,7 +254,7 @@ def missed_lines(spark, d):
 @query("SELECT doc_id::VARCHAR AS id, sha256(text || chr(10)) AS body_sha FROM documents")
 def transcript_files(spark, d):
     """Transcripts under their corpus (K8); a repeated run leaves them as they are."""
-    path = _folder(spark, "transcripts")
+    path = folder(spark, "transcripts")
     rows = T.documents(spark, d).select("id", F.col("text").alias("body"))
     sinks.transcripts(rows.filter("cast(id as long) % 3 = 0"), path, "a")
     sinks.transcripts(rows.withColumn("body", F.when(F.col("id").cast("long") % 3 != 0, F.col("body")).otherwise("changed")), path, "a")
@@ -267,10 +262,10 @@ def transcript_files(spark, d):
     return spark.read.parquet(path).filter("corpus = 'a'").select("id", F.sha2("body", 256).alias("body_sha"))
 
 
-@query("SELECT doc_id::VARCHAR AS source, sha256(text) AS sha256, 2 AS n FROM documents")
+@query("SELECT doc_id::VARCHAR AS source, sha256(text) AS sha256, 2::BIGINT AS n FROM documents")
 def appended_records(spark, d):
     """Document records after those that are there: taken in twice, they are there twice (K9)."""
-    path = _folder(spark, "records")
+    path = folder(spark, "records")
     rows = T.documents(spark, d).select(F.col("id").alias("source"), F.sha2("text", 256).alias("sha256"))
     for _ in range(2):
         sinks.append_records(rows, path)
@@ -281,7 +276,7 @@ def appended_records(spark, d):
 def document_files(spark, d):
     """Text files by the extractor registry (S18 to S20) and their records; checksums are of the files' bytes."""
     rows = T.table(spark, d, "documents").select(_file("doc_id"), "doc_id", "text")
-    path = _folder(spark, "documents")
+    path = folder(spark, "documents")
     for r in _joined(rows, "k", "text", "\n\f", "doc_id").toLocalIterator():
         _put(spark, f"{path}/k{r.file}.txt", r.value.encode())
     made = documents.records(files.read_documents(spark, f"{path}/*"), 1)
@@ -292,7 +287,7 @@ def document_files(spark, d):
 def plain_files(spark, d):
     """Text files without Python."""
     rows = T.table(spark, d, "documents").select(_file("doc_id"), "doc_id", "text")
-    path = _folder(spark, "plain")
+    path = folder(spark, "plain")
     for r in _joined(rows, "k", "text", "\n", "doc_id").toLocalIterator():
         _put(spark, f"{path}/k{r.file}.txt", r.value.encode())
     return files.text_files(spark, f"{path}/*").select(F.substring_index("path", "/", -1).alias("file"), F.col("content_sha").alias("sha256"), F.sha2("text", 256).alias("text_sha"))
@@ -303,7 +298,7 @@ def taxonomy_file(spark, d):
     """The taxonomy from its file (S21) and the members written as one document."""
     import json
 
-    path = _folder(spark, "taxonomy")
+    path = folder(spark, "taxonomy")
     _put(spark, f"{path}/domains.json", json.dumps(dict(DOMAINS)).encode())
     found = lists.domains(spark, f"{path}/domains.json")
     p = T.parts(spark, d)
@@ -339,7 +334,7 @@ def cache_merges(spark, d):
 @query("SELECT doc_id::VARCHAR AS id, doc_id % 3 AS batch FROM documents WHERE doc_id % 10 <> 0 AND length(text) > 400")
 def incremental_transcripts(spark, d):
     """Captions that arrive in three lots and are converted as they come, each once."""
-    path = _folder(spark, "incremental")
+    path = folder(spark, "incremental")
     docs = T.documents(spark, d).filter("ingest_ord % 10 <> 0 and length(text) > 400")
     said = F.concat(F.lit("1\n00:00:01,000 --> 00:00:02,000\n"), F.regexp_replace("text", r"[\s&<>]+", " "))
     rows = docs.select(F.concat("id", F.lit(".en.srt")).alias("file"), F.lit(1).cast("long").alias("size"), said.alias("content"), (F.col("ingest_ord") % 3).alias("lot"))
@@ -352,7 +347,7 @@ def incremental_transcripts(spark, d):
 @query("SELECT doc_id::VARCHAR AS id, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 4 <> 1")
 def todo_from_files(spark, d):
     """What is left to fetch, from listings of what is there."""
-    path = _folder(spark, "todo")
+    path = folder(spark, "todo")
     docs = T.documents(spark, d)
     sinks.append_lines(docs.filter("ingest_ord % 7 = 0").select(F.concat("id", F.lit(" none"))), f"{path}/missed")
     sinks.json_lines(docs.select("id", F.lit(None).cast("string").alias("title")), f"{path}/videos")

@@ -32,19 +32,23 @@ def removed(spark: SparkSession, path: str) -> None:
 _kept: set[str] = set()
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what stands there goes when the Python process ends."""
+    top = f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}"
+    if top not in _kept:
+        _kept.add(top)
+        atexit.register(removed, spark, top)
+    return f"{top}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: its lineage ends there, and lost executors recompute only from it.
 
     The application's tables go when the Python process ends, or before that by `freed`.
     """
-    spark = df.sparkSession
-    top = f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}"
-    if top not in _kept:
-        _kept.add(top)
-        atexit.register(removed, spark, top)
-    path = f"{top}/{name}-{uuid.uuid4().hex}"
+    path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out
 
