@@ -62,6 +62,10 @@ class Encoder(dict):
         self.bare = Tokenizer(self.full.model)  # neither normaliser nor added tokens
         self.bare.pre_tokenizer = self.full.pre_tokenizer
         self.added = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        # how the splitter writes each plain character's bytes: a run of them goes to the model as it would send it
+        plain = (c for c in map(chr, range(0x180)) if _PLAIN.search(c) is None and not c.isspace())
+        self.written = {ord(c): "".join(p for p, _ in self.full.pre_tokenizer.pre_tokenize_str(c)) for c in plain}
+        self.ascii = all(w == chr(c) for c, w in self.written.items() if 0x20 < c < 0x7F)
 
     def clear(self) -> None:
         super().clear()
@@ -76,6 +80,9 @@ class Encoder(dict):
             runs = _RUNS(chunk) if _PLAIN.search(chunk) is None else ()
             if len(runs) > 1:
                 found = b"".join(map(self.__getitem__, runs))
+            elif runs == [chunk]:
+                written = chunk if self.ascii and chunk.isascii() and chunk.isprintable() else chunk.translate(self.written)
+                found = array("I", [t.id for t in self.full.model.tokenize(written)]).tobytes()
             else:
                 found = array("I", self.bare.encode(chunk, add_special_tokens=False).ids).tobytes()
         self[chunk] = found
