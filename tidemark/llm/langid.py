@@ -116,9 +116,9 @@ def bundles(texts: list[str | None]):
             continue
         known, at = np.unique(flat, return_inverse=True)
         doc = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-        for lo in range(0, len(known), 2048):  # blocks of trigrams, for bounded memory
-            hi = min(lo + 2048, len(known))
-            mine = (at >= lo) & (at < hi) if len(known) > 2048 else slice(None)
+        for lo in range(0, len(known), 8192):  # blocks of trigrams, for texts in many scripts
+            hi = min(lo + 8192, len(known))
+            mine = (at >= lo) & (at < hi) if len(known) > 8192 else slice(None)
             n = np.bincount(doc[mine] * (hi - lo) + at[mine] - lo, minlength=len(codes) * (hi - lo)).reshape(len(codes), hi - lo)
             out[i : i + len(codes)] += n.astype(np.float32) @ np.stack([_trigrams[int(k)] for k in known[lo:hi]]).astype(np.float32)
     return out
@@ -141,6 +141,7 @@ def fit(labelled: DataFrame) -> list[tuple[str, list[int]]]:
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))], ["lang", "v"])
 
+    prepare(labelled.sparkSession)
     part = labelled.select("text", "lang").mapInArrow(add, "lang string, v array<long>")
     total = part.selectExpr("lang", "posexplode(v) as (i, x)").groupBy("lang", "i").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v"))
     return sorted((r.lang, [x.x for x in r.v]) for r in total.collect() if any(x.x for x in r.v))
