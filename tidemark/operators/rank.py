@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, iso_day
 from ..functions.text import first_truthy
+from ..staging import staged
 from .history import place
 from .ordering import with_ordinal
 
@@ -50,7 +51,7 @@ def creators(events: DataFrame, cache: DataFrame | None = None, min_videos: int
     )
     kept = totals.filter(F.col("videos") >= min_videos)
     if rank:
-        kept = with_ordinal(kept, [F.desc("videos"), F.desc("events"), F.col("first_ord")], "rank")
+        kept = with_ordinal(staged(kept, "totals"), [F.desc("videos"), F.desc("events"), F.col("first_ord")], "rank")
     return kept.join(_first_titles(rows, titles), "channel").select(
         "channel",
         "channel_url",
