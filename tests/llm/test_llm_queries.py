@@ -13,10 +13,11 @@ def test_query_matches_its_sql(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_on_an_empty_table(spark, tmp_path, name):
-    spark.read.parquet(str(DATA / "sf0.001/documents.parquet")).limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    for t in ("documents", "conversations", "embeddings", "pages"):
+        spark.read.parquet(str(DATA / f"sf0.001/{t}.parquet")).limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, host_rules, langid, license_scan, lm_score, minhash_join, mixing, packing, pseudonyms, token_count
+from ..staging import folder
+from . import exact_dedup, host_rules, langid, license_scan, lm_score, minhash_join, mixing, packing, pseudonyms, token_count, turn_repair, vector_codes, warc_store
 from .base import table
 
 #: Vocabularies of the production queries.
@@ -53,7 +55,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_host_rules, op3_packing, op4_mixing, op5_pseudonyms, op6_language_id, op7_license_scan, op8_minhash_join, op9_lm_scores, op10_token_counts)}
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repaired(turn_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc_store.write_archive(table(spark, sf_dir, "pages"), folder(spark, "archive"))
+    out = warc_store.read_back(spark, path)
+    return out.withColumns({"page_id": F.col("page_id_text").cast("long"), "refers_to": F.col("refers_to_text").cast("long")}).drop("page_id_text", "refers_to_text")
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_host_rules, op3_packing, op4_mixing, op5_pseudonyms, op6_language_id, op7_license_scan, op8_minhash_join, op9_lm_scores, op10_token_counts, op11_turn_repair, op12_vector_codes, op13_warc)}
 
 
 
@@ -121,7 +137,89 @@ WHERE d.source IS NOT DISTINCT FROM f.source AND d.r = (block * {mixing.BLOCK} +
 """
 
 
+#: Damage by crc32 worked out bit by bit, then costs to go from the last turn to the first, then the walk, a turn or an insert at a time.
+_TURNS_SQL = r"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT)),
+      lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)), lambda b, y: xor(b >> 1, 3988292384 * (b & 1)))), 4294967295) % 20 AS kind
+  FROM conversations
+), d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM k, range(2) AS r(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+), o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role)::VARCHAR || ':' || role || text)) AS i FROM d),
+f AS (
+  SELECT *, substr(role, 1, 1) AS c, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) || substr(role, 1, 1) AS pair FROM o
+), g AS (SELECT *, blank OR seen AS gone, CASE WHEN cut THEN 3 ELSE 0 END AS own FROM f),
+n AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE seen AND NOT blank) AS duplicate,
+  count(*) FILTER (WHERE cut AND NOT blank AND NOT seen) AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id),
+b AS (  -- costs before turn i + 1: of no turn, s, u, a so far
+  SELECT conv_id, n AS i, 0::BIGINT AS p, 6::BIGINT AS s, 3::BIGINT AS u, 0::BIGINT AS a FROM n
+  UNION ALL
+  SELECT conv_id, i, least(p, least(u, a + 3) + 3), least(s, least(u, a + 3) + 3), least(u, a + 3), least(a, u + 3) FROM (
+    SELECT b.conv_id, b.i - 1 AS i,
+      least(b.p + 4, CASE WHEN gone THEN 1000000000 WHEN c = 'u' THEN own + b.u WHEN c = 's' THEN least(own + b.s, own + 3 + b.u) ELSE own + 3 + b.u END) AS p,
+      least(b.s + 4, CASE WHEN gone THEN 1000000000 WHEN c = 'u' THEN own + b.u ELSE own + 3 + b.u END) AS s,
+      least(b.u + 4, CASE WHEN gone THEN 1000000000 WHEN c = 'a' THEN own + b.a ELSE own + 3 + b.a END) AS u,
+      least(b.a + 4, CASE WHEN gone THEN 1000000000 WHEN c = 'u' THEN own + b.u ELSE own + 3 + b.u END) AS a
+    FROM b JOIN g ON g.conv_id IS NOT DISTINCT FROM b.conv_id AND g.i = b.i)
+), v AS (SELECT conv_id, i, 0 AS q, p AS v, u + 3 AS ins FROM b UNION ALL SELECT conv_id, i, 1, s, u + 3 FROM b UNION ALL SELECT conv_id, i, 2, u, a + 3 FROM b UNION ALL SELECT conv_id, i, 3, a, u + 3 FROM b),
+w AS (  -- by turn and state: the edit, and the state after it; z: a turn is used up
+  SELECT v.conv_id, v.i, v.q, CASE WHEN x.v + 4 = v.v THEN 'D' WHEN v.ins = v.v THEN 'I' WHEN g.i IS NULL THEN NULL
+      WHEN NOT gone AND ((c = CASE WHEN v.q = 2 THEN 'a' ELSE 'u' END AND y.v + own = v.v) OR (c = 's' AND v.q = 0 AND t.v + own = v.v)) THEN 'K' ELSE 'R' END AS e,
+    CASE WHEN x.v + 4 = v.v THEN v.q WHEN v.ins <> v.v AND NOT gone AND c = 's' AND v.q = 0 AND t.v + own = v.v THEN 1 WHEN v.q = 2 THEN 3 ELSE 2 END AS q2,
+    g.role, g.text
+  FROM v LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM v.conv_id AND g.i = v.i + 1
+    LEFT JOIN v x ON x.conv_id IS NOT DISTINCT FROM v.conv_id AND x.i = v.i + 1 AND x.q = v.q
+    LEFT JOIN v y ON y.conv_id IS NOT DISTINCT FROM v.conv_id AND y.i = v.i + 1 AND y.q = CASE WHEN v.q = 2 THEN 3 ELSE 2 END
+    LEFT JOIN v t ON t.conv_id IS NOT DISTINCT FROM v.conv_id AND t.i = v.i + 1 AND t.q = 1
+), path AS (
+  SELECT conv_id, 0 AS step, 0::BIGINT AS i, 0 AS q, '' AS e, NULL::VARCHAR AS line FROM n
+  UNION ALL
+  SELECT p.conv_id, p.step + 1, p.i + CASE WHEN w.e = 'I' THEN 0 ELSE 1 END, w.q2, w.e,
+    CASE w.e WHEN 'D' THEN NULL WHEN 'K' THEN w.role || ':' || w.text WHEN 'I' THEN CASE w.q2 WHEN 3 THEN 'assistant:' ELSE 'user:' END ELSE CASE w.q2 WHEN 3 THEN 'assistant:' ELSE 'user:' END || w.text END
+  FROM path p JOIN w ON w.conv_id IS NOT DISTINCT FROM p.conv_id AND w.i = p.i AND w.q = p.q WHERE w.e IS NOT NULL
+), r AS (SELECT conv_id, string_agg(e, '' ORDER BY step) AS audit, sha256(coalesce(string_agg(line, chr(10) ORDER BY step), '')) AS repaired_sha256 FROM path GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(b.p, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = 0 LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+def _codes_sql(parts: int = vector_codes.PARTS, rounds: int = vector_codes.ROUNDS) -> str:
+    """Rounds of assignment to, and averages of, entries, written out one after another."""
+    out = rf"""WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label, list_transform(embedding, lambda v: floor(v::DOUBLE * {vector_codes.SCALE})::BIGINT) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR isnan(v) OR isinf(v))) = 0),
+p AS (SELECT rid, part, list_transform(range(1, len(x) // {parts} + 1), lambda i: x[part * (len(x) // {parts}) + i]) AS y FROM kept, range({parts}) AS r(part)),
+b0 AS (SELECT part, rid - 1 AS entry, y AS c FROM p WHERE rid <= {vector_codes.ENTRIES})"""
+    for k in range(rounds + 1):
+        out += f""",
+d{k} AS (SELECT rid, p.part, entry, y, list_sum(list_transform(range(1, len(y) + 1), lambda i: (y[i] - c[i]) * (y[i] - c[i])))::BIGINT AS dist FROM p JOIN b{k} b ON b.part = p.part),
+a{k} AS (SELECT rid, part, y, entry, dist FROM (SELECT *, row_number() OVER (PARTITION BY rid, part ORDER BY dist, entry) AS r FROM d{k}) WHERE r = 1)"""
+        if k < rounds:
+            out += f""",
+m{k} AS (SELECT part, entry, list(m ORDER BY i) AS c FROM (SELECT part, entry, i, CASE WHEN sum(v) >= 0 THEN sum(v)::BIGINT // count(*) ELSE -((-sum(v)::BIGINT + count(*) - 1) // count(*)) END AS m
+  FROM (SELECT part, entry, unnest(y) AS v, generate_subscripts(y, 1) AS i FROM a{k}) GROUP BY part, entry, i) GROUP BY part, entry),
+b{k + 1} AS (SELECT b.part, b.entry, coalesce(m.c, b.c) AS c FROM b{k} b LEFT JOIN m{k} m ON m.part = b.part AND m.entry = b.entry)"""
+    return out + f""",
+s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds}),
+e AS (SELECT rid, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error FROM a{rounds} GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN e USING (rid), s"""
+
+
 ORACLES = {
+    "op11_turn_repair": _TURNS_SQL,
+    "op12_vector_codes": _codes_sql(),
+    "op13_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+h AS (SELECT page_id, octet_length(encode(t))::BIGINT AS n, sha1(t) AS payload_digest, count(*) OVER w AS c, row_number() OVER w2 AS r, first_value(page_id) OVER w2 AS top FROM p
+  WINDOW w AS (PARTITION BY t), w2 AS (PARTITION BY t ORDER BY page_id DESC NULLS LAST))
+SELECT page_id, n AS payload_bytes, payload_digest, CASE WHEN n >= {warc_store.LEAST} AND r > 1 THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN n >= {warc_store.LEAST} AND r > 1 THEN top END AS refers_to FROM h
+""",
     "op4_mixing": _MIXING_SQL,
     "op7_license_scan": _license_sql(),
     "op1_exact_dedup": r"""
