@@ -202,7 +202,7 @@ def test_incremental_conversion_and_cache(spark, tmp_path):
     for name in ("a", "b"):
         spark.createDataFrame([(f"{name}.en.srt", 1, text)], S.SRT_FILE).write.mode("append").parquet(source)
         incremental.convert_captions(spark, source, target, mark)
-    assert sorted(r.id for r in spark.read.parquet(target).collect()) == ["a", "b"]
+    assert sorted(r.id for r in incremental.converted(spark, target).collect()) == ["a", "b"]
     cache = spark.createDataFrame([("k", "K", None, "named"), ("t", None, None, "timeout")], "video_id string, channel string, channel_url string, status string")
     asked = spark.createDataFrame([("t",), ("m",), ("k",)], "video_id string")
     answers = spark.createDataFrame([("t", "T", "http://t")], S.CHANNEL_CACHE)
@@ -267,33 +267,6 @@ def test_repeated_runs_of_sinks_add_nothing(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "r")).count() == 4
 
 
-def test_fetcher(tmp_path):
-    from types import SimpleNamespace
-
-    from tidemark.sources import fetcher
-
-    def run(command, **how):
-        if command[0] == "broken":
-            raise OSError("not there")
-        if command[1:] == ["--version"]:
-            return SimpleNamespace(stdout={"old": "2025.01.01\n", "silent": "", "new": "2026.02.02\n"}[command[0]], returncode=0)
-        if "listed" in command[-1]:
-            how["stdout"].write("{}\n")
-        return SimpleNamespace(returncode=1, stderr="refused", stdout="")
-
-    assert fetcher.find([None, "broken", "silent", "old", "new"], run) == ("old", "2025.01.01", False)
-    assert fetcher.find(["new"], run)[2]
-    with pytest.raises(FileNotFoundError):
-        fetcher.find(["broken"], run)
-    fetcher.list_channel("new", "http://listed", str(tmp_path / "a"), run)  # ends badly, but has listed something
-    assert (tmp_path / "a").read_text() == "{}\n"
-    with pytest.raises(RuntimeError, match="refused"):
-        fetcher.list_channel("new", "http://empty", str(tmp_path / "b"), run)
-    seen = []
-    fetcher.fetch_captions("new", ["-a", "b"], "/x", 2.0, lambda c, **_: seen.append(c))
-    assert seen[0][-3:] == ["--", "-a", "b"] and "en.*" in seen[0] and seen[0][0] == "new"
-
-
 def test_one_hot_group_is_spread(spark, monkeypatch):
     """A day, a count or a domain that holds every row still takes many ranges, each a bounded part."""
     from tidemark.operators import ordering

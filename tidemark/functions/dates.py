@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import SPACE, WORD, _col, falsy_to_null
+from .text import SPACE, WORD, _col, falsy_to_null, whole_number
 
 # English month names, by their first three letters.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -13,7 +13,8 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 _N = r"\p{Nd}"
 _CLOCK = rf"{SPACE}*({_N}{{1,2}}):({_N}{{2}}):({_N}{{2}})(?:{SPACE}*([AP]M))?"
 _DAY_FIRST = rf"(?U)({_N}{{1,2}}) ({WORD}{{3,}}) ({_N}{{4}}),{_CLOCK}"
-_MONTH_FIRST = rf"(?U)({WORD}{{3,}}) ({_N}{{1,2}}), ({_N}{{4}}),{_CLOCK}"
+# a word is taken from its start, where a search finds it first anyway: else a long one costs its length squared
+_MONTH_FIRST = rf"(?U)(?<!{WORD})({WORD}{{3,}}) ({_N}{{1,2}}), ({_N}{{4}}),{_CLOCK}"
 
 
 def hour_of_day(hour: Column, half) -> Column:
@@ -23,7 +24,9 @@ def hour_of_day(hour: Column, half) -> Column:
 
 
 def locale_stamp(cell) -> Column:
-    """ISO text of the first day-first stamp in a cell, else of the first month-first one; null for a month that is not English."""
+    """ISO text of the first day-first stamp in a cell, else of the first month-first one; null for a month that is not English.
+
+    Digits of any script count; those of the year stay as they are written."""
     cell = _col(cell)
 
     def parsed(pattern: str, day: int, month: int) -> Column:
@@ -34,10 +37,10 @@ def locale_stamp(cell) -> Column:
         number = F.array_position(F.array(*map(F.lit, MONTHS)), name)
 
         def two(c):
-            return F.lpad(c.cast("int").cast("string"), 2, "0")
+            return F.lpad(c.cast("string"), 2, "0")
 
-        date = F.concat_ws("-", part(3), two(number), two(part(day)))
-        time = F.concat_ws(":", two(hour_of_day(part(4).cast("int"), part(7))), two(part(5)), two(part(6)))
+        date = F.concat_ws("-", part(3), two(number), two(whole_number(part(day))))
+        time = F.concat_ws(":", two(hour_of_day(whole_number(part(4)), part(7))), two(whole_number(part(5))), two(whole_number(part(6))))
         return F.when(number > 0, F.concat(date, F.lit("T"), time))
 
     return F.when(cell.rlike(_DAY_FIRST), parsed(_DAY_FIRST, 1, 2)).when(cell.rlike(_MONTH_FIRST), parsed(_MONTH_FIRST, 2, 1))
@@ -59,11 +62,17 @@ def iso_day(c) -> Column:
 
 def from_epoch_1601(us) -> Column:
     """Microseconds since 1601 as UTC text; null where null."""
-    return _utc_text(F.floor(_col(us) / 1_000_000) - 11_644_473_600)
+    return _utc_text(_whole_seconds(us) - 11_644_473_600)
 
 
 def from_epoch_1970(us) -> Column:
-    return _utc_text(F.floor(_col(us) / 1_000_000))
+    return _utc_text(_whole_seconds(us))
+
+
+def _whole_seconds(us) -> Column:
+    """Whole seconds of microseconds, in whole numbers: since 1601 they are beyond what a double holds."""
+    us, million = _col(us), F.lit(1_000_000).cast("long")
+    return F.call_function("div", us - F.pmod(us, million), million)
 
 
 def _utc_text(seconds: Column) -> Column:

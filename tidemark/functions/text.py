@@ -150,6 +150,11 @@ def sentences(c) -> Column:
     return F.split(_col(c), rf"(?<=[.!?]){SPACE}+")
 
 
+def universal_newlines(c) -> Column:
+    """Line ends of any system as line feeds."""
+    return F.regexp_replace(_col(c), "\r\n?", "\n")
+
+
 def split_lines(c) -> Column:
     """Lines as str.splitlines gives them: any line boundary, and no empty line at the end."""
     lines = F.split(_col(c), "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\u0085\u2028\u2029]")
@@ -185,6 +190,20 @@ def suffix(path) -> Column:
     return F.lower(F.regexp_extract(leaf, r"(?s)^.+?(\.[^.]+)$", 1))
 
 
+def _digits() -> tuple[str, str]:
+    import sys
+    import unicodedata
+
+    other = [c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
+    return "".join(other), "".join(str(unicodedata.decimal(c)) for c in other)
+
+
+def whole_number(c) -> Column:
+    """A number in decimal digits of any script; null where there is none."""
+    c = _col(c)
+    return F.when(c.rlike("^[0-9]*$"), c).otherwise(F.translate(c, *_digits())).try_cast("int")
+
+
 def decoded(binary) -> Column:
     """Bytes as text, replacement characters where they are not UTF-8."""
     return F.make_valid_utf8(_col(binary).cast("string"))

@@ -100,11 +100,12 @@ def reflow(text, size: int = 5) -> Column:
 
 
 def best_track(files: DataFrame) -> DataFrame:
-    """One caption file for each video: the manual English track, else the original automatic one, else any; ties by name."""
+    """One caption file for each video, and its rank: the manual English track (0), else the original automatic one (1), else any (2); ties by name."""
     video = X.file_stem("file")
     rank = F.when(F.col("file") == F.concat("id", F.lit(".en.srt")), 0).when(F.col("file") == F.concat("id", F.lit(".en-orig.srt")), 1).otherwise(2)
     rows = files.filter(F.col("file").endswith(".srt")).withColumn("id", video)
-    return rows.withColumn("__r", F.row_number().over(Window.partitionBy("id").orderBy(rank, "file"))).filter("__r = 1").drop("__r")
+    rows = rows.withColumn("rank", rank)
+    return rows.withColumn("__r", F.row_number().over(Window.partitionBy("id").orderBy("rank", "file"))).filter("__r = 1").drop("__r")
 
 
 def transcripts(files: DataFrame, done: DataFrame | None = None, min_chars: int = 200) -> DataFrame:

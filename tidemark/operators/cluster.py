@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.patterns import Matcher
+from ..session import importable
 from .ordering import with_ordinal
 
-
-#: Domains of a taxonomy at most; every title is held against each.
-MOST_DOMAINS = 10_000
+#: Domains of a taxonomy table at most: it is a list that people write, and goes to every task.
+MOST_DOMAINS = 100_000
 
 
 def with_titles(transcripts: DataFrame, videos: DataFrame, order: str = "ingest_ord") -> DataFrame:
@@ -30,13 +34,31 @@ def labelled(rows: DataFrame, domains: list[tuple[str, str]]) -> DataFrame:
     return rows.withColumn("domain", F.explode(F.filter(hits, lambda x: x.isNotNull())))
 
 
+def labelled_by_index(rows: DataFrame, domains: list[tuple[str, str]]) -> DataFrame:
+    """The same for taxonomies of thousands of patterns: a title costs its own length and the patterns likely to match it.
+
+    The patterns, which are read on the driver, go to each task once; null titles match as empty ones.
+    """
+    importable(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast(domains)  # as long as the taxonomy's file
+
+    @F.pandas_udf("array<string>")
+    def matched(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        match = Matcher(shared.value)
+        for titles in batches:
+            yield pd.Series([match(t or "") for t in titles], dtype=object)
+
+    return rows.withColumn("domain", F.explode(matched("title")))
+
+
 def labelled_by_table(rows: DataFrame, domains: DataFrame) -> DataFrame:
-    """The same for a taxonomy held in a table (domain, pattern for the JVM), one of at most MOST_DOMAINS rows."""
-    taxonomy = domains.select("domain", "pattern")
-    if len(taxonomy.limit(MOST_DOMAINS + 1).collect()) > MOST_DOMAINS:
+    """The same for a taxonomy held in a table (domain, pattern in Python's dialect), one of at most MOST_DOMAINS rows; patterns are checked here."""
+    taxonomy = [(r.domain, r.pattern) for r in domains.select("domain", "pattern").limit(MOST_DOMAINS + 1).collect()]
+    if len(taxonomy) > MOST_DOMAINS:
         raise ValueError(f"a taxonomy has at most {MOST_DOMAINS} domains")
-    taxonomy = F.broadcast(taxonomy)
-    return rows.join(taxonomy, F.expr(f"title rlike concat('{X.JAVA_FLAGS}', pattern)")).drop("pattern")
+    for _, pattern in taxonomy:
+        X.java_pattern(pattern)
+    return labelled_by_index(rows, taxonomy)
 
 
 _MEMBER = ("domain", "place", "id", "title", "views", "words")

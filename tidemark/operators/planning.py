@@ -59,11 +59,6 @@ def lookup_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(F.size(part) == 3).select(part[0].alias("video_id"), F.when(~name.isin("", "NA"), name).alias("channel"), F.when(url.startswith("http"), url).alias("channel_url"))
 
 
-def tool_is_current(version, least: str = "2026.01.01"):
-    """Whether a fetcher's version text is not older than the least one (plain text order)."""
-    return F.col(version) >= least
-
-
 def yield_report(videos: DataFrame, transcripts: DataFrame, missed: DataFrame) -> DataFrame:
     """Enumerated against transcripts and recorded misses, and the gap between them."""
     counts = [d.agg(F.count_distinct("id").alias(n)) for d, n in ((videos, "enumerated"), (transcripts, "transcripts"), (missed, "no_captions"))]

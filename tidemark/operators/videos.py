@@ -25,10 +25,10 @@ def channel_name(raw: DataFrame, order: str = "ingest_ord") -> DataFrame:
 
 
 def channel_record(raw: DataFrame, slug: str, url: str, tab: str = "videos", order: str = "ingest_ord") -> DataFrame:
-    """One row: a channel's slug, name (the slug where no entry has one), address, tab and number of videos."""
+    """One row: a channel's slug, name (null where no entry has one), address, tab and number of videos."""
     count = reduce_videos(raw, order).agg(F.count("*").alias("video_count"))
     one = channel_name(raw, order).join(F.broadcast(count), F.lit(True))
-    return one.select(F.lit(slug).alias("slug"), F.coalesce("channel", F.lit(slug)).alias("channel"), F.lit(url).alias("url"), F.lit(tab).alias("tab"), "video_count")
+    return one.select(F.lit(slug).alias("slug"), "channel", F.lit(url).alias("url"), F.lit(tab).alias("tab"), "video_count")
 
 
 def runtime(videos: DataFrame) -> DataFrame:

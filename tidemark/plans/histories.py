@@ -296,12 +296,6 @@ def fetch_advice(spark, d):
     return planning.fetch_advice(T.documents(spark, d))
 
 
-@query("SELECT v AS version, v >= '2026.01.01' AS current FROM (VALUES ('2025.12.31'), ('2026.01.01'), ('2026.3.1')) t(v)")
-def tool_version(spark, d):
-    rows = spark.createDataFrame([("2025.12.31",), ("2026.01.01",), ("2026.3.1",)], "version string")
-    return rows.select("version", planning.tool_is_current("version").alias("current"))
-
-
 @query("SELECT n AS enumerated, t AS transcripts, m AS no_captions, n - t - m AS gap FROM (SELECT count(*) AS n, (SELECT count(DISTINCT doc_id) FROM labels WHERE quality = 1) AS t, (SELECT count(DISTINCT doc_id) FROM labels WHERE quality = 0) AS m FROM documents)")
 def yield_reconcile(spark, d):
     info = T.label_info(spark, d)

@@ -49,6 +49,19 @@ def cluster_by_table(spark, d):
     return O.labelled_by_table(_rows(spark, d), domain_table(spark, DOMAINS)).select("domain", "id")
 
 
+#: A taxonomy of a pattern for each pair of words that a name may begin with, as people write them, and some of more kinds.
+_WORDS = ("blue", "cold", "small", "ring", "green", "large", "bolt", "gear", "steel", "valve", "pump", "red")
+MANY = [(f"{a}-{b}", rf"\b(?P<first>{a})\b.*{b}") for a in _WORDS for b in _WORDS] + [(f"either-{i}", f"(?:{a}|{b}s?) ?[a-z]") for i, (a, b) in enumerate(zip(_WORDS, _WORDS[1:]))] + [("two letters", "^.[oe]"), ("not even one", "q[0-9]{3}zz")]
+_MANY_VALUES = ", ".join(f"({i}, '{k}', '{p}')" for i, (k, p) in enumerate(MANY))
+
+
+@query(f"SELECT domain, count(*) AS videos, sum(words)::BIGINT AS words, min(id) AS first_id, max(id) AS last_id FROM {PARTS_SQL} p JOIN (VALUES {_MANY_VALUES}) t(ord, domain, pattern) ON regexp_matches(title, pattern, 'i') GROUP BY domain")
+def cluster_many_patterns(spark, d):
+    """Labels by an index of the texts that patterns need (J4); patterns in Python's dialect."""
+    hits = O.labelled_by_index(_rows(spark, d), MANY)
+    return hits.groupBy("domain").agg(F.count("*").alias("videos"), F.sum("words").alias("words"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
 _SUMMARY = f"(SELECT ord, t.domain, count(id) AS videos, coalesce(sum(words), 0)::BIGINT AS words FROM {_TAXONOMY} t LEFT JOIN {_HITS} h ON h.domain = t.domain GROUP BY ord, t.domain)"
 
 

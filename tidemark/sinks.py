@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import file_sink
 from .sources import lists
 
 
@@ -49,6 +50,11 @@ def transcripts(df: DataFrame, path: str, corpus: str) -> None:
     new.write.mode("append").parquet(mine)
 
 
+def transcript_files(df: DataFrame, path: str) -> None:
+    """A text file for each transcript (id, body), named by its id; files that are there and not empty stay as they are."""
+    file_sink.write_files(df.select(F.concat("id", F.lit(".txt")).alias("name"), F.encode(F.concat("body", F.lit("\n")), "UTF-8").alias("content")), path, keep=True)
+
+
 def raw_and_reduced(raw: DataFrame, reduced: DataFrame, path: str) -> None:
     """The listing as it came beside the reduced one."""
     raw.write.mode("overwrite").json(f"{path}/raw")

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..session import importable
 
 Extractor = Callable[[bytes], str]
@@ -28,13 +29,14 @@ def command(ext: str) -> Extractor:
             done = subprocess.run([f.name if x == "{}" else x for x in COMMANDS[ext]], capture_output=True, timeout=TIMEOUT_S)
         if done.returncode:
             raise RuntimeError(f"{COMMANDS[ext][0]} failed: {done.stderr.decode('utf-8', 'replace').strip()[:200]}")
-        return done.stdout.decode("utf-8", "replace")
+        return plain(done.stdout)
 
     return run
 
 
 def plain(content: bytes) -> str:
-    return content.decode("utf-8", "replace")
+    """Bytes as text, line ends of any system as line feeds."""
+    return content.decode("utf-8", "replace").replace("\r\n", "\n").replace("\r", "\n")
 
 
 EXTRACTORS: dict[str, Extractor] = {".pdf": command(".pdf"), ".epub": command(".epub"), ".txt": plain}
@@ -75,4 +77,4 @@ def read_documents(spark: SparkSession, path: str, extractors: dict[str, Extract
 def text_files(spark: SparkSession, path: str) -> DataFrame:
     """Plain text alone, without Python: path, content_sha, text."""
     rows = spark.read.format("binaryFile").load(path)
-    return rows.select("path", F.sha2("content", 256).alias("content_sha"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"), F.lit(None).cast("string").alias("error"))
+    return rows.select("path", F.sha2("content", 256).alias("content_sha"), X.universal_newlines(X.decoded("content")).alias("text"), F.lit(None).cast("string").alias("error"))

@@ -27,9 +27,13 @@ def empty_files(spark: SparkSession, path: str) -> list[str]:
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
-    """Watch events from JSON lines. Their order in the files is the history's (history_ord); ingest_ord is as written."""
+    """Watch events from JSON lines. Their order in the files is the history's (history_ord); ingest_ord is as written.
+
+    Files that a writer numbered come by folder and number, others by name."""
     rows = spark.read.schema(S.ORDERED_EVENT).json(path)
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    name = F.col("_metadata.file_path")
+    number = F.regexp_extract(name, r"/part-(\d+)[^/]*$", 1).try_cast("long")
+    at = F.struct(F.regexp_extract(name, r"(?s)^(.*/)", 1).alias("folder"), number.alias("number"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
     return rows.withColumns({"history_ord": at, "ingest_ord": F.coalesce("ingest_ord", F.monotonically_increasing_id())})
 
 
@@ -44,8 +48,12 @@ def channel_cache(spark: SparkSession, path: str) -> DataFrame:
 
 def raw_videos(lines: DataFrame) -> DataFrame:
     """Entries of a flat listing (value, ingest_ord); lines that are no JSON objects are skipped."""
-    parsed = lines.withColumn("e", F.from_json("value", S.RAW_VIDEO.simpleString() + "", {"mode": "PERMISSIVE"}))
-    return parsed.filter(F.get_json_object("value", "$").isNotNull() & F.col("e").isNotNull()).select("e.*", "ingest_ord")
+    text = ", ".join(f"{f.name}: string" for f in S.RAW_VIDEO.fields)
+    parsed = lines.withColumn("e", F.from_json("value", f"struct<{text}>", {"mode": "PERMISSIVE"}))
+    kept = parsed.filter(F.get_json_object("value", "$").isNotNull() & F.col("e").isNotNull()).select("e.*", "ingest_ord")
+    # numbers with a fraction or in quotes count; views are whole
+    views = F.coalesce(F.col("view_count").try_cast("long"), F.col("view_count").try_cast("double").try_cast("long"))
+    return kept.withColumns({"duration": F.col("duration").try_cast("double"), "view_count": views})
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -93,4 +101,5 @@ def domains(spark: SparkSession, path: str) -> list[tuple[str, str]]:
 
 
 def domain_table(spark: SparkSession, found: list[tuple[str, str]]) -> DataFrame:
+    """A taxonomy as a table: ord, domain, pattern (in Python's dialect)."""
     return spark.createDataFrame([(i, k, p) for i, (k, p) in enumerate(found)], S.DOMAIN)

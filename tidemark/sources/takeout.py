@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import glob
-import io
 import os
-import tarfile
-import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import text as X
 from ..schemas import TAKEOUT_ENTRY
-from ..session import importable
-from . import lists
+from . import exports
 
 # Where exports are looked for, the first pattern with a hit first.
 LOCATIONS = (
@@ -28,9 +24,7 @@ LOCATIONS = (
     "~/**/watch-history.json",
     "~/**/watch-history.html",
 )
-# Members of archives, and patterns of video addresses, event cells and links.
-LEAVES = ("/watch-history.json", "/watch-history.html")
-ARCHIVES = (".zip", ".tgz", ".tar.gz")
+# Patterns of video addresses, event cells and links.
 VIDEO = "[?&]v=([A-Za-z0-9_-]{11})"
 CELL = '(?iu)<div class="outer-cell'
 LINK = r'(?s)<a href="([^"]+)"[^>]*>(.*?)</a>'
@@ -46,49 +40,6 @@ def find_export(home: str | None = None) -> str | None:
     return None
 
 
-def _leaf_of(name: str, content: bytes) -> tuple[str, bytes]:
-    """The history file in an archive: the first JSON member, else the first HTML one."""
-    if name.endswith(".zip"):
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
-            return _choose(name, z.namelist(), z.read)
-    with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as t:
-        return _choose(name, t.getnames(), lambda m: t.extractfile(m).read())
-
-
-def _choose(archive: str, names: list[str], read) -> tuple[str, bytes]:
-    for leaf in LEAVES:
-        for n in names:
-            if n.endswith(leaf):
-                return n, read(n)
-    raise ValueError(f"{archive} holds no watch-history.json or .html")
-
-
-def export_files(spark: SparkSession, path: str) -> DataFrame:
-    """path, leaf, text of loose files and archives, opened on the executors. An empty file is no export and stops the query."""
-    importable(spark)
-    if empty := lists.empty_files(spark, path):
-        raise ValueError(f"{empty[0]} is empty")
-    raw = spark.read.format("binaryFile").load(path).select("path", "content")
-    loose = raw.filter(~_is_archive()).select("path", F.col("path").alias("leaf"), X.decoded("content").alias("text"))
-    packed = raw.filter(_is_archive())
-
-    def opened(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            got = [_leaf_of(p, c) for p, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([n for n, _ in got], pa.string()), pa.array([c.decode("utf-8", "replace") for _, c in got], pa.string())], ["path", "leaf", "text"])
-
-    return loose.unionByName(packed.mapInArrow(opened, "path string, leaf string, text string"))
-
-
-def _is_archive() -> Column:
-    test = F.lit(False)
-    for ext in ARCHIVES:
-        test = test | F.col("path").endswith(ext)
-    return test
-
-
 def video_id(url) -> Column:
     """Eleven characters after v= in an address; null where there are none."""
     return X.falsy_to_null(F.regexp_extract(X._col(url), VIDEO, 1))
@@ -110,12 +61,18 @@ def json_events(entries: DataFrame) -> DataFrame:
 
 
 def parse_json(files: DataFrame) -> DataFrame:
-    """Watch events of whole JSON exports (text). An export that is broken, cut off or empty stops the query."""
+    """Watch events of JSON exports that stand whole in a column (text). One that is broken, cut off or empty stops the query."""
     parsed = F.from_json("text", "array<" + TAKEOUT_ENTRY.simpleString() + ">", {"mode": "FAILFAST"})
     entries = files.select(F.posexplode(F.coalesce(parsed, F.raise_error(F.lit("an export holds no JSON array")))).alias("ingest_ord", "e"))
     return json_events(entries.select("e.*", F.col("ingest_ord").cast("long").alias("ingest_ord")))
 
 
+def parse_elements(items: DataFrame) -> DataFrame:
+    """Watch events of the elements of JSON exports (text, ingest_ord)."""
+    entry = F.from_json("text", TAKEOUT_ENTRY.simpleString(), {"mode": "FAILFAST"})
+    return json_events(items.select(entry.alias("e"), "ingest_ord").select("e.*", "ingest_ord"))
+
+
 def html_cells(text) -> Column:
     """The event cells of an HTML export."""
     parts = F.split(X._col(text), CELL)
@@ -157,19 +114,30 @@ def cell_links(cell) -> Column:
 
 def event_cells(files: DataFrame, *carry: str) -> DataFrame:
     """The carried columns, place and cell of whole HTML exports (text); cells of the music section go."""
-    cells = files.select(*carry, F.posexplode(html_cells("text")).alias("ingest_ord", "cell"))
+    return _events(files.select(*carry, F.posexplode(html_cells("text")).alias("ingest_ord", "cell")))
+
+
+def _events(cells: DataFrame) -> DataFrame:
     return cells.filter(~F.contains(F.substr("cell", F.lit(1), F.lit(MUSIC_CHARS)), F.lit(MUSIC)))
 
 
 def parse_html(files: DataFrame) -> DataFrame:
-    """Watch events of whole HTML exports (text)."""
-    cells = event_cells(files)
+    """Watch events of HTML exports that stand whole in a column (text)."""
+    return _cell_events(event_cells(files))
+
+
+def parse_cells(items: DataFrame) -> DataFrame:
+    """Watch events of the cells of HTML exports (text, ingest_ord)."""
+    return _cell_events(_events(items.select(F.col("text").alias("cell"), "ingest_ord")))
+
+
+def _cell_events(cells: DataFrame) -> DataFrame:
     found = cells.select(F.col("ingest_ord").cast("long").alias("ingest_ord"), cell_links("cell").alias("l"), D.locale_stamp("cell").alias("watched_at")).filter("l.video_id is not null")
     return found.select("l.video_id", X.unescape_html("l.title").alias("title"), X.unescape_html("l.channel").alias("channel"), "l.channel_url", "watched_at", F.lit("takeout").alias("source"), "ingest_ord")
 
 
-def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """Watch events of exports of either layout."""
-    files = export_files(spark, path)
-    page = F.col("leaf").endswith(".html")
-    return parse_json(files.filter(~page)).unionByName(parse_html(files.filter(page)))
+def read_export(spark: SparkSession, path: str, range_bytes: int = exports.RANGE) -> DataFrame:
+    """Watch events of the exports of either layout at a path or pattern, loose or in archives; files come by name, events as they stand in them."""
+    items = exports.items(spark, path, range_bytes)
+    found = parse_elements(items[exports.JSON])
+    return found.unionByName(parse_cells(items[exports.HTML])) if exports.HTML in items else found

@@ -1,7 +1,7 @@
 """Incremental runs: every start takes what is new, and a killed run costs one batch.
 
-A checkpoint remembers which files are done, so done-sets need not be rebuilt from folders; keyed results are
-merged by `foreachBatch`, each batch into a new version of the table.
+A checkpoint remembers which files are done, so done-sets need not be rebuilt from folders. `foreachBatch` writes what
+a batch gives under the batch's number, so that a batch taken again replaces itself.
 """
 
 from __future__ import annotations
@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+
 from ..operators import captions
 from ..schemas import SRT_FILE
+from ..staging import freed, staged
 
 #: Outcomes of a lookup. A timeout may be asked for again; a miss may not.
 NAMED, MISS, TIMEOUT = "named", "miss", "timeout"
@@ -29,13 +31,63 @@ def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
     return query
 
 
-def convert_captions(spark: SparkSession, source: str, target: str, checkpoint: str, min_chars: int = 200):
-    """Caption rows to transcripts as they arrive; a batch is written under its number, so a repeated one replaces itself."""
+def _folders(spark: SparkSession, path: str, name: str) -> dict[int, str]:
+    """Folders name=N of a path whose writing was finished, by N."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return {}
+    names = [x.getPath().getName() for x in fs.listStatus(top) if x.isDirectory()]
+    found = {int(n.partition("=")[2]): f"{path}/{n}" for n in names if n.startswith(f"{name}=")}
+    return {k: v for k, v in found.items() if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{v}/_SUCCESS"))}
 
-    def each(batch: DataFrame, number: int) -> None:
-        captions.transcripts(batch, min_chars=min_chars).filter("status = 'written'").write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    return run_once(new_files(spark, source, SRT_FILE), checkpoint, each)
+def _read(spark: SparkSession, folders: list[str], schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+#: What a later track of a video that has a transcript does: nothing, or it replaces the transcript if it is better.
+KEEP_FIRST, TAKE_BETTER = "first", "better"
+_TRIED = "id string, rank int, file string, status string, batch long"
+_MADE = "id string, body string, words long, batch long"
+
+
+def convert_captions(spark: SparkSession, source: str, target: str, checkpoint: str, min_chars: int = 200, later: str = KEEP_FIRST, per_batch: int = 1000):
+    """Caption rows to transcripts as they arrive, each video once, however its tracks are dealt to files and runs.
+
+    A batch looks up what earlier ones tried (`target/tried`: id, track, outcome; no bodies). A video with a transcript
+    keeps it, or with TAKE_BETTER gets a new one from a better track (manual before original before any, then by name).
+    One whose tracks were all too short is tried again with a better track alone, as if all of them had come at once.
+    Bodies go to `target/made`, and what was tried is written after them. Both stand under the batch's number: a batch
+    that is killed and taken again replaces its own folders and looks up only those of lower numbers.
+    """
+    if later not in (KEEP_FIRST, TAKE_BETTER):
+        raise ValueError(f"later is {KEEP_FIRST} or {TAKE_BETTER}")
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        earlier = _read(spark, [v for k, v in _folders(spark, f"{target}/tried", "batch").items() if k < number], _TRIED)
+        known = earlier.groupBy("id").agg(F.min(F.struct("rank", "file")).alias("least"), F.max(F.col("status") == "written").alias("has"))
+        new = captions.best_track(batch).join(known, "id", "left")
+        better = F.struct("rank", "file") < F.col("least")
+        new = staged(new.filter(F.col("least").isNull() | (better & (F.lit(later == TAKE_BETTER) | ~F.col("has")))).drop("least", "has"), "tracks")
+        made = staged(captions.transcripts(new, min_chars=min_chars), "made")
+        made.filter("status = 'written'").select("id", "body", "words", F.lit(number).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{target}/made/batch={number}")
+        tried = new.select("id", "rank", "file").join(made.select("id", "status"), "id")
+        tried.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{target}/tried/batch={number}")
+        freed(new, made)
+
+    return run_once(new_files(spark, source, SRT_FILE, per_batch=per_batch), checkpoint, each)
+
+
+def converted(spark: SparkSession, target: str) -> DataFrame:
+    """id, body, words, batch: the transcript of every video that has one. Batches that were not finished don't count."""
+    tried = _folders(spark, f"{target}/tried", "batch")
+    made = {k: v for k, v in _folders(spark, f"{target}/made", "batch").items() if k in tried}
+    rows = _read(spark, list(made.values()), _MADE)
+    last = rows.groupBy("id").agg(F.max("batch").alias("batch"))  # of several, the one that replaced the others
+    return rows.join(last, ["id", "batch"]).select("id", "body", "words", "batch")
 
 
 def merged_cache(cache: DataFrame, asked: DataFrame, answers: DataFrame, timed_out: bool = False) -> DataFrame:
@@ -54,3 +106,50 @@ def merged_cache(cache: DataFrame, asked: DataFrame, answers: DataFrame, timed_o
 def settled(cache: DataFrame) -> DataFrame:
     """Ids not to be asked for again."""
     return cache.filter(F.col("status") != TIMEOUT).select("video_id")
+
+
+#: A row for each lookup: what came back for a video, at a place in its answer. outcome: answer, none (asked for and not answered) or timeout.
+LOOKUP = "video_id string, channel string, channel_url string, outcome string, at long"
+_STATE = "video_id string, best struct<kind: int, newest: long, last: long, channel: string, channel_url: string>"
+
+
+def _folded(rows: DataFrame) -> DataFrame:
+    """One state for each video: the last answer, else a miss, else a timeout. States fold into states, in any order."""
+    return rows.groupBy("video_id").agg(F.min("best").alias("best"))
+
+
+def _states(lookups: DataFrame, number: int) -> DataFrame:
+    kind = F.when(F.col("outcome") == "answer", 0).when(F.col("outcome") == TIMEOUT, 2).otherwise(1)
+    own = F.struct(kind.alias("kind"), F.lit(-number).cast("long").alias("newest"), (-F.coalesce("at", F.lit(0))).alias("last"), *(F.when(kind == 0, F.col(c)).alias(c) for c in ("channel", "channel_url")))
+    return lookups.filter("video_id is not null").select("video_id", own.alias("best"))
+
+
+def keep_cache(spark: SparkSession, source: str, target: str, checkpoint: str, compact_every: int = 16, per_batch: int = 1000):
+    """Lookups as they arrive, kept: each batch costs its own rows, and a killed one replaces itself when it runs again.
+
+    A batch is folded and written under its number (`target/batch=N`). Every so many batches all that stands is folded
+    into `target/upto=N`. A folder counts once it is finished; `kept_cache` reads the last `upto` and what came after.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        _folded(_states(batch, number)).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        if number % compact_every == compact_every - 1:
+            _folded(_kept(spark, target, number)).write.mode("overwrite").parquet(f"{target}/upto={number}")
+
+    return run_once(new_files(spark, source, LOOKUP, per_batch=per_batch), checkpoint, each)
+
+
+def _kept(spark: SparkSession, target: str, before: int | None = None) -> DataFrame:
+    """The states that stand; before: as if no `upto` of this number or above were there."""
+    whole = {k: v for k, v in _folders(spark, target, "upto").items() if before is None or k < before}
+    base = max(whole, default=-1)
+    rest = [v for k, v in sorted(_folders(spark, target, "batch").items()) if k > base and (before is None or k <= before)]
+    return _read(spark, ([whole[base]] if whole else []) + rest, _STATE)
+
+
+def kept_cache(spark: SparkSession, target: str) -> DataFrame:
+    """video_id, channel, channel_url, status of every video that was asked for."""
+    kind = F.col("best.kind")
+    status = F.when(kind == 2, TIMEOUT).when(F.col("best.channel").isNotNull(), NAMED).otherwise(MISS)
+    return _folded(_kept(spark, target)).select("video_id", "best.channel", "best.channel_url", status.alias("status"))
