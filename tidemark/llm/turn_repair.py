@@ -365,10 +365,11 @@ def _hashed(schema):
 
 
 def repaired(turns: DataFrame) -> DataFrame:
-    """conv_id, counts of faults, cost, audit and repaired_sha256 of every conversation of (conv_id, turn, role, text, and gone: whether a row is only named)."""
+    """conv_id, counts of faults, cost, audit and repaired_sha256 of every conversation of (conv_id, turn, role, text, and perhaps gone: whether a row only names its conversation)."""
     spark = prepare(turns.sparkSession)
     conv, turn = (turns.schema[c].dataType.simpleString() for c in ("conv_id", "turn"))
-    keyed = turns.withColumn("key", F.unhex(F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256)))
+    plain = turns.select("conv_id", "turn", *(F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")), (F.coalesce("gone", F.lit(False)) if "gone" in turns.columns else F.lit(False)).alias("gone"))
+    keyed = plain.withColumn("key", F.unhex(F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256)))
     order = ("conv_id", "turn", "role", "key", "gone")
     dealt = keyed.select("conv_id", "turn", "role", F.when(F.col("gone"), "").otherwise(F.col("text")).alias("text"), "gone", "key").repartitionByRange(*order).sortWithinPartitions(*order)
     rows = f"conv_id {conv}, piece long, at long, turn {turn}, role string, text string, key binary"
