@@ -199,6 +199,7 @@ def test_thousands_of_patterns_find_what_trying_all_finds(spark):
     for r in hits.collect():
         got.setdefault(r.title, set()).add(r.domain)
     assert got == {t: set(d) for t, d in want.items() if d}
+    assert sorted(map(str, cluster.labelled_by_table(rows, lists.domain_table(spark, taxonomy)).collect())) == sorted(map(str, hits.collect()))
     table = lists.domain_table(spark, [("twice", "(?P<x>foo) (?P=x)")])
     assert [r.id for r in cluster.labelled_by_table(spark.createDataFrame([(1, "Foo foo"), (2, "foo")], "id int, title string"), table).collect()] == [1]
 
@@ -225,3 +226,64 @@ def test_values_that_were_lost_or_stopped_the_query(spark, tmp_path):
     for number in (100000, 20000):
         (path / f"part-{number}-x.json").write_text("".join(json.dumps({"video_id": f"{number}-{i}", "ingest_ord": 0}) + "\n" for i in range(2)))
     assert [r.video_id for r in lists.history(spark, str(path)).orderBy("history_ord").collect()] == ["20000-0", "20000-1", "100000-0", "100000-1"]
+
+
+def test_documents_in_parts_are_one_document_when_joined(spark, tmp_path):
+    def read(name):
+        sinks.joined(spark, f"file://{tmp_path}/{name}", f"file://{tmp_path}/{name}.json")
+        return json.loads((tmp_path / f"{name}.json").read_text())
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(5000).selectExpr("5000 - id as k", "if(id % 3 = 0, null, concat('\"], {', char(10), id)) as v")
+        sinks.json_document(rows, f"file://{tmp_path}/d", "k")
+        parts = [p for p in (tmp_path / "d").glob("part-*") if p.stat().st_size]
+        assert len(parts) > 2 and max(p.stat().st_size for p in parts) < sum(p.stat().st_size for p in parts) / 2
+        assert read("d") == [r.asDict() for r in rows.orderBy("k").collect()]
+        assert lists.document_rows(spark, f"file://{tmp_path}/d", "struct<k: long, v: string>").count() == 5000
+        sinks.json_document(rows.limit(0), f"file://{tmp_path}/e", "k")
+        assert read("e") == []
+        heads = spark.createDataFrame([(0, "none"), (1, "all"), (2, "one")], "ord int, domain string")
+        members = spark.range(3000).selectExpr("1 as ord", "id + 1 as place", "cast(id as string) as id").unionByName(spark.createDataFrame([(2, 1, "z")], "ord int, place long, id string"))
+        sinks.json_groups(heads, members, f"file://{tmp_path}/g", "ord", "place", "members")
+        assert read("g") == [{"ord": 0, "domain": "none", "members": []}, {"ord": 1, "domain": "all", "members": [{"id": str(i)} for i in range(3000)]}, {"ord": 2, "domain": "one", "members": [{"id": "z"}]}]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+EVENT = "video_id string, title string, channel string, channel_url string, watched_at string, source string, ingest_ord long"
+
+
+def test_a_ranking_over_runs_is_that_of_all_events(spark, tmp_path):
+    from tidemark.operators import history, rank
+    from tidemark.streaming import rankings
+
+    rng = random.Random(11)
+    rows = [(f"v{rng.randint(0, 40)}", f"t{rng.randint(0, 60)}", rng.choice(["A", "B", "", None]), rng.choice(["u1", "u2", "", None]), rng.choice([f"2024-01-{rng.randint(1, 28):02d}T00:00:00", None, "odd"]), "s", i) for i in range(900)]
+    lots = [spark.createDataFrame(rows[i::3], EVENT) for i in range(3)]
+    cache = spark.createDataFrame([(f"v{i}", rng.choice(["A", "C", None]), rng.choice(["u9", None])) for i in range(20)], S.CHANNEL_CACHE)
+    path = f"file://{tmp_path}/r"
+    for number in (0, 1, 1, 2):
+        rankings.add_run(spark, path, number, lots[number], titles=5)
+    (tmp_path / "r/titles/run=7").mkdir()  # a run that was killed
+    union = history.union_sources(*lots)
+    for known in (None, cache):
+        want = rank.creators(union, known, min_videos=1, titles=5, rank=True).drop("first_ord")
+        got = rankings.creators(spark, path, known, min_videos=1, titles=5, rank=True).drop("first_ord")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert rankings.history_stats(spark, path).first() == history.history_stats(union).first()
+
+
+def test_late_views_change_no_session_and_are_counted(spark, tmp_path):
+    from tidemark.streaming import sessions
+
+    schema = "viewer string, at timestamp, video_id string"
+    lots = [[("a", "2024-01-01 00:00:00", "1"), ("a", "2024-01-01 00:20:00", "2")], [("a", "2024-01-01 09:00:00", "3"), ("b", "2024-01-01 09:10:00", "4")], [("a", "2024-01-01 00:25:00", "late"), ("b", "2024-01-01 00:00:00", "late"), (None, "2024-01-01 20:00:00", "5")]]
+    late = []
+    for lot in lots:
+        spark.createDataFrame(lot, "viewer string, at string, video_id string").withColumn("at", F.col("at").cast("timestamp")).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = incremental.new_files(spark, str(tmp_path / "in"), schema)
+        late.append(sessions.run(sessions.sessions(stream), str(tmp_path / "out"), str(tmp_path / "mark")))
+    found = sorted((r.viewer, str(r.start)[11:16], str(r.end)[11:16], r.views, r.first_video, r.last_video) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert found == [("a", "00:00", "00:20", 2, "1", "2"), ("a", "09:00", "09:00", 1, "3", "3"), ("b", "09:10", "09:10", 1, "4", "4")]
+    assert late[:2] == [0, 0] and late[2] == 2

@@ -13,6 +13,8 @@ from ..functions.patterns import Matcher
 from ..session import importable
 from .ordering import with_ordinal
 
+#: Patterns that are tried one after the other as quickly as they are looked up in an index; the rows are the same.
+FEW = 128
 #: Domains of a taxonomy table at most: it is a list that people write, and goes to every task.
 MOST_DOMAINS = 100_000
 
@@ -58,7 +60,7 @@ def labelled_by_table(rows: DataFrame, domains: DataFrame) -> DataFrame:
         raise ValueError(f"a taxonomy has at most {MOST_DOMAINS} domains")
     for _, pattern in taxonomy:
         X.java_pattern(pattern)
-    return labelled_by_index(rows, taxonomy)
+    return (labelled if len(taxonomy) <= FEW else labelled_by_index)(rows, taxonomy)
 
 
 _MEMBER = ("domain", "place", "id", "title", "views", "words")

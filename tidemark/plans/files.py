@@ -18,10 +18,10 @@ from .. import file_sink, sinks
 from ..operators import cluster, documents, history, planning, rank, videos
 from ..operators.captions import cues
 from ..operators.ordering import with_ordinal
-from ..sources import browser, lists, takeout
+from ..sources import browser, lists, openers, takeout
 from ..sources import documents as files
 from ..staging import folder
-from ..streaming import incremental
+from ..streaming import incremental, rankings, sessions
 from . import captions, fixtures as T
 from .fixtures import EVENTS_SQL, LISTED_SQL
 from .labels import _VALUES, DOMAINS
@@ -41,13 +41,6 @@ def query(sql: str | None = None):
     return add
 
 
-def _put(spark, path, content: bytes):
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
-    out.write(content)
-    out.close()
-
-
 def _file(key):
     return F.expr(f"{key} div {SPAN}").alias("k")
 
@@ -208,8 +201,7 @@ def rank_from_file(spark, d):
     sinks.json_lines(history.sorted_history(T.watch_events(spark, d)), f"{path}/lines")
     made = rank.creators(lists.history(spark, f"{path}/lines")).select("channel", "channel_url", "videos", "events")
     sinks.json_document(made, f"{path}/creators", "channel")
-    whole = spark.read.text(f"{path}/creators", wholetext=True)
-    return whole.select(F.explode(F.from_json("value", "array<struct<channel: string, channel_url: string, videos: long, events: long>>")).alias("r")).select("r.*")
+    return lists.document_rows(spark, f"{path}/creators", "struct<channel: string, channel_url: string, videos: long, events: long>")
 
 
 @query("SELECT p_partkey::VARCHAR AS video_id, CASE WHEN p_size % 3 <> 0 THEN p_brand END AS channel, CASE WHEN p_size % 3 <> 0 THEN 'https://example.com/' || p_brand END AS channel_url FROM part")
@@ -343,12 +335,15 @@ def taxonomy_file(spark, d):
     import json
 
     path = folder(spark, "taxonomy")
-    _put(spark, f"{path}/domains.json", json.dumps(dict(DOMAINS)).encode())
+    openers.put(spark, f"{path}/domains.json", json.dumps(dict(DOMAINS)).encode())
     found = lists.domains(spark, f"{path}/domains.json")
     p = T.parts(spark, d)
     hits = cluster.labelled(cluster.with_titles(p.select("id", "words"), p), found)
-    sinks.json_document(cluster.nested(hits, lists.domain_table(spark, found)), f"{path}/clusters", "ord")
-    read = spark.read.text(f"{path}/clusters", wholetext=True)
+    table = lists.domain_table(spark, found).select("ord", "domain")
+    placed = cluster.members(hits).join(F.broadcast(table), "domain").select("ord", "place", "id", "title", "views", "words")
+    sinks.json_groups(table, placed, f"{path}/clusters", "ord", "place", "members")
+    sinks.joined(spark, f"{path}/clusters", f"{path}/clusters.json")
+    read = spark.read.text(f"{path}/clusters.json", wholetext=True)
     rows = read.select(F.explode(F.from_json("value", "array<struct<ord: int, domain: string, members: array<struct<id: string>>>>")).alias("r"))
     return rows.select("r.ord", "r.domain", F.size("r.members").cast("long").alias("videos"))
 
@@ -464,3 +459,57 @@ def todo_from_files(spark, d):
     done = planning.done_ids(docs.filter("ingest_ord % 4 = 1").select(F.concat("id", F.lit(".txt")).alias("file")), docs.limit(0).select(F.col("id").alias("file"), F.lit(0).alias("size")), lists.lines(spark, f"{path}/missed"))
     left = planning.todo(lists.videos(lists.lines(spark, f"{path}/videos")), done)
     return with_ordinal(left.select("id"), [F.col("id").cast("long")], "place")
+
+
+@query(
+    f"""WITH e AS (SELECT *, ingest_ord % 3 AS run FROM {EVENTS_SQL}), o AS (SELECT *, row_number() OVER (ORDER BY watched_at, video_id, run, ingest_ord) AS ord FROM e),
+k AS (SELECT o.*, coalesce(o.channel, CASE WHEN c.s % 3 <> 0 THEN c.b END) AS name, coalesce(o.channel_url, CASE WHEN c.s % 3 <> 0 THEN 'https://example.com/' || c.b END) AS url FROM o LEFT JOIN (SELECT p_partkey::VARCHAR AS id, p_size AS s, p_brand AS b FROM part) c ON c.id = o.video_id),
+t AS (SELECT name, title, min(ord) AS first, row_number() OVER (PARTITION BY name ORDER BY min(ord)) AS r FROM k GROUP BY name, title),
+l AS (SELECT name, string_agg(title, '|' ORDER BY r) AS titles FROM t WHERE r <= 25 GROUP BY name)
+SELECT name AS channel, arg_min(url, ord) FILTER (WHERE url IS NOT NULL) AS channel_url, count(DISTINCT video_id) AS videos, count(*) AS events, date_diff('day', min(watched_at[:10])::DATE, max(watched_at[:10])::DATE) AS span_days, any_value(l.titles) AS titles,
+  row_number() OVER (ORDER BY count(DISTINCT video_id) DESC, count(*) DESC, min(ord)) - 1 AS rank
+FROM k JOIN l USING (name) WHERE name IS NOT NULL GROUP BY name HAVING count(DISTINCT video_id) >= 3"""
+)
+def ranking_over_runs(spark, d):
+    """A ranking kept up over three exports, one of them added twice (A1 to A5); videos that had no channel are resolved from the cache at the end."""
+    path = folder(spark, "rankings")
+    rows = T.watch_events(spark, d)
+    for number in (0, 2, 1, 2):
+        rankings.add_run(spark, path, number, rows.filter(F.col("ingest_ord") % 3 == number))
+    p = T.table(spark, d, "part")
+    known = F.col("p_size") % 3 != 0
+    cache = p.select(F.col("p_partkey").cast("string").alias("video_id"), F.when(known, F.col("p_brand")).alias("channel"), F.when(known, F.concat(F.lit("https://example.com/"), "p_brand")).alias("channel_url"))
+    made = rankings.creators(spark, path, cache, rank=True)
+    return made.select("channel", "channel_url", "videos", "events", "span_days", F.array_join("sample_titles", "|").alias("titles"), "rank")
+
+
+@query(f"SELECT count(*) AS events, count(DISTINCT video_id) AS unique_videos, count(DISTINCT video_id) FILTER (WHERE channel IS NOT NULL) AS with_channel FROM {EVENTS_SQL}")
+def stats_over_runs(spark, d):
+    """Statistics of a history kept up over runs."""
+    path = folder(spark, "stats")
+    rows = T.watch_events(spark, d)
+    for number in range(2):
+        rankings.add_run(spark, path, number, rows.filter(F.col("ingest_ord") % 2 == number))
+    return rankings.history_stats(spark, path)
+
+
+@query(
+    """WITH e AS (SELECT user_id, ts, json_extract_string(props, '$.k') AS video_id FROM events),
+g AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 1 HOUR THEN 0 ELSE 1 END AS fresh FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS n FROM g),
+r AS (SELECT user_id AS viewer, min(ts) AS start, max(ts) AS last, count(*) AS views, arg_min(video_id, (ts, video_id)) AS first_video, arg_max(video_id, (ts, video_id)) AS last_video FROM s GROUP BY user_id, n)
+SELECT viewer, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, strftime(last, '%Y-%m-%d %H:%M:%S') AS "end", views, first_video, last_video FROM r WHERE last + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)"""
+)
+def viewing_sessions(spark, d):
+    """Sessions of viewers from a stream in three lots of time, the last of which sends rows of the first again: they are late and change nothing."""
+    path = folder(spark, "sessions")
+    e = T.table(spark, d, "events").select(F.col("user_id").alias("viewer"), F.col("ts").alias("at"), F.get_json_object("props", "$.k").alias("video_id"))
+    lo, hi = (x.timestamp() for x in e.agg(F.min(F.col("at").cast("timestamp")), F.max(F.col("at").cast("timestamp"))).first())
+    third = F.floor((F.unix_micros(F.col("at").cast("timestamp")) / 1e6 - lo) / max(hi - lo, 1e-6) * 3)
+    lots = [e.filter(third == 0), e.filter(third == 1), e.filter(third >= 2).unionByName(e.filter(third == 0))]
+    for lot in lots:
+        lot.write.mode("append").parquet(f"{path}/in")
+        stream = incremental.new_files(spark, f"{path}/in", e.schema, per_batch=1 << 20)
+        sessions.run(sessions.sessions(stream, gap="1 hour", late="2 hours"), f"{path}/out", f"{path}/mark")
+    made = spark.read.parquet(f"{path}/out")
+    return made.select("viewer", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), F.date_format("end", "yyyy-MM-dd HH:mm:ss").alias("end"), "views", "first_video", "last_video")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import file_sink
-from .sources import lists
+from .sources import lists, openers
 
 
 def json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -16,10 +16,57 @@ def json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def _parts(lines: DataFrame, path: str, order: list[str], first: str, rest, last: str) -> None:
+    """Lines (order, rest, value) as a document in parts: ranges of the order, a line for each row, what stands before it in front."""
+    ranges = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    value = F.concat(F.when(F.monotonically_increasing_id() == 0, F.lit(first)).otherwise(rest), "value")  # the first range has the first row
+    ranges.select(value.alias("value")).write.mode("overwrite").text(path)
+    empty = all(not size for _, size in openers.listed(lines.sparkSession, path))
+    openers.put(lines.sparkSession, f"{path}/part-end.txt", (f"[\n{']'}\n" if empty else f"{last}\n").encode())
+
+
 def json_document(df: DataFrame, path: str, order: str) -> None:
-    """One JSON array of a bounded result (a ranking, a taxonomy's members)."""
-    rows = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("__o"), F.struct(*df.columns).alias("row")))), lambda x: x["row"])
-    df.agg(F.to_json(rows, {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    """A JSON array in parts, a row a line, that make one document when they are joined in order; order must differ between rows."""
+    row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    _parts(df.select(F.col(order).alias("__o"), row.alias("value")), path, ["__o"], "[", F.lit(","), "]")
+
+
+def json_groups(heads: DataFrame, members: DataFrame, path: str, key: str, place: str, name: str) -> None:
+    """A JSON array of objects, each with an array of its members, in parts like `json_document`'s: a member a line, so a group of any size is split.
+
+    heads: a row for each object; members: key, place (from 1 in each group) and the member's fields.
+    """
+    head = F.regexp_replace(F.to_json(F.struct(*heads.columns), {"ignoreNullFields": "false"}), r"\}$", "")
+    opened = heads.select(F.col(key).alias("__k"), F.lit(0).cast("long").alias("__p"), F.concat(head, F.lit(f',"{name}":[')).alias("value"))
+    fields = [c for c in members.columns if c not in (key, place)]
+    own = members.select(F.col(key).alias("__k"), F.col(place).cast("long").alias("__p"), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+    before = F.when(F.col("__p") == 0, "]},").when(F.col("__p") == 1, "").otherwise(",")
+    _parts(opened.unionByName(own), path, ["__k", "__p"], "[", before, "]}]")
+
+
+def joined(spark, path: str, to: str) -> None:
+    """A document's parts as one file, in order: by the file system where it can join files, else streamed into it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    end = "part-end.txt"
+    parts = sorted((p for p, size in openers.listed(spark, path) if size), key=lambda p: (p.endswith(end), int(p.rsplit("/part-", 1)[1].split("-")[0]) if not p.endswith(end) else 0))
+    at = jvm.org.apache.hadoop.fs.Path(to)
+    fs = _file_system(spark, at)
+    paths = [jvm.org.apache.hadoop.fs.Path(p) for p in parts]
+    try:
+        fs.create(at).close()
+        array = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(paths))
+        for i, p in enumerate(paths):
+            array[i] = p
+        fs.concat(at, array)
+    except Exception as e:
+        if "supported" not in str(e).lower():  # as local files and object stores say
+            raise
+        out = fs.create(at, True)
+        for p in paths:
+            source = fs.open(p)
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+            source.close()
+        out.close()
 
 
 def json_object(row: DataFrame, path: str) -> None:

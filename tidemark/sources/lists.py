@@ -56,6 +56,12 @@ def raw_videos(lines: DataFrame) -> DataFrame:
     return kept.withColumns({"duration": F.col("duration").try_cast("double"), "view_count": views})
 
 
+def document_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a JSON array that `sinks.json_document` wrote in parts, in as many tasks as there are parts or more."""
+    value = spark.read.text(path).filter("value not in ('[', ']')").select(F.substr("value", F.lit(2)).alias("value"))
+    return value.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumn("ingest_ord", F.monotonically_increasing_id())
 

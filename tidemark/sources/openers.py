@@ -18,6 +18,14 @@ def listed(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted((x.getPath().toUri().toString(), x.getLen()) for x in there if x.isFile() and x.getPath().getName()[0] not in "._")
 
 
+def put(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a small file from the driver."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
+    out.write(content)
+    out.close()
+
+
 def opened(uri: str):
     """A file that can be read and sought, in a task. Local files, and what Arrow's file systems reach (HDFS, S3, GCS)."""
     parts = urlsplit(uri)

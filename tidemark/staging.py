@@ -41,13 +41,14 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{top}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: its lineage ends there, and lost executors recompute only from it.
 
+    by: a column of few values, by which a reader takes only its own files.
     The application's tables go when the Python process ends, or before that by `freed`.
     """
     path = folder(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out

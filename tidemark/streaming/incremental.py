@@ -31,7 +31,7 @@ def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
     return query
 
 
-def _folders(spark: SparkSession, path: str, name: str) -> dict[int, str]:
+def finished(spark: SparkSession, path: str, name: str) -> dict[int, str]:
     """Folders name=N of a path whose writing was finished, by N."""
     jvm = spark.sparkContext._jvm
     top = jvm.org.apache.hadoop.fs.Path(path)
@@ -43,7 +43,7 @@ def _folders(spark: SparkSession, path: str, name: str) -> dict[int, str]:
     return {k: v for k, v in found.items() if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{v}/_SUCCESS"))}
 
 
-def _read(spark: SparkSession, folders: list[str], schema: str) -> DataFrame:
+def read_folders(spark: SparkSession, folders: list[str], schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
@@ -67,7 +67,7 @@ def convert_captions(spark: SparkSession, source: str, target: str, checkpoint:
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        earlier = _read(spark, [v for k, v in _folders(spark, f"{target}/tried", "batch").items() if k < number], _TRIED)
+        earlier = read_folders(spark, [v for k, v in finished(spark, f"{target}/tried", "batch").items() if k < number], _TRIED)
         known = earlier.groupBy("id").agg(F.min(F.struct("rank", "file")).alias("least"), F.max(F.col("status") == "written").alias("has"))
         new = captions.best_track(batch).join(known, "id", "left")
         better = F.struct("rank", "file") < F.col("least")
@@ -83,9 +83,9 @@ def convert_captions(spark: SparkSession, source: str, target: str, checkpoint:
 
 def converted(spark: SparkSession, target: str) -> DataFrame:
     """id, body, words, batch: the transcript of every video that has one. Batches that were not finished don't count."""
-    tried = _folders(spark, f"{target}/tried", "batch")
-    made = {k: v for k, v in _folders(spark, f"{target}/made", "batch").items() if k in tried}
-    rows = _read(spark, list(made.values()), _MADE)
+    tried = finished(spark, f"{target}/tried", "batch")
+    made = {k: v for k, v in finished(spark, f"{target}/made", "batch").items() if k in tried}
+    rows = read_folders(spark, list(made.values()), _MADE)
     last = rows.groupBy("id").agg(F.max("batch").alias("batch"))  # of several, the one that replaced the others
     return rows.join(last, ["id", "batch"]).select("id", "body", "words", "batch")
 
@@ -142,10 +142,10 @@ def keep_cache(spark: SparkSession, source: str, target: str, checkpoint: str, c
 
 def _kept(spark: SparkSession, target: str, before: int | None = None) -> DataFrame:
     """The states that stand; before: as if no `upto` of this number or above were there."""
-    whole = {k: v for k, v in _folders(spark, target, "upto").items() if before is None or k < before}
+    whole = {k: v for k, v in finished(spark, target, "upto").items() if before is None or k < before}
     base = max(whole, default=-1)
-    rest = [v for k, v in sorted(_folders(spark, target, "batch").items()) if k > base and (before is None or k <= before)]
-    return _read(spark, ([whole[base]] if whole else []) + rest, _STATE)
+    rest = [v for k, v in sorted(finished(spark, target, "batch").items()) if k > base and (before is None or k <= before)]
+    return read_folders(spark, ([whole[base]] if whole else []) + rest, _STATE)
 
 
 def kept_cache(spark: SparkSession, target: str) -> DataFrame:
