@@ -56,6 +56,17 @@ def crc_of_id(doc_id) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, changed where df has columns of the same ones (upper and lower case are one to Spark)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, kept up to a bound; the same in every process."""
 

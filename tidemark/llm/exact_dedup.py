@@ -8,9 +8,9 @@ ordinary shuffle and a window.
 
 Of equal texts the row with the most code points in its original text stays, then the smallest doc_id (null
 ids last). A null text counts as empty, and empty texts form one group. Rows that repeat with the same id and
-text form a group like any other copies: exactly one of them stays. An empty table gives an empty result. Texts are
-read whole, whatever their length. Other columns are ignored by `exact_dedup` and carried along by `keep_first`,
-whatever their names (but for three that start with __tm_).
+text form a group like any other copies: exactly one of them stays; of rows of one id and length whose white space
+differs, the one whose text has the smallest hash. An empty table gives an empty result. Texts are read whole, whatever
+their length. Other columns are ignored by `exact_dedup` and carried along by `keep_first`, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import ASCII_SPACE, prepare, staged
+from .base import ASCII_SPACE, freed, prepare, staged, unused
 
 #: Candidates of the Misra-Gries summaries, and so rows of the broadcast.
 HEAVY = 1024
@@ -69,14 +69,14 @@ def exact_dedup(docs: DataFrame, k: int = HEAVY) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 and heavy (removed on the map side) for every row."""
     prepare(docs.sparkSession)
     rows = staged(
-        docs.select("doc_id", text_digest().alias("digest"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars")).withColumn("rid", F.monotonically_increasing_id()),
+        docs.select("doc_id", text_digest().alias("digest"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), F.xxhash64("text").alias("raw")).withColumn("rid", F.monotonically_increasing_id()),
         "digests",
     )
-    heavy = staged(heavy_winners(rows, k, ("rid",)), "heavy")
+    heavy = staged(heavy_winners(rows, k, ("raw", "rid")), "heavy")
     marked = rows.join(F.broadcast(heavy), "digest", "left")
     hot = marked.filter("winner is not null").select("doc_id", F.col("winner.doc_id").alias("keep_id"), "group_size", (F.col("winner.rid") == F.col("rid")).alias("kept"), "digest", F.lit(True).alias("heavy"))
     group = Window.partitionBy("digest")
-    first = F.min(_order("rid")).over(group)
+    first = F.min(_order("raw", "rid")).over(group)
     rest = marked.filter("winner is null").select("doc_id", "digest", "rid", first.alias("w"), F.count("*").over(group).alias("group_size"))
     rest = rest.select("doc_id", F.col("w.doc_id").alias("keep_id"), "group_size", (F.col("w.rid") == F.col("rid")).alias("kept"), "digest", F.lit(False).alias("heavy"))
     return hot.unionByName(rest).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"), "heavy")
@@ -88,10 +88,12 @@ def keep_first(docs: DataFrame, k: int = HEAVY) -> DataFrame:
     Losers of heavy groups go on the map side; what is left shuffles by digest once.
     """
     prepare(docs.sparkSession)
-    full = docs.withColumns({"__tm_digest": text_digest(), "__tm_chars": F.length(F.coalesce("text", F.lit(""))).cast("long")})
-    rows = staged(full.select(F.col("__tm_digest").alias("digest"), F.col("__tm_chars").alias("n_chars"), "doc_id"), "digests")
-    heavy = staged(heavy_winners(rows, k).select(F.col("digest").alias("__tm_digest"), F.col("winner").alias("__tm_winner")), "heavy")
-    mine = (F.col("__tm_winner.o") == -F.col("__tm_chars")) & F.col("__tm_winner.doc_id").eqNullSafe(F.col("doc_id"))
-    left = full.join(F.broadcast(heavy), "__tm_digest", "left").filter(F.col("__tm_winner").isNull() | mine)
-    order = Window.partitionBy("__tm_digest").orderBy(F.desc("__tm_chars"), F.col("doc_id").asc_nulls_last())
-    return left.withColumn("__tm_rank", F.row_number().over(order)).filter("__tm_rank = 1").drop("__tm_digest", "__tm_chars", "__tm_winner", "__tm_rank")
+    digest, chars, raw, winner, rank = unused(docs, "__tm_digest", "__tm_chars", "__tm_raw", "__tm_winner", "__tm_rank")
+    full = docs.withColumns({digest: text_digest(), chars: F.length(F.coalesce("text", F.lit(""))).cast("long"), raw: F.xxhash64("text")})
+    rows = staged(full.select(F.col(digest).alias("digest"), F.col(chars).alias("n_chars"), "doc_id", F.col(raw).alias("raw")), "digests")
+    heavy = staged(heavy_winners(rows, k, ("raw",)).select(F.col("digest").alias(digest), F.col("winner").alias(winner)), "heavy")
+    freed(rows)
+    mine = (F.col(f"{winner}.o") == -F.col(chars)) & F.col(f"{winner}.doc_id").eqNullSafe(F.col("doc_id")) & (F.col(f"{winner}.raw") == F.col(raw))
+    left = full.join(F.broadcast(heavy), digest, "left").filter(F.col(winner).isNull() | mine)
+    order = Window.partitionBy(digest).orderBy(F.desc(chars), F.col("doc_id").asc_nulls_last(), raw)
+    return left.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(digest, chars, raw, winner, rank)

@@ -15,8 +15,9 @@ words counted twice or more, which grows with their number up to `MOST_SLOTS`. W
 frequent has it; the others are spelled like words counted once, so the probabilities of a cell never add up to more
 than one. Slots hold counts rounded down (a factor of 2^(1/8) at most) beside an eight-bit check of the word.
 
-Training reads every text and predicts every word of it once. A text's hash gives its round (of `ROUNDS`) and its shard
-of about `SHARD_WORDS` words. The shards of a round train side by side from the same weights, each in the order of its
+Training reads every text and predicts every word of it once. A hash of a row's id and text gives its round (of
+`ROUNDS`) and its shard of about `SHARD_WORDS` words, so copies of a text spread over all of them; each round's rows are
+written once and read once. The shards of a round train side by side from the same weights, each in the order of its
 hashes; the mean of their weights, by words, starts the next round. Shards follow from the corpus alone, and means are
 added up in whole numbers, so scores don't depend on partitions or the order of rows. A lost task costs its own shard.
 
@@ -480,9 +481,11 @@ def fit(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS, sha
         return None
     model, shards = Model(lex), -(-words // (rounds * shard_words))
     sent = docs.sparkSession.sparkContext.broadcast(lex)
-    texts = docs.select("text", F.xxhash64("text").alias("h")).filter("text is not null")
+    texts = docs.select("text", F.xxhash64("doc_id", "text").alias("h")).filter("text is not null")
+    rows = staged(texts.withColumn("round", F.pmod("h", F.lit(rounds))), "rounds", "round")
     for k in range(rounds):
-        _round(texts.filter(F.pmod("h", F.lit(rounds)) == k), sent, model, shards)
+        _round(rows.filter(F.col("round") == k).select("text", "h"), sent, model, shards)
+    freed(rows)
     sent.unpersist()
     return lex, model
 

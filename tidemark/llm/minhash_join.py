@@ -34,7 +34,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import WordHashes, freed, prepare, remembered, shingles, staged, working
+from .base import WordHashes, freed, prepare, remembered, shingles, staged, unused, working
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.995
 #: Pairs of similarity LOW shall meet with this probability at most.
@@ -362,5 +362,6 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
     members, classes = near_groups(docs, similarity, recall)
     told = members.join(classes, "cls").select("doc_id", "class_id")
     gone = told.filter("doc_id <> class_id").select("doc_id").distinct().join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_anti")
-    gone = staged(gone.select(F.col("doc_id").alias("__tm_gone")), "gone")
-    return docs.join(_side(gone), F.col("doc_id").cast("long") == F.col("__tm_gone"), "left_anti")
+    (name,) = unused(docs, "__tm_gone")
+    gone = staged(gone.select(F.col("doc_id").alias(name)), "gone")
+    return docs.join(_side(gone), F.col("doc_id").cast("long") == F.col(name), "left_anti")

@@ -4,8 +4,9 @@ Weights become whole numbers k out of Q = `FRAME`, so finely that no stream come
 of a source is released at slot floor(j*Q/k) and due before slot ceil((j+1)*Q/k); in every slot the released block
 with the earliest deadline runs. For unit blocks whose weights add up to one this meets every deadline, so at any
 point of the stream each source is less than one block away from its target weight. The driver works out which
-source has each slot of the stream (a number for each `BLOCK` rows), and the place of every document follows from
-its place within its source.
+source has each slot of the stream, and the place of every document follows from its place within its source. Blocks
+have `BLOCK` rows, or twice as many, and so on, until the stream has at most `MOST_SLOTS` slots: so what the driver works
+out, and what is broadcast of it, has a bound that does not depend on the rows.
 
 A source's documents are ordered by a hash of the id (SHA-256, its first 60 bits). To find the order without gathering a
 source in one task, the hashes of each source are cut into ranges in proportion to its rows: counts of ranges give each
@@ -13,7 +14,7 @@ range's first place, and rows are numbered within ranges. A source that runs out
 that lasts longest for its weight has been used up: every document comes at least once, and weights hold
 throughout. By default weights are proportional to rows to the power `ALPHA`, which lifts small sources.
 
-Weights given must be above zero. A null source is a source of its own. Sources beyond the `MAX_SOURCES` largest
+Weights given must be above zero, and every source must have one; else the query stops. A null source is a source of its own. Sources beyond the `MAX_SOURCES` largest
 share queues of about `QUEUE_SOURCES`, which weigh what their sources do and are worked out in tasks: the slots of a
 queue are given to its sources in the same way by their own weights, so each is less than two blocks away from its own. Repeated rows
 are scheduled as often as they come; ties of the order are between equal ids, and go by a hash of what is carried. Null ids and texts are scheduled
@@ -36,6 +37,8 @@ from pyspark.sql import functions as F
 from .base import prepare, staged
 
 ALPHA = 0.7
+#: Slots of a stream at most, where sources have rows enough for larger blocks.
+MOST_SLOTS = 1 << 21
 #: Documents of a block, and slots of a frame.
 BLOCK, FRAME = 16, 1 << 48
 MAX_SOURCES, QUEUE_SOURCES = 50_000, 4096
@@ -161,7 +164,15 @@ def _parts(spark, order, had) -> DataFrame:
     return spark.createDataFrame(pa.table({"__source": pa.array(source), "__part": pa.array(part.astype(np.int64)), "__slots": slots}), "__source int, __part long, __slots array<int>")
 
 
-def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int = BLOCK, carry: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
+def block_rows(n: list[int], w: list[float], most: int = MOST_SLOTS) -> int:
+    """Rows of a block: BLOCK, doubled until a stream of sources with n rows and weights w has few enough slots, or no source has two blocks."""
+    block, total = BLOCK, math.fsum(w)
+    while block < max(n, default=0) and max(-(-x // block) * total / y for x, y in zip(n, w)) > most:
+        block *= 2
+    return block
+
+
+def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int | None = None, carry: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
     """A row for each time that a document (doc_id, source, perhaps others) comes: the carried columns, then __source, __epoch, __block, __slot, __release, __deadline, __position."""
     import numpy as np
 
@@ -169,11 +180,16 @@ def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA,
     sizes = docs.groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
     names = [r.source for r in sizes[:MAX_SOURCES]]
     n = [r.n for r in sizes[:MAX_SOURCES]]
-    least = min(weights.values()) if weights else 0
 
     def weight(s, x):
-        return weights.get(s, least) if weights else x**alpha
-
+        if weights is None:
+            return x**alpha
+        if s not in weights:
+            raise ValueError(f"source {s!r} has no weight")
+        return weights[s]
+
+    if block is None:
+        block = block_rows(n, [weight(s, x) for s, x in zip(names, n)])
     w, blocks = [weight(s, x) for s, x in zip(names, n)], [-(-x // block) for x in n]
     tail, queues = None, []
     if len(sizes) > MAX_SOURCES:
@@ -223,13 +239,13 @@ def schedule(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA,
     return rows.select(*keep, "__source", "__epoch", "__block", "__slot", release.alias("__release"), deadline.alias("__deadline"), (F.col("__slot").cast("long") * block + F.col("__inside")).alias("__position"))
 
 
-def mix(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int = BLOCK) -> DataFrame:
+def mix(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int | None = None) -> DataFrame:
     """doc_id, source, epoch, block, slot, release, deadline, position: the mixed stream; positions have no gaps."""
     out = schedule(docs.select("doc_id", "source"), weights, alpha, block)
     return out.select("doc_id", "source", *(F.col(f"__{c}").cast("long").alias(c) for c in ("epoch", "block", "slot", "release", "deadline", "position")))
 
 
-def mixed(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int = BLOCK) -> DataFrame:
+def mixed(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int | None = None) -> DataFrame:
     """The documents in the order of the mixed stream, with all their columns; stretches of CHUNK_SLOTS slots stay together."""
     quoted = [f"`{c.replace('`', '``')}`" for c in docs.columns]
     whole = docs.select(F.col("doc_id"), F.col("source"), F.struct(*quoted).alias("__document"))
