@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from tidemark.llm import exact_dedup, langid, minhash_join, mixing, packing
-from tidemark.llm.base import staged, table
+from tidemark.llm.base import freed, staged, table
 from tidemark.llm.queries import PACK_VOCABULARY
 
 
@@ -56,7 +56,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        freed(*before)  # only what the next stage reads stays
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
