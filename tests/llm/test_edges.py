@@ -30,7 +30,7 @@ ROWS = [
     (9, "MIT License", "en", "c"),
 ]
 #: Names that the operators use inside, in a table that has them already.
-CLASH = "digest winner rid n heavy shard h i x cls root key bands a b v w slot block tier start found made words kept score lang_pred held_out known share __slot __part __queue __document __meta __tm_x text_sha256 class_id source_id n_words dotted.name".split()
+CLASH = "digest winner rid n heavy shard h i x cls root key bands a b v w slot block tier start found made words kept score lang_pred held_out known share __slot __part __queue __document __meta __tm_digest __tm_chars __tm_raw __tm_winner __TM_RANK __tm_gone text_sha256 class_id source_id n_words dotted.name".split()
 OPERATORS = {
     "exact_dedup": (exact_dedup.exact_dedup, 12),
     "host_rules": (host_rules.host_rules, 12),
@@ -224,3 +224,29 @@ def test_schedule_of_queries_matches_a_plain_one(frame):
         assert len(set(ids[: n[s]])) == n[s] and all(x == ids[i % n[s]] for i, x in enumerate(ids)), "epochs repeat the order"
 
 
+
+
+def test_blocks_grow_so_that_slots_have_a_bound(spark, frame, monkeypatch):
+    assert mixing.block_rows([1000, 10], [3.0, 1.0]) == mixing.BLOCK
+    for n in ([10**10, 10**6], [10**10, 10**6, 3], [3] * 1000 + [10**9]):
+        w = [x**mixing.ALPHA for x in n]
+        slots = lambda b: max(-(-x // b) * sum(w) / y for x, y in zip(n, w))
+        block = mixing.block_rows(n, w)
+        assert slots(block) <= max(mixing.MOST_SLOTS, 4 * sum(w) / min(w)) and block * slots(block) <= mixing.LONGER * mixing.BLOCK * slots(mixing.BLOCK)
+    monkeypatch.setattr(mixing, "MOST_SLOTS", 16)
+    monkeypatch.setattr(mixing.block_rows, "__defaults__", (16,))
+    rows = [(i, f"t{i}", "en", "a" if i < 700 else "b") for i in range(1000)]
+    out = mixing.mix(frame(rows)).collect()
+    block = mixing.block_rows([700, 300], [700**mixing.ALPHA, 300**mixing.ALPHA], 16)
+    assert block > mixing.BLOCK and max(r.slot for r in out) < 1000 / mixing.BLOCK
+    assert {r.doc_id for r in out} == set(range(1000)) and sorted(r.position for r in out) == list(range(len(out)))
+    share = 700**mixing.ALPHA / (700**mixing.ALPHA + 300**mixing.ALPHA)
+    had = 0
+    for t, r in enumerate(sorted(out, key=lambda r: r.position), 1):
+        had += r.source == "a"
+        assert abs(had - share * t) < block
+
+
+def test_a_source_without_a_weight_stops_the_query(frame):
+    with pytest.raises(ValueError, match="has no weight"):
+        mixing.mix(frame([(1, "t", "en", "a"), (2, "t", "en", "b")]), {"a": 1})

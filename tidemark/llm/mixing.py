@@ -5,8 +5,9 @@ of a source is released at slot floor(j*Q/k) and due before slot ceil((j+1)*Q/k)
 with the earliest deadline runs. For unit blocks whose weights add up to one this meets every deadline, so at any
 point of the stream each source is less than one block away from its target weight. The driver works out which
 source has each slot of the stream, and the place of every document follows from its place within its source. Blocks
-have `BLOCK` rows, or twice as many, and so on, until the stream has at most `MOST_SLOTS` slots: so what the driver works
-out, and what is broadcast of it, has a bound that does not depend on the rows.
+have `BLOCK` rows, or twice as many, and so on, until the stream has at most `MOST_SLOTS` slots or larger blocks of small
+sources would make it longer. So what the driver works out, and what is broadcast of it, is bounded by `MOST_SLOTS` or
+by about the inverse of the least source's share of the weights, and does not grow with the rows beyond that.
 
 A source's documents are ordered by a hash of the id (SHA-256, its first 60 bits). To find the order without gathering a
 source in one task, the hashes of each source are cut into ranges in proportion to its rows: counts of ranges give each
@@ -39,6 +40,8 @@ from .base import prepare, staged
 ALPHA = 0.7
 #: Slots of a stream at most, where sources have rows enough for larger blocks.
 MOST_SLOTS = 1 << 21
+#: Times its length that a stream may have with larger blocks.
+LONGER = 1.05
 #: Documents of a block, and slots of a frame.
 BLOCK, FRAME = 16, 1 << 48
 MAX_SOURCES, QUEUE_SOURCES = 50_000, 4096
@@ -165,9 +168,13 @@ def _parts(spark, order, had) -> DataFrame:
 
 
 def block_rows(n: list[int], w: list[float], most: int = MOST_SLOTS) -> int:
-    """Rows of a block: BLOCK, doubled until a stream of sources with n rows and weights w has few enough slots, or no source has two blocks."""
+    """Rows of a block: BLOCK, doubled until a stream of sources with n rows and weights w has few enough slots, or small sources would make it longer."""
     block, total = BLOCK, math.fsum(w)
-    while block < max(n, default=0) and max(-(-x // block) * total / y for x, y in zip(n, w)) > most:
+
+    def slots(block: int) -> float:
+        return max((-(-x // block) * total / y for x, y in zip(n, w)), default=0)
+
+    while slots(block) > most and 2 * block * slots(2 * block) <= LONGER * BLOCK * slots(BLOCK):
         block *= 2
     return block
 
