@@ -94,12 +94,12 @@ def test_phrases_against_a_model(text):
 @pytest.mark.parametrize(
     ("text", "labels"),
     [
-        ("Licensed under the Apache License, Version 2.0.", {"apache", "apache-2.0"}),
+        ("Licensed under the Apache License, Version 2.0.", {"apache", "apache-short-notice"}),
         ("Licensed under the Apache License, Version 2.1.", {"apache"}),
         ("Released under the terms of the MIT License.", {"mit", "mit-notice"}),
         ("Released mostly under the MIT License.", {"mit"}),
         ("licensed under the GNU Affero General Public License version 3 or later", {"gpl", "gpl-notice"}),
-        ("Licensed under CC BY-NC 4.0.", {"cc-by-nc"}),
+        ("Licensed under CC BY-NC 4.0.", {"cc-by-nc-notice"}),
         ("Copyright (c) 2020 Ann Other Ltd. All rights reserved.", {"rights-reserved"}),
         ("Copyright (c) 2020 a b c d e f g h i j k All rights reserved.", set()),
         (None, set()),

@@ -187,3 +187,16 @@ def test_warc_files_parse_by_their_lengths(spark, tmp_path):
             found.append(fields[b"WARC-Record-ID"])
             data = rest[n + 4 :]
     assert len(found) == len(set(found)) == len(PAGES)
+
+
+def test_altered_licences_are_refused():
+    from tidemark.llm import license_scan
+
+    def labels(text):
+        return {x[2] for x in license_scan.scan(text)[1]}
+
+    assert "unlicense-text" in labels(license_scan.TEMPLATES["unlicense-text"].split(" [[")[0])
+    assert not labels("This is free and unencumbered software released into the public domain. All rights are kept by the owner.")
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"
+    assert not labels(f"{mpl}, with every right withdrawn.")
+    assert labels(f"{mpl}. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.") == {"mpl-notice"}

@@ -4,7 +4,8 @@ A template is licence wording with markup: `[[ ... ]]` is optional, `{name:a-b}`
 kind (a holder, a year), `{a|b}` for one of some wordings. Each is compiled into an automaton over words. A text
 is accepted where the mandatory words stand one after the other exactly, with optional regions present or not and
 replaceable ones of allowed size; a changed, missing or extra mandatory word means no match. A match adds the
-template's label, so a notice counts under the method only when its wording is whole. The words that can start a
+template's label, so a notice counts under the method only when its wording is whole. Labels that end in `text` stand
+for a licence's whole wording, those in `notice` for words that name a licence. The words that can start a
 template are known, so an automaton runs only where one of them stands.
 
 Words are runs of ASCII digits, letters in lower case and characters beyond ASCII. A null text counts as empty:
@@ -60,19 +61,29 @@ TEMPLATES = {
         "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied "
         "see the license for the specific language governing permissions and limitations under the license"
     ),
-    "apache-2.0": "licensed under the apache license version 2 0 [[the license]]",
+    "apache-short-notice": "licensed under the apache license version 2 0 [[the license]]",
     "mit-notice": "{released|licensed|distributed} under the [[terms of the]] mit license",
     "gpl-notice": "licensed under the [[terms of the]] gnu [[{lesser|affero}]] general public license version {2|3} [[{or later|only}]]",
-    "gpl-text": (
+    "gpl-notice-text": (
         "is free software you can redistribute it and or modify it under the terms of the gnu [[{lesser|affero}]] general public license as published by the free software foundation "
-        "either version {2|3} of the license or at your option any later version"
+        "either version {2|3} of the license or at your option any later version {this program is|this library is|this software is|it is} distributed in the hope that it will be useful "
+        "but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu [[{lesser|affero}]] general public license for more details"
     ),
-    "cc-by": "licensed under [[a]] {cc by|creative commons attribution} {4 0|3 0}",
-    "cc-by-nc": "licensed under [[a]] {cc by nc|creative commons attribution noncommercial} {4 0|3 0}",
-    "cc-by-sa": "licensed under [[a]] {cc by sa|creative commons attribution sharealike} {4 0|3 0}",
+    "cc-by-notice": "licensed under [[a]] {cc by|creative commons attribution} {4 0|3 0}",
+    "cc-by-nc-notice": "licensed under [[a]] {cc by nc|creative commons attribution noncommercial} {4 0|3 0}",
+    "cc-by-sa-notice": "licensed under [[a]] {cc by sa|creative commons attribution sharealike} {4 0|3 0}",
     "rights-reserved": "copyright [[c]] {year:1-3} {holder:1-6} all rights reserved",
-    "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
-    "unlicense": "this is free and unencumbered software released into the public domain",
+    "mpl-notice": "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at {http|https} mozilla org mpl 2 0",
+    "unlicense-text": (
+        "this is free and unencumbered software released into the public domain "
+        "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means "
+        "in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest in the software to the public domain "
+        "we make this dedication for the benefit of the public at large and to the detriment of our heirs and successors "
+        "we intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+        "in no event shall the authors be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+        "arising from out of or in connection with the software or the use or other dealings in the software [[for more information please refer to {http|https} unlicense org]]"
+    ),
 }
 
 # Fixed value: bytes of a word (digits, letters, anything beyond ASCII); capitals fall to small letters, the rest to spaces.
