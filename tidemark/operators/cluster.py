@@ -113,7 +113,7 @@ def corpus_gate(transcripts: DataFrame, least: int = 15, one_topic: int = 40, on
 
 
 def nested(hits: DataFrame, domains: DataFrame) -> DataFrame:
-    """A row for each domain with its members in order, for the single-document sink."""
+    """A row for each domain with its members in order, for taxonomies of a page; `sinks.json_groups` writes any."""
     item = F.struct("place", F.struct("id", "title", "views", "words").alias("m"))
     grouped = members(hits).groupBy("domain").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["m"]).alias("members"))
     return domains.select("ord", "domain").join(grouped, "domain", "left").withColumn("members", F.coalesce("members", F.array().cast("array<struct<id:string,title:string,views:bigint,words:bigint>>")))
