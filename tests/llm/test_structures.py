@@ -200,3 +200,15 @@ def test_altered_licences_are_refused():
     mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"
     assert not labels(f"{mpl}, with every right withdrawn.")
     assert labels(f"{mpl}. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.") == {"mpl-notice"}
+
+
+def test_codes_are_decoded_to_their_entries(spark):
+    rng = np.random.default_rng(9)
+    t = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(rng.normal(size=(300, 8)).astype(np.float32))], "vec_id long, embedding array<float>, label int")
+    rows = vector_codes.kept(t)
+    books = vector_codes.trained(rows)
+    made = vector_codes.decoded(vector_codes.coded(t), books).join(rows.select("vec_id", "x"), "vec_id").collect()
+    assert len(made) == 300
+    for r in made:
+        whole = [int(np.floor(v * vector_codes.SCALE)) for v in r.vector]
+        assert sum((a - b) ** 2 for a, b in zip(r.x, whole)) == r.error

@@ -171,6 +171,6 @@ def coded(table: DataFrame, parts: int = PARTS, rounds: int = ROUNDS) -> DataFra
 
 def decoded(codes: DataFrame, books: list) -> DataFrame:
     """Codes back to vectors: each component the middle of its entry's whole number; books as `trained` gives them."""
-    d = books[0].shape[1]
-    flat = [F.array(*(F.array(*((F.lit(float(v)) + 0.5) / SCALE for v in row)) for row in c.tolist())) for c in books]
-    return codes.withColumn("vector", F.flatten(F.array(*(F.get(c, F.conv(F.substr("code", F.lit(2 * p + 1), F.lit(2)), 16, 10).cast("int")) for p, c in enumerate(flat))))) if d else codes
+    entries = [F.array(*(F.array(*(F.lit((v + 0.5) / SCALE) for v in row)) for row in c.tolist())) for c in books]
+    number = [F.conv(F.substr("code", F.lit(2 * p + 1), F.lit(2)), 16, 10).cast("int") for p in range(len(books))]
+    return codes.withColumn("vector", F.flatten(F.array(*map(F.get, entries, number))))
