@@ -6,7 +6,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-import xxhash
 from tables import DATA
 
 from tidemark.llm import lm_score as L
@@ -56,7 +55,7 @@ def spelling(word, end_taken, begin_taken):
 
 def brute_force(rows, fitted, vocabulary):
     """Scores from the definitions: counts by Counter, one word and one neighbour at a time."""
-    lex, m = fitted
+    lex, m, _ = fitted
     words = {d: (t or "").lower().encode().split() for d, t in rows}
     n = Counter(w for d, _ in rows for w in words[d])
     top = set(sorted(n, key=lambda w: (-n[w], w))[:vocabulary])
@@ -67,11 +66,6 @@ def brute_force(rows, fitted, vocabulary):
         if k == 1 and w not in top:
             others[end, begin] += 1
             letters.update(spelling(w, e, b))
-    slots = len(lex.slots)
-    held = {}
-    for w in sorted(set(n) - top, key=lambda w: (n[w], w)):  # the most frequent word of a slot has it
-        if n[w] > 1:
-            held[xxhash.xxh64_intdigest(w, 42) % slots] = w
     E, w1, b1, w2, b2 = (x.astype(np.float64) for x in m.weights)
     out = {}
     for d, _ in rows:
@@ -89,8 +83,8 @@ def brute_force(rows, fitted, vocabulary):
             cell = cells[end, begin] + 1
             if w in top:
                 total += math.log(n[w] / cell)
-            elif held.get(xxhash.xxh64_intdigest(w, 42) % slots) == w:
-                total += math.log(2 ** (math.floor(8 * math.log2(n[w]) + 1e-9) / 8) / cell)
+            elif n[w] > 1:
+                total += math.log(n[w] / cell)
             else:
                 total += math.log((others[end, begin] + 1) / cell)
                 for state, symbol in spelling(w, e, b):
@@ -114,7 +108,7 @@ def test_scores_against_a_model(frame, vocabulary):
 
 def test_probabilities_of_a_place_add_up(frame):
     docs = frame(odd_corpus())
-    lex, m = L.fit(docs, 12, rounds=2)
+    lex, m, gains = L.fit(docs, 12, rounds=2)
     rng = np.random.default_rng(2)
     near = np.stack([rng.integers(0, L.UNITS, 4), rng.integers(L.UNITS + 1, 2 * L.UNITS + 1, 4)], 1).reshape(1, 8)
     grid = [(a, b) for a in range(L.UNITS) for b in range(L.UNITS)]
@@ -126,13 +120,15 @@ def test_probabilities_of_a_place_add_up(frame):
         known[lex.ending[i], lex.beginning[i]] += math.exp(lex.log_word[i])
     counted = [w for w, k in Counter(w for _, t in odd_corpus() for w in L.words_of(t)).items() if k > 1 and w not in lex.ids]
     ra, rb, tails = lex.encode(counted, True)
-    for x, y, t in zip(ra, rb, tails):
-        known[x, y] += math.exp(t)
-    assert (known + np.exp(lex.log_other) <= 1 + 1e-9).all(), "a cell's words and the rest of it are at most the cell"
+    gain = {bytes(r.w): r.gain / L.GAIN_PARTS for r in gains.collect()}
+    assert set(gain) == set(counted)
+    for w, x, y, t in zip(counted, ra, rb, tails):
+        known[x, y] += math.exp(t + gain[w])
+    assert (known + np.exp(lex.log_other) <= 1 + 1e-6).all(), "a cell's words and the rest of it are at most the cell"
 
 
 def test_step_follows_the_gradient(frame):
-    lex, _ = L.lexicon(frame(corpus(5)))
+    lex, *_ = L.lexicon(frame(corpus(5)))
     m = L.Model(lex)
     rng = np.random.default_rng(3)
     m.weights = [(w + rng.normal(0, 0.2, w.shape)).astype(np.float64) for w in m.weights]
@@ -165,7 +161,7 @@ def test_model_learns_from_both_sides(frame):
     good = [r.mean_log_likelihood for r in L.scored(frame(corpus(20, seed=8)), fitted).collect()]
     bad = [r.mean_log_likelihood for r in L.scored(frame(shuffled), fitted).collect()]
     assert np.mean(good) > np.mean(bad) + 0.3
-    lex, m = fitted
+    lex, m, _ = fitted
     a, b, _ = lex.encode(rows[0][1].encode().split())
     near = m.windows(m.padded(a, b), 0, 10)
     assert near.shape == (10, 8) and near[5].tolist() == [x for j in (3, 4, 6, 7) for x in (a[j], L.UNITS + 1 + b[j])], "the word itself is masked"
@@ -180,12 +176,12 @@ def test_held_out_gain_over_the_unigram_model(spark):
     def mean(f):
         return L.scored(held, f).selectExpr("sum(log_likelihood) / sum(n_words)").first()[0]
 
-    assert mean(fitted) > mean((fitted[0], untrained)) + 0.5
+    assert mean(fitted) > mean((fitted[0], untrained, fitted[2])) + 0.5
 
 
 def test_every_word_is_predicted_once_in_training(frame, monkeypatch):
     texts = [[f"t{i}w{k}" for k in range(n)] for i, n in enumerate([1, 2, 7, 8, 9, 64, 64, 3000, 20_000])]
-    lex, words = L.lexicon(frame([(i, " ".join(t)) for i, t in enumerate(texts)]))
+    lex, words, _ = L.lexicon(frame([(i, " ".join(t)) for i, t in enumerate(texts)]))
     assert words == sum(map(len, texts))
     seen: Counter = Counter()
     monkeypatch.setattr(L.Model, "step", lambda self, near, a, b, rate: seen.update(zip(a.tolist(), b.tolist())))
@@ -211,11 +207,28 @@ def test_scores_do_not_depend_on_partitions(frame):
     assert runs[0] == runs[1] == runs[2]
 
 
-def test_what_is_kept_grows_with_the_corpus(frame):
-    def slots(n):
-        return len(L.lexicon(frame([(i, f"w{i} w{i}") for i in range(n)]), 4)[0].slots)
-
-    assert slots(4000) >= 8 * slots(400)
+def test_every_counted_word_scores_its_count(frame):
+    """However many there are beyond the vocabulary; the table of gains grows with the corpus."""
+    rows = [(i, f"w{i} " * (2 + i % 3) + f"once{i}") for i in range(4000)]
+    docs = frame(rows)
+    fitted = L.fit(docs, 4, rounds=1)
+    assert fitted[2].count() == 3996
+    lex, m, _ = fitted
+    got = {r.doc_id: r.log_likelihood for r in L.scored(docs, fitted).collect()}
+    for i, t in rows[::97]:
+        words = t.encode().split()
+        a, b, tail = lex.encode(words, True)
+        n = np.array([1 if w.startswith(b"once") else 2 + i % 3 for w in words])
+        exact = np.where(n > 1, np.log(n) - lex.log_cell[a, b], tail)
+        assert got[i] == pytest.approx(m.score(a, b, exact), abs=1e-3)
+
+
+def test_copies_spread_over_the_shards(frame, monkeypatch):
+    """With half of the rows equal but for their ids, no shard has more than twice the mean."""
+    sizes = []
+    monkeypatch.setattr(L, "_round", lambda texts, sent, model, shards: sizes.extend(r["count"] for r in texts.selectExpr(f"pmod(shiftrightunsigned(h, 8), {shards}) as s").groupBy("s").count().collect()))
+    L.fit(frame([(i, "the same words again" if i % 2 else f"other words {i}") for i in range(4000)]), 4, rounds=2, shard_words=1000)
+    assert len(sizes) >= 14 and max(sizes) < 2 * sum(sizes) / len(sizes)
 
 
 def test_model_edges(frame):

@@ -10,10 +10,10 @@ their cell where it was counted twice or more, else the cell's mass of other wor
 beginning and end, each given the one before, under the corpus's other words). The sum of the logarithms over all words
 is the text's score, and its mean per word ranks texts of any length.
 
-What is kept of the corpus: the `VOCABULARY` most frequent words with exact counts, and a table of slots for all other
-words counted twice or more, which grows with their number up to `MOST_SLOTS`. Where several share a slot the most
-frequent has it; the others are spelled like words counted once, so the probabilities of a cell never add up to more
-than one. Slots hold counts rounded down (a factor of 2^(1/8) at most) beside an eight-bit check of the word.
+The `VOCABULARY` most frequent words and their counts go to every task. Counts of all others, however many, stay in a
+table: a task scores such a word as spelled and names it beside its text, and a join by word then adds what each word
+that was counted twice or more gains by its count. So every count is exact, and the probabilities of a cell never add up
+to more than one. Gains are whole numbers (`GAIN_PARTS`), so their sums don't depend on order.
 
 Training reads every text and predicts every word of it once. A hash of a row's id and text gives its round (of
 `ROUNDS`) and its shard of about `SHARD_WORDS` words, so copies of a text spread over all of them; each round's rows are
@@ -30,6 +30,7 @@ return as often as they come. Other columns are ignored, whatever their names. L
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from itertools import islice, repeat
 
 from pyspark.sql import DataFrame
@@ -41,9 +42,8 @@ VOCABULARY, UNITS, WHOLE, LONGEST, SIDE = 65_536, 64, 24, 3, 2
 EMBEDDING, HIDDEN = 4, 16
 ROUNDS, SHARD_WORDS = 8, 1_000_000
 BATCH, POOL, RATE = 512, 32, 0.7
-#: Slots for counted words beyond the vocabulary: so many times their number, up to a bound of two bytes each.
-SLOTS_PER_WORD, MOST_SLOTS = 2, 1 << 25
-SLOT_BLOCK = 1 << 16
+#: Fractions of the unit of log probabilities in the gains.
+GAIN_PARTS = 1 << 20
 #: Texts whose words are looked up together, and words of a text that are scored at a time.
 TEXTS, CHUNK = 64, 1024
 #: Fractions of a weight's unit in the whole-number means, and words that weigh one.
@@ -140,9 +140,9 @@ STATES, SYMBOLS = 257, 257 + 2 * LONGEST
 
 
 class Lexicon:
-    """What the corpus's counts say: words, units, cells, slots and letters; made on the driver, sent to the tasks."""
+    """What the corpus's counts say: words, units, cells and letters; made on the driver, sent to the tasks."""
 
-    def __init__(self, units: Units, top: list[tuple[bytes, int]], cells, others, letters, slots=None):
+    def __init__(self, units: Units, top: list[tuple[bytes, int]], cells, others, letters):
         """cells, others: tokens by ending and beginning, of all words and of those without a count of their own."""
         import numpy as np
 
@@ -161,14 +161,17 @@ class Lexicon:
         self.log_ending = np.log(total / total.sum()).astype(np.float32)
         self.log_beginning = np.log(self.cells / total[:, None]).astype(np.float32)
         self.log_letter = np.log((letters + 0.01) / (letters + 0.01).sum(1, keepdims=True))
-        self.slots = slots if slots is not None else np.zeros(1, np.uint16)
 
     def encode(self, words: list[bytes], tails: bool = False):
-        """Ending and beginning of each word, and the log share of the word in their cell (or None)."""
+        """Ending and beginning of each word, and the log share of the word in their cell (or None): of one beyond the vocabulary, as spelled."""
+        return self.looked_up(words, tails)[:3]
+
+    def looked_up(self, words: list[bytes], tails: bool = False):
+        """What `encode` gives, and the places of words beyond the vocabulary."""
         import numpy as np
 
         if not words:
-            return (np.zeros(0, np.int64),) * 3
+            return (np.zeros(0, np.int64),) * 4
         ids = np.fromiter(map(self.ids.get, words, repeat(-1)), np.int64, len(words))
         a, b = self.ending[ids], self.beginning[ids]
         tail = self.log_word[ids] if tails else None
@@ -178,19 +181,21 @@ class Lexicon:
             ra, rb, end_taken, begin_taken = self.units.of(rare)
             a[at], b[at] = ra, rb
             if tails:
-                tail[at] = self._rare(rare, ra, rb, end_taken, begin_taken)
-        return a, b, tail
+                tail[at] = self._spelled(rare, ra, rb, end_taken, begin_taken)
+        return a, b, tail, at
 
-    def _rare(self, rare, a, b, end_taken, begin_taken):
+    def _spelled(self, rare, a, b, end_taken, begin_taken):
         import numpy as np
-        from xxhash import xxh64_intdigest
 
-        h = np.fromiter(map(xxh64_intdigest, rare, repeat(42)), np.uint64, len(rare))  # as Spark's xxhash64
-        held = self.slots[(h & np.uint64(len(self.slots) - 1)).astype(np.int64)]
-        counted = (held != 0) & (held >> 8 == (h >> np.uint64(40) & np.uint64(255)).astype(np.uint16))
         state, symbol, first = self.units.spelled(rare, end_taken, begin_taken)
-        spelled = self.log_other[a, b] + np.add.reduceat(self.log_letter[state, symbol], first)
-        return np.where(counted, (held & 255) * (math.log(2) / 8) - self.log_cell[a, b], spelled)
+        return self.log_other[a, b] + np.add.reduceat(self.log_letter[state, symbol], first)
+
+    def gains(self, words: list[bytes], n):
+        """By how much the log shares of counted words exceed what their spelling gives, in whole parts."""
+        import numpy as np
+
+        a, b, end_taken, begin_taken = self.units.of(words)
+        return np.rint((np.log(n) - self.log_cell[a, b] - self._spelled(words, a, b, end_taken, begin_taken)) * GAIN_PARTS).astype(np.int64)
 
 
 class Model:
@@ -361,31 +366,23 @@ def _cells(counts: DataFrame, units: Units, ids: dict) -> DataFrame:
     return counts.mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
 
 
-def _slots(rest: DataFrame):
-    """The slot table of counted words beyond the vocabulary (w, n): two bytes a slot, blocks of them to the driver."""
-    import numpy as np
-
-    many = rest.count()
-    size = 1 << min(MOST_SLOTS.bit_length() - 1, max(0, (SLOTS_PER_WORD * many - 1).bit_length())) if many else 1
-    h = F.xxhash64("w")
-    best = rest.select(h.bitwiseAND(F.lit(size - 1)).alias("slot"), F.struct("n", "w").alias("x"), h.alias("h")).groupBy("slot").agg(F.max("x").alias("x"), F.max_by("h", "x").alias("h"))
-    rows = best.select(F.expr(f"slot div {SLOT_BLOCK}").alias("block"), F.expr(f"cast(slot % {SLOT_BLOCK} as int)").alias("at"), F.expr("cast((h >> 40 & 255) << 8 | least(255, cast(floor(8 * log2(x.n) + 1e-9) as int)) as int)").alias("v"))
+def _gains(rest: DataFrame, lex: Lexicon) -> DataFrame:
+    """w, gain of counted words beyond the vocabulary (w, n)."""
+    sent = rest.sparkSession.sparkContext.broadcast(lex)
 
-    def dense(table):
+    def run(batches):
         import pyarrow as pa
 
-        out = np.zeros(SLOT_BLOCK, np.uint16)
-        out[table.column("at").to_numpy()] = table.column("v").to_numpy()
-        return pa.table({"block": table.column("block").slice(0, 1), "x": pa.array([out.tobytes()], pa.binary())})
+        for b in batches:
+            words = b.column(0).to_pylist()
+            if words:
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sent.value.gains(words, b.column(1).to_numpy()), pa.int64())], ["w", "gain"])
 
-    out = np.zeros(max(size, SLOT_BLOCK), np.uint16)
-    for r in rows.groupBy("block").applyInArrow(dense, "block long, x binary").collect():
-        out[r.block * SLOT_BLOCK : (r.block + 1) * SLOT_BLOCK] = np.frombuffer(bytes(r.x), np.uint16)
-    return out[:size]
+    return staged(rest.select("w", "n").mapInArrow(run, "w binary, gain long"), "gains")
 
 
-def lexicon(docs: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Lexicon | None, int]:
-    """What is kept of the counts of all texts, and how many words there are; None where there are none."""
+def lexicon(docs: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Lexicon | None, int, DataFrame | None]:
+    """What the counts of all texts say, how many words there are, and the gains of words beyond the vocabulary; None where there are none."""
     import numpy as np
 
     prepare(docs.sparkSession)
@@ -393,7 +390,7 @@ def lexicon(docs: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Lexicon | No
     first = staged(counts.orderBy(F.desc("n"), "w").limit(vocabulary), "vocabulary")  # ranked by the tasks: only these reach the driver
     top = sorted(((bytes(r.w), r.n) for r in first.collect()), key=lambda x: (-x[1], x[0]))
     if not top:
-        return None, 0
+        return None, 0, None
     units = _units(counts, top)
     flat = np.zeros(2 * UNITS * UNITS + STATES * SYMBOLS, np.int64)
     ids = dict.fromkeys(w for w, n in top if n == 1)
@@ -401,21 +398,25 @@ def lexicon(docs: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Lexicon | No
         flat[r.i] = r.n
     last, least = top[-1]
     beyond = (F.col("n") < least) | ((F.col("n") == least) & (F.col("w") > F.lit(bytearray(last))))
-    slots = _slots(counts.filter(beyond & (F.col("n") > 1)))
-    freed(counts, first)
     cells, others = flat[: 2 * UNITS * UNITS].reshape(2, UNITS, UNITS)
-    return Lexicon(units, top, cells, others, flat[2 * UNITS * UNITS :].reshape(STATES, SYMBOLS), slots), int(cells.sum())
+    lex = Lexicon(units, top, cells, others, flat[2 * UNITS * UNITS :].reshape(STATES, SYMBOLS))
+    gains = _gains(counts.filter(beyond & (F.col("n") > 1)), lex)
+    freed(counts, first)
+    return lex, int(cells.sum()), gains
 
 
 def coded(lex: Lexicon, texts, tails: bool = False):
-    """Units (and log shares) of each text in turn, looked up for `TEXTS` of them together; None for one without words."""
+    """Units (log shares, and words beyond the vocabulary) of each text in turn, looked up for `TEXTS` of them together; None for one without words."""
     texts = iter(texts)
     while part := [words_of(t) for t in islice(texts, TEXTS)]:
-        a, b, tail = lex.encode([w for x in part for w in x], tails)
-        at = 0
+        a, b, tail, rare = lex.looked_up([w for x in part for w in x], tails)
+        rare = rare.tolist() if tails else ()
+        at = seen = 0
         for x in part:
             s = slice(at, at := at + len(x))
-            yield (a[s], b[s], tail[s] if tails else None) if x else None
+            upto = bisect_left(rare, at, seen)
+            yield (a[s], b[s], tail[s] if tails else None, [x[i - s.start] for i in rare[seen:upto]]) if x else None
+            seen = upto
 
 
 def train(m: Model, lex: Lexicon, texts) -> int:
@@ -424,7 +425,7 @@ def train(m: Model, lex: Lexicon, texts) -> int:
     for text in coded(lex, texts):
         if text is None:
             continue
-        a, b, _ = text
+        a, b, *_ = text
         padded = m.padded(a, b)
         for i in range(0, len(a), POOL * BATCH):
             j = min(i + POOL * BATCH, len(a))
@@ -474,9 +475,9 @@ def _round(texts: DataFrame, sent, model: Model, shards: int) -> None:
     model.set_flat(start)
 
 
-def fit(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS, shard_words: int = SHARD_WORDS) -> tuple[Lexicon, Model] | None:
-    """Count, then train; None where there are no words."""
-    lex, words = lexicon(docs, vocabulary)
+def fit(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS, shard_words: int = SHARD_WORDS) -> tuple[Lexicon, Model, DataFrame] | None:
+    """Count, then train: the lexicon, the model and the gains; None where there are no words."""
+    lex, words, gains = lexicon(docs, vocabulary)
     if lex is None:
         return None
     model, shards = Model(lex), -(-words // (rounds * shard_words))
@@ -487,27 +488,41 @@ def fit(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS, sha
         _round(rows.filter(F.col("round") == k).select("text", "h"), sent, model, shards)
     freed(rows)
     sent.unpersist()
-    return lex, model
+    return lex, model, gains
 
 
-def scored(docs: DataFrame, fitted: tuple[Lexicon, Model] | None) -> DataFrame:
+def scored(docs: DataFrame, fitted: tuple[Lexicon, Model, DataFrame] | None) -> DataFrame:
     """doc_id, n_words, log_likelihood, mean_log_likelihood of every row's whole text."""
     spark = prepare(docs.sparkSession)
-    sent = spark.sparkContext.broadcast(fitted)
+    sent = spark.sparkContext.broadcast(fitted[:2] if fitted else (None, None))
 
     def run(batches):
+        from collections import Counter
+
+        import numpy as np
         import pyarrow as pa
 
-        lex, m = sent.value or (None, None)
+        lex, m = sent.value
         for b in batches:
-            n, total = [], []
+            n, total, words, times, ends = [], [], [], [], [0]
             for text in coded(lex, b.column(1).to_pylist(), tails=True) if lex else repeat(None, b.num_rows):
                 n.append(0 if text is None else len(text[0]))
-                total.append(0.0 if text is None else round(m.score(*text), 5))
-            mean = [s / k if k else None for s, k in zip(total, n)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64())], ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
-
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+                total.append(0.0 if text is None else round(m.score(*text[:3]), 5))
+                rare = Counter(text[3]) if text else {}
+                words += rare.keys()
+                times += rare.values()
+                ends.append(len(words))
+            ends = pa.array(np.array(ends, np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.ListArray.from_arrays(ends, pa.array(words, pa.binary())), pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))], ["doc_id", "n_words", "total", "words", "times"])
+
+    made = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n_words long, total double, words array<binary>, times array<int>")
+    if fitted:
+        rows = staged(made.withColumn("row", F.monotonically_increasing_id()), "scored")
+        named = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("w"), F.col("x.times").alias("times"))
+        more = named.join(fitted[2], "w").groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("more"))
+        made = rows.drop("words", "times").join(more, "row", "left").withColumn("total", F.round(F.col("total") + F.coalesce("more", F.lit(0)) / GAIN_PARTS, 5))
+    mean = F.when(F.col("n_words") > 0, F.col("total") / F.col("n_words"))
+    return made.select("doc_id", "n_words", F.col("total").alias("log_likelihood"), mean.alias("mean_log_likelihood"))
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
