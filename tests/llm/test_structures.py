@@ -1,5 +1,6 @@
 """Turn repair, vector codes and the archive against brute force, odd inputs and damage."""
 
+import gzip
 import hashlib
 import itertools
 import random
@@ -187,6 +188,14 @@ def test_warc_files_parse_by_their_lengths(spark, tmp_path):
             found.append(fields[b"WARC-Record-ID"])
             data = rest[n + 4 :]
     assert len(found) == len(set(found)) == len(PAGES)
+    want = sorted((r.header, b"" if "WARC-Type: revisit" in r.header else bytes(r.payload)) for r in warc_store.records(spark, path).collect())
+    assert sorted((r.header, bytes(r.content)) for r in warc_store.read_warc(spark, f"file://{tmp_path}/w/part-*").collect()) == want
+    whole = gzip.compress(b"".join(f.read_bytes() for f in sorted((tmp_path / "w").glob("part-*"))))
+    (tmp_path / "all.warc.gz").write_bytes(whole)
+    assert sorted((r.header, bytes(r.content)) for r in warc_store.read_warc(spark, f"file://{tmp_path}/all.warc.gz").collect()) == want
+    (tmp_path / "cut.warc").write_bytes(gzip.decompress(whole)[:-3000])
+    with pytest.raises(PySparkException):
+        warc_store.read_warc(spark, f"file://{tmp_path}/cut.warc").collect()
 
 
 def test_altered_licences_are_refused():

@@ -19,14 +19,19 @@ columns are not read, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import openers
 from .base import prepare, staged
 
 #: Bytes of the smallest payload that copies refer to.
 LEAST = 1000
 SLOTS = 1 << 20
+#: Bytes of payload that a reader of WARC files hands on together, about.
+OUT_BYTES = 8_000_000
 # Line end, version line and the profile of revisits.
 CRLF, VERSION = "\r\n", "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -135,3 +140,49 @@ def write_warc(spark: SparkSession, path: str, to: str) -> None:
     """The archive's records as WARC files; a record ends with two line ends, which Spark's text writer puts."""
     block = F.when(header_value("WARC-Type") == "revisit", F.lit("")).otherwise(F.col("payload").cast("string"))
     records(spark, path).select(F.concat("header", block).alias("value")).write.option("lineSep", CRLF + CRLF).text(to)
+
+
+def parsed(file) -> Iterator[tuple[bytes, bytes]]:
+    """Header block and content of the records of an open WARC file, one at a time; a file that ends inside a record stops the reader."""
+    end = CRLF.encode()
+    while line := file.readline():
+        lines = [line]
+        while line != end:
+            if not (line := file.readline()):
+                raise ValueError("a WARC file ends inside a header")
+            lines.append(line)
+        size = next((int(x.partition(b":")[2]) for x in lines if x.lower().startswith(b"content-length:")), None)
+        if size is None or not lines[0].startswith(b"WARC/"):
+            raise ValueError(f"no WARC record begins with {lines[0][:40]!r}")
+        content = file.read(size)
+        if len(content) < size or file.read(4) != end + end:
+            raise ValueError("a WARC file ends inside a record, or a record is longer than it states")
+        yield b"".join(lines), content
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """header and content of the records of WARC files (plain or gzip) at a path or pattern; a file a task, a record at a time."""
+    prepare(spark)
+    files = [uri for uri, _ in openers.listed(spark, path)]
+
+    def run(batches):
+        import gzip
+
+        import pyarrow as pa
+
+        for b in batches:
+            for uri in b.column(0).to_pylist():
+                with openers.opened(uri) as file:
+                    heads, contents, held = [], [], 0
+                    for header, content in parsed(gzip.open(file) if uri.endswith(".gz") else file):
+                        heads.append(header.decode("utf-8", "replace"))
+                        contents.append(content)
+                        held += len(content)
+                        if held >= OUT_BYTES or len(heads) >= 1024:
+                            yield pa.RecordBatch.from_arrays([pa.array(heads, pa.string()), pa.array(contents, pa.binary())], ["header", "content"])
+                            heads, contents, held = [], [], 0
+                    if heads:
+                        yield pa.RecordBatch.from_arrays([pa.array(heads, pa.string()), pa.array(contents, pa.binary())], ["header", "content"])
+
+    rows = spark.createDataFrame([(u,) for u in files], "uri string").repartition(max(1, len(files)))
+    return rows.mapInArrow(run, "header string, content binary")
