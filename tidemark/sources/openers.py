@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 from urllib.parse import unquote, urlsplit
 
@@ -34,7 +35,7 @@ def opened(uri: str):
     from pyarrow import fs
 
     system, path = fs.FileSystem.from_uri(uri)
-    return system.open_input_file(path)
+    return io.BufferedReader(system.open_input_file(path), BLOCK)
 
 
 def blocks(file, size: int = BLOCK) -> Iterator[bytes]:
