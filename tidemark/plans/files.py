@@ -108,16 +108,19 @@ _ENTRY_SQL = """SELECT lpad(page_id::VARCHAR, 11, 'v') AS video_id, url AS title
   CASE WHEN page_id % 5 <> 0 THEN 'https://example.com/' || (page_id % 7)::VARCHAR END AS channel_url, '2024-01-02T03:04:05Z' AS watched_at, 'takeout' AS source FROM pages WHERE page_id % 3 <> 1"""
 
 
-def _entries(spark, d):
+def _entry():
     i = F.col("page_id")
-    entry = F.struct(
+    return F.struct(
         F.concat(F.lit("https://www.youtube.com/watch?v="), F.lpad(i.cast("string"), 11, "v")).alias("titleUrl"),
         F.when(i % 3 == 0, "YouTube").when(i % 3 == 1, "YouTube Music").alias("header"),
         F.concat(F.lit("Watched "), "url").alias("title"),
         F.when(i % 5 != 0, F.array(F.struct(F.concat(F.lit("c"), (i % 7).cast("string")).alias("name"), F.concat(F.lit("https://example.com/"), (i % 7).cast("string")).alias("url")))).alias("subtitles"),
         F.lit("2024-01-02T03:04:05Z").alias("time"),
     )
-    rows = T.table(spark, d, "pages").select(_file("page_id"), "page_id", F.to_json(entry).alias("e"))
+
+
+def _entries(spark, d):
+    rows = T.table(spark, d, "pages").select(_file("page_id"), "page_id", F.to_json(_entry()).alias("e"))
     return _joined(rows, "k", "e", ",", "page_id").select("file", F.concat(F.lit("["), "value", F.lit("]")).alias("value"))
 
 
@@ -140,6 +143,17 @@ def read_archived_exports(spark, d):
     return takeout.read_export(spark, f"{path}/*").select(*_EVENT)
 
 
+@query(_ENTRY_SQL)
+def large_export(spark, d):
+    """The whole table as one export that tasks write in parts (K2) and the file system joins; it is found in its place (S1) and read in ranges."""
+    home = folder(spark, "home")
+    place = f"{home}/Downloads/Takeout/YouTube and YouTube Music/history/watch-history.json"
+    sinks.json_document(T.table(spark, d, "pages").select("page_id", _entry().alias("e")).select("page_id", "e.*"), f"{home}/parts", "page_id")
+    sinks.joined(spark, f"{home}/parts", place)
+    found = takeout.find_export(home.removeprefix("file://")) if home.startswith("file:") else place
+    return takeout.read_export(spark, found, 1 << 16).select(*_EVENT)
+
+
 @query(
     """SELECT lpad(page_id::VARCHAR, 11, 'h') AS video_id, 'Page & ' || page_id::VARCHAR AS title, 'N' || (page_id % 5)::VARCHAR AS channel, 'https://example.com/channel/' || (page_id % 5)::VARCHAR AS channel_url,
   CASE WHEN page_id % 4 = 3 THEN '2026-08-10T09:37:27' ELSE '2026-08-10T14:37:27' END AS watched_at, 'takeout' AS source FROM pages WHERE page_id % 3 <> 1"""

@@ -49,14 +49,29 @@ def read_folders(spark: SparkSession, folders: list[str], schema: str) -> DataFr
 
 #: What a later track of a video that has a transcript does: nothing, or it replaces the transcript if it is better.
 KEEP_FIRST, TAKE_BETTER = "first", "better"
-_TRIED = "id string, rank int, file string, status string, batch long"
+_TRIED = "id string, rank int, file string, status string"
 _MADE = "id string, body string, words long, batch long"
 
 
-def convert_captions(spark: SparkSession, source: str, target: str, checkpoint: str, min_chars: int = 200, later: str = KEEP_FIRST, per_batch: int = 1000):
+def _best_tried(rows: DataFrame) -> DataFrame:
+    """One row for each id: the best track that was tried, and whether there is a transcript. It folds again, in any order."""
+    best = rows.groupBy("id").agg(F.min(F.struct("rank", "file")).alias("least"), F.max(F.col("status") == "written").alias("has"))
+    return best.select("id", "least.rank", "least.file", F.when(F.col("has"), "written").otherwise("too_short").alias("status"))
+
+
+def _tried(spark: SparkSession, target: str, before: int) -> DataFrame:
+    """What batches of lower numbers tried: the last fold of them, and those after it."""
+    folds = {k: v for k, v in finished(spark, f"{target}/tried", "upto").items() if k < before}
+    base = max(folds, default=-1)
+    rest = [v for k, v in finished(spark, f"{target}/tried", "batch").items() if base < k < before]
+    return _best_tried(read_folders(spark, ([folds[base]] if folds else []) + rest, _TRIED))
+
+
+def convert_captions(spark: SparkSession, source: str, target: str, checkpoint: str, min_chars: int = 200, later: str = KEEP_FIRST, per_batch: int = 1000, fold_every: int = 32):
     """Caption rows to transcripts as they arrive, each video once, however its tracks are dealt to files and runs.
 
-    A batch looks up what earlier ones tried (`target/tried`: id, track, outcome; no bodies). A video with a transcript
+    A batch looks up what earlier ones tried (`target/tried`: id, track, outcome; no bodies, and folded into one table every
+    so many batches). A video with a transcript
     keeps it, or with TAKE_BETTER gets a new one from a better track (manual before original before any, then by name).
     One whose tracks were all too short is tried again with a better track alone, as if all of them had come at once.
     Bodies go to `target/made`, and what was tried is written after them. Both stand under the batch's number: a batch
@@ -67,15 +82,16 @@ def convert_captions(spark: SparkSession, source: str, target: str, checkpoint:
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        earlier = read_folders(spark, [v for k, v in finished(spark, f"{target}/tried", "batch").items() if k < number], _TRIED)
-        known = earlier.groupBy("id").agg(F.min(F.struct("rank", "file")).alias("least"), F.max(F.col("status") == "written").alias("has"))
+        known = _tried(spark, target, number).select("id", F.struct("rank", "file").alias("least"), (F.col("status") == "written").alias("has"))
         new = captions.best_track(batch).join(known, "id", "left")
         better = F.struct("rank", "file") < F.col("least")
         new = staged(new.filter(F.col("least").isNull() | (better & (F.lit(later == TAKE_BETTER) | ~F.col("has")))).drop("least", "has"), "tracks")
         made = staged(captions.transcripts(new, min_chars=min_chars), "made")
         made.filter("status = 'written'").select("id", "body", "words", F.lit(number).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{target}/made/batch={number}")
         tried = new.select("id", "rank", "file").join(made.select("id", "status"), "id")
-        tried.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{target}/tried/batch={number}")
+        tried.write.mode("overwrite").parquet(f"{target}/tried/batch={number}")
+        if number % fold_every == fold_every - 1:
+            _tried(spark, target, number + 1).write.mode("overwrite").parquet(f"{target}/tried/upto={number}")
         freed(new, made)
 
     return run_once(new_files(spark, source, SRT_FILE, per_batch=per_batch), checkpoint, each)
