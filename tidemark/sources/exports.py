@@ -36,6 +36,7 @@ _CELL_BYTES = 32
 _TOKEN = re.compile(rb'"(?:[^"\\]|\\.)*("?)|[{}\[\]]', re.S)
 _STRING_END = re.compile(rb'(?:[^"\\]|\\.)*"', re.S)
 _ESCAPE = re.compile(rb"\\.", re.S)
+_decode = json.JSONDecoder(strict=False).raw_decode
 
 
 class Broken(ValueError):
@@ -69,14 +70,14 @@ def elements(blocks: Iterable[bytes], start: int = 0, end: int | None = None, de
     depth, inside a string, and after a backslash are how the bytes from start on begin.
     """
     more = iter(blocks)
-    buffer, base = b"", start
+    buffer, base, text = b"", start, None
 
     def filled() -> bool:
-        nonlocal buffer
+        nonlocal buffer, text
         block = next(more, None)
         if block is None:
             return False
-        buffer += block
+        buffer, text = buffer + block, None
         return True
 
     filled()
@@ -103,7 +104,7 @@ def elements(blocks: Iterable[bytes], start: int = 0, end: int | None = None, de
         if m is None:
             at = len(buffer)
             keep = between if began is None and between is not None else began if began is not None else at
-            buffer, base, at = buffer[keep:], base + keep, at - keep
+            buffer, base, at, text = buffer[keep:], base + keep, at - keep, None
             between = None if between is None else 0
             began = None if began is None else 0
             if not filled():
@@ -126,7 +127,16 @@ def elements(blocks: Iterable[bytes], start: int = 0, end: int | None = None, de
                 raise Broken("an export is no JSON array of objects")
             if end is not None and base + m.start() >= end:
                 return
-            first, began, between, depth, separators = False, m.start(), None, 2, (b",",)
+            first, separators = False, (b",",)
+            if text is None:
+                text = buffer.decode("latin-1")  # a character a byte
+            try:  # an object that ends in the buffer
+                end_of = _decode(text, m.start())[1]
+            except (ValueError, RecursionError):  # token by token
+                began, between, depth = m.start(), None, 2
+                continue
+            yield base + m.start(), buffer[m.start() : end_of]
+            at = between = end_of
         elif token in b"{[":
             depth += 1
         elif token in b"}]":
@@ -134,8 +144,7 @@ def elements(blocks: Iterable[bytes], start: int = 0, end: int | None = None, de
             if depth == 1:
                 if began is not None:
                     yield base + began, buffer[began:at]
-                began, between = None, at
-                buffer, base, between, at = buffer[at:], base + at, 0, 0
+                began, between = None, at  # what was read goes when the next block comes
     if depth or not closed or (between is not None and buffer[between:].strip(b" \t\r\n")):
         raise Broken("an export is cut off")
 

@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-
 from ..operators import captions
 from ..schemas import SRT_FILE
 from ..staging import freed, staged
