@@ -226,7 +226,7 @@ def test_every_counted_word_scores_its_count(frame):
 def test_copies_spread_over_the_shards(frame, monkeypatch):
     """With half of the rows equal but for their ids, no shard has more than twice the mean."""
     sizes = []
-    monkeypatch.setattr(L, "_round", lambda texts, sent, model, shards: sizes.extend(r["count"] for r in texts.selectExpr(f"pmod(shiftrightunsigned(h, 8), {shards}) as s").groupBy("s").count().collect()))
+    monkeypatch.setattr(L, "_round", lambda texts, model, shards: sizes.extend(r["count"] for r in texts.selectExpr(f"pmod(shiftrightunsigned(h, 8), {shards}) as s").groupBy("s").count().collect()))
     L.fit(frame([(i, "the same words again" if i % 2 else f"other words {i}") for i in range(4000)]), 4, rounds=2, shard_words=1000)
     assert len(sizes) >= 14 and max(sizes) < 2 * sum(sizes) / len(sizes)
 

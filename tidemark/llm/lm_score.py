@@ -16,8 +16,8 @@ that was counted twice or more gains by its count. So every count is exact, and
 to more than one. Gains are whole numbers (`GAIN_PARTS`), so their sums don't depend on order.
 
 Training reads every text and predicts every word of it once. A hash of a row's id and text gives its round (of
-`ROUNDS`) and its shard of about `SHARD_WORDS` words, so copies of a text spread over all of them; each round's rows are
-written once and read once. The shards of a round train side by side from the same weights, each in the order of its
+`ROUNDS`) and its shard of about `SHARD_WORDS` words, so copies of a text spread over all of them. Texts are looked up once:
+their units (two bytes a word) are written by round, trained on, and scored. The shards of a round train side by side from the same weights, each in the order of its
 hashes; the mean of their weights, by words, starts the next round. Shards follow from the corpus alone, and means are
 added up in whole numbers, so scores don't depend on partitions or the order of rows. A lost task costs its own shard.
 
@@ -316,10 +316,10 @@ class Model:
         np.add.at(e.reshape(-1), places.reshape(-1), dx.reshape(-1))  # faster flat
 
     def score(self, a, b, tail) -> float:
-        """The log probability of a text with these units and shares."""
+        """The log probability of a text with these units and shares (or their sum)."""
         import numpy as np
 
-        padded, total = self.padded(a, b), float(tail.sum())
+        padded, total = self.padded(a, b), float(np.sum(tail))
         for i in range(0, len(a), CHUNK):
             j = min(i + CHUNK, len(a))
             total += float(self.log_units(self.windows(padded, i, j), a[i:j], b[i:j]).sum(dtype=np.float64))
@@ -419,13 +419,55 @@ def coded(lex: Lexicon, texts, tails: bool = False):
             seen = upto
 
 
+def encoded(docs: DataFrame, lex: Lexicon | None, rounds: int = 1) -> DataFrame:
+    """What scoring and training read of every row, written once by round: row, doc_id, n_words, share (sum of log shares), units, h, and its words beyond the vocabulary with their times."""
+    sent = docs.sparkSession.sparkContext.broadcast(lex)
+
+    def run(batches):
+        from collections import Counter
+
+        import numpy as np
+        import pyarrow as pa
+
+        working("lm_score")
+        lex = sent.value
+        for b in batches:
+            n, share, units, words, times, ends = [], [], [], [], [], [0]
+            for text in coded(lex, b.column(1).to_pylist(), tails=True) if lex else repeat(None, b.num_rows):
+                rare = Counter(text[3]) if text else {}
+                n.append(len(text[0]) if text else 0)
+                share.append(float(text[2].sum()) if text else 0.0)
+                units.append(np.concatenate(text[:2]).astype(np.uint8).tobytes() if text else b"")
+                words += rare.keys()
+                times += rare.values()
+                ends.append(len(words))
+            ends = pa.array(np.array(ends, np.int32))
+            columns = [pa.array(n, pa.int64()), pa.array(share, pa.float64()), pa.array(units, pa.binary()), pa.ListArray.from_arrays(ends, pa.array(words, pa.binary())), pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *columns], ["doc_id", "h", "n_words", "share", "units", "words", "times"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("h"))
+    made = rows.mapInArrow(run, "doc_id long, h long, n_words long, share double, units binary, words array<binary>, times array<int>")
+    out = made.withColumns({"row": F.monotonically_increasing_id(), "round": F.pmod("h", F.lit(rounds))})
+    return staged(out, "encoded", "round")
+
+
+def units_of(x: bytes):
+    """Endings and beginnings of a text from its bytes."""
+    import numpy as np
+
+    both = np.frombuffer(x, np.uint8).astype(np.int64)
+    return both[: len(both) // 2], both[len(both) // 2 :]
+
+
 def train(m: Model, lex: Lexicon, texts) -> int:
     """Train on every word of the texts; the number of words."""
+    return train_on(m, (text[:2] for text in coded(lex, texts) if text))
+
+
+def train_on(m: Model, texts) -> int:
+    """The same of the texts' units."""
     near, want, seen, held = [], [], 0, 0
-    for text in coded(lex, texts):
-        if text is None:
-            continue
-        a, b, *_ = text
+    for a, b in texts:
         padded = m.padded(a, b)
         for i in range(0, len(a), POOL * BATCH):
             j = min(i + POOL * BATCH, len(a))
@@ -449,8 +491,8 @@ def _steps(m: Model, near: list, want: list) -> int:
     return len(a)
 
 
-def _round(texts: DataFrame, sent, model: Model, shards: int) -> None:
-    """One round: texts (text, h) by shard, and the mean of the shards' weights as the model's own."""
+def _round(texts: DataFrame, model: Model, shards: int) -> None:
+    """One round: texts (units, h) by shard, and the mean of the shards' weights as the model's own."""
     import numpy as np
 
     start = model.flat()
@@ -458,15 +500,14 @@ def _round(texts: DataFrame, sent, model: Model, shards: int) -> None:
     def run(batches):
         import pyarrow as pa
 
-        lex: Lexicon = sent.value
         model.set_flat(start)
-        seen = train(model, lex, (t for b in batches for t in b.column(0).to_pylist()))
+        seen = train_on(model, (units_of(x) for b in batches for x in b.column(0).to_pylist() if x))
         weight = -(-seen // WORDS_PER_WEIGHT)
         if weight:
             x = np.rint(model.flat().astype(np.float64) * UNIT_PARTS).astype(np.int64) * weight
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(x) + 1), pa.int32()), pa.array(np.append(x, weight), pa.int64())], ["i", "x"])
 
-    mine = texts.withColumn("shard", F.expr(f"cast(pmod(shiftrightunsigned(h, 8), {shards}) as int)")).repartitionById(shards, "shard").sortWithinPartitions("h").select("text")
+    mine = texts.withColumn("shard", F.expr(f"cast(pmod(shiftrightunsigned(h, 8), {shards}) as int)")).repartitionById(shards, "shard").sortWithinPartitions("h").select("units")
     out = np.zeros(len(start) + 1, np.float64)
     for r in mine.mapInArrow(run, "i int, x long").groupBy("i").agg(F.sum("x").alias("x")).collect():
         out[r.i] = r.x
@@ -475,55 +516,52 @@ def _round(texts: DataFrame, sent, model: Model, shards: int) -> None:
     model.set_flat(start)
 
 
-def fit(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS, shard_words: int = SHARD_WORDS) -> tuple[Lexicon, Model, DataFrame] | None:
-    """Count, then train: the lexicon, the model and the gains; None where there are no words."""
+def _fitted(docs: DataFrame, vocabulary: int, rounds: int, shard_words: int):
+    """What `fit` gives, and the encoded rows; None where there are no words."""
     lex, words, gains = lexicon(docs, vocabulary)
+    rows = encoded(docs, lex, rounds)
     if lex is None:
-        return None
+        return None, rows
     model, shards = Model(lex), -(-words // (rounds * shard_words))
-    sent = docs.sparkSession.sparkContext.broadcast(lex)
-    texts = docs.select("text", F.xxhash64("doc_id", "text").alias("h")).filter("text is not null")
-    rows = staged(texts.withColumn("round", F.pmod("h", F.lit(rounds))), "rounds", "round")
     for k in range(rounds):
-        _round(rows.filter(F.col("round") == k).select("text", "h"), sent, model, shards)
+        _round(rows.filter((F.col("round") == k) & (F.col("n_words") > 0)).select("units", "h"), model, shards)
+    return (lex, model, gains), rows
+
+
+def fit(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS, shard_words: int = SHARD_WORDS) -> tuple[Lexicon, Model, DataFrame] | None:
+    """Count, then train: the lexicon, the model and the gains; None where there are no words."""
+    fitted, rows = _fitted(docs, vocabulary, rounds, shard_words)
     freed(rows)
-    sent.unpersist()
-    return lex, model, gains
+    return fitted
 
 
 def scored(docs: DataFrame, fitted: tuple[Lexicon, Model, DataFrame] | None) -> DataFrame:
     """doc_id, n_words, log_likelihood, mean_log_likelihood of every row's whole text."""
-    spark = prepare(docs.sparkSession)
-    sent = spark.sparkContext.broadcast(fitted[:2] if fitted else (None, None))
+    prepare(docs.sparkSession)
+    return _scores(encoded(docs, fitted[0] if fitted else None), fitted)
 
-    def run(batches):
-        from collections import Counter
 
-        import numpy as np
+def _scores(rows: DataFrame, fitted) -> DataFrame:
+    """Scores of encoded rows: their units' by the model, their shares, and what counted words gain."""
+    sent = rows.sparkSession.sparkContext.broadcast(fitted[1] if fitted else None)
+
+    def run(batches):
         import pyarrow as pa
 
-        lex, m = sent.value
+        m = sent.value
         for b in batches:
-            n, total, words, times, ends = [], [], [], [], [0]
-            for text in coded(lex, b.column(1).to_pylist(), tails=True) if lex else repeat(None, b.num_rows):
-                n.append(0 if text is None else len(text[0]))
-                total.append(0.0 if text is None else round(m.score(*text[:3]), 5))
-                rare = Counter(text[3]) if text else {}
-                words += rare.keys()
-                times += rare.values()
-                ends.append(len(words))
-            ends = pa.array(np.array(ends, np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.ListArray.from_arrays(ends, pa.array(words, pa.binary())), pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))], ["doc_id", "n_words", "total", "words", "times"])
+            total = [round(m.score(*units_of(x), s), 5) if x else 0.0 for x, s in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(total, pa.float64())], ["row", "doc_id", "n_words", "total"])
 
-    made = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n_words long, total double, words array<binary>, times array<int>")
+    made = rows.select("row", "doc_id", "n_words", "units", "share").mapInArrow(run, "row long, doc_id long, n_words long, total double")
     if fitted:
-        rows = staged(made.withColumn("row", F.monotonically_increasing_id()), "scored")
         named = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("w"), F.col("x.times").alias("times"))
         more = named.join(fitted[2], "w").groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("more"))
-        made = rows.drop("words", "times").join(more, "row", "left").withColumn("total", F.round(F.col("total") + F.coalesce("more", F.lit(0)) / GAIN_PARTS, 5))
+        made = made.join(more, "row", "left").withColumn("total", F.round(F.col("total") + F.coalesce("more", F.lit(0)) / GAIN_PARTS, 5))
     mean = F.when(F.col("n_words") > 0, F.col("total") / F.col("n_words"))
     return made.select("doc_id", "n_words", F.col("total").alias("log_likelihood"), mean.alias("mean_log_likelihood"))
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
-    return scored(docs, fit(docs))
+    fitted, rows = _fitted(docs, VOCABULARY, ROUNDS, SHARD_WORDS)
+    return _scores(rows, fitted)
