@@ -12,7 +12,6 @@ import tarfile
 import zipfile
 
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import file_sink, sinks
@@ -172,7 +171,7 @@ def read_html_exports(spark, d):
     return takeout.read_export(spark, f"{path}/*.html").select(*_EVENT)
 
 
-@query(f"SELECT *, count(*) OVER () AS events FROM ({_ENTRY_SQL}) UNION ALL SELECT lpad(page_id::VARCHAR, 11, 'h'), 'Page ' || page_id::VARCHAR, NULL, NULL, '2026-08-10T14:37:27', 'takeout', (SELECT count(*) FROM pages) FROM pages")
+@query(f"SELECT * FROM ({_ENTRY_SQL}) UNION ALL SELECT lpad(page_id::VARCHAR, 11, 'h'), 'Page ' || page_id::VARCHAR, NULL, NULL, '2026-08-10T14:37:27', 'takeout' FROM pages")
 def split_exports(spark, d):
     """Exports of both layouts read in many ranges each, which begin inside strings and objects."""
     path, i = folder(spark, "split"), F.col("page_id").cast("string")
@@ -181,7 +180,7 @@ def split_exports(spark, d):
     rows = _joined(T.table(spark, d, "pages").select(_file("page_id"), "page_id", cell.alias("c")), "k", "c", "\n", "page_id")
     file_sink.write_files(_named(rows, "history-%d.html"), f"{path}/html")
     read = [takeout.read_export(spark, f"{path}/{kind}", 1 << 10).select(*_EVENT) for kind in ("json", "html")]
-    return read[0].withColumn("events", F.count("*").over(Window.partitionBy())).unionByName(read[1].withColumn("events", F.count("*").over(Window.partitionBy())))
+    return read[0].unionByName(read[1])
 
 
 @query("SELECT lpad(page_id::VARCHAR, 11, 'w') AS video_id, 'page ' || page_id::VARCHAR AS title, CASE WHEN page_id % 2 = 0 THEN 'chrome' ELSE 'firefox' END AS source, CASE WHEN page_id % 4 < 2 THEN CASE WHEN page_id % 8 < 2 THEN '2024-01-01 00:00:00' ELSE '2023-12-31 23:59:59' END END AS watched_at FROM pages WHERE page_id % 3 <> 2")
