@@ -2,6 +2,7 @@
 
 import io
 import json
+import pickle
 import random
 import re
 import sqlite3
@@ -65,6 +66,23 @@ def test_a_large_export_takes_several_tasks_and_files_have_places_of_their_own(s
         takeout.read_export(spark, str(tmp_path), 1 << 14)
 
 
+def test_many_small_ranges_share_tasks_that_hold_their_own_ranges_alone(spark, tmp_path):
+    for name, ids in (("b", range(1000, 3000)), ("a", range(1000))):
+        (tmp_path / f"{name}.json").write_text(json.dumps([entry(i) for i in ids]))
+    read = takeout.read_export(spark, str(tmp_path), 1 << 8)
+    cores = spark.sparkContext.defaultParallelism
+    assert sum(p.stat().st_size for p in tmp_path.iterdir()) >> 8 > 1000 and cores < read.rdd.getNumPartitions() <= exports.TASKS * cores
+    rows = read.orderBy("ingest_ord").collect()
+    assert [int(r.video_id) for r in rows] == list(range(3000)) and len({r.ingest_ord for r in rows}) == 3000
+    sizes = []
+    for n in (100, 10_000):
+        reader = exports._Reader({"ranges": exports._packed(exports.Range("u", 0, n, i, i + 1) for i in range(n)), "lot_bytes": "10"})
+        lots = reader.partitions()
+        assert [r.start for lot in lots for r in lot.ranges] == list(range(n)) and max(len(lot.ranges) for lot in lots) == 10
+        sizes.append(len(pickle.dumps(reader)))
+    assert sizes[0] == sizes[1]
+
+
 def test_an_archive_is_read_as_it_is_unpacked(spark, tmp_path):
     page = ("head" + "".join(f'<div class="outer-cell x">Watched <a href="https://y/watch?v={i:011d}">T</a><br>{"x" * 2000}' for i in range(3000))).encode()
     with tarfile.open(tmp_path / "takeout-2.tgz", "w:gz") as t:

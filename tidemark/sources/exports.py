@@ -14,6 +14,8 @@ import re
 import tarfile
 import zipfile
 from collections.abc import Iterable, Iterator
+from itertools import groupby
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -27,6 +29,8 @@ LEAVES = (f"/watch-history{JSON}", f"/watch-history{HTML}")
 ARCHIVES = (".zip", ".tgz", ".tar.gz")
 #: Bytes of a range.
 RANGE = 64 << 20
+#: Tasks for each core that ranges of fewer bytes are dealt to.
+TASKS = 4
 #: Bits of an input place, of which a file's number and a place in the file have their share.
 PLACE_BITS, LEAST_BITS = 52, 32
 
@@ -218,43 +222,82 @@ def member(uri: str) -> tuple[str, Iterator[bytes]]:
     return name, unpacked(name)
 
 
-class Range(InputPartition):
-    def __init__(self, uri: str, number: int, start: int, end: int, size: int, depth: int = 0, inside: bool = False):
-        self.uri, self.number, self.start, self.end, self.size, self.depth, self.inside = uri, number, start, end, size, depth, inside
+class Range(NamedTuple):
+    uri: str
+    number: int
+    size: int
+    start: int
+    end: int
+    depth: int = 0
+    inside: bool = False
+
+
+class Lot(InputPartition):
+    """Ranges that a task reads in turn."""
+
+    def __init__(self, ranges: list[Range]):
+        self.ranges = ranges
+
+
+def _packed(ranges: Iterable[Range]) -> str:
+    """Ranges as JSON, the address of a file once."""
+    return json.dumps([(*file, [r[3:] for r in own]) for file, own in groupby(ranges, lambda r: r[:3])])
+
+
+def _lots(ranges: Iterable[Range], lot_bytes: int) -> list[list[Range]]:
+    """Neighbouring ranges together, until they have so many bytes."""
+    lots, left = [], 0
+    for r in ranges:
+        if left <= 0:
+            lots.append([])
+            left = lot_bytes
+        lots[-1].append(r)
+        left -= max(r.end - r.start, 1)
+    return lots
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.ranges = [Range(*r) for r in json.loads(options["ranges"])]
+        self.packed, self.lot_bytes = options["ranges"], int(options["lot_bytes"])
         self.kind = options.get("kind", "")
         self.facts, self.bits = options.get("facts") == "true", int(options.get("bits", LEAST_BITS))
 
+    def __getstate__(self):
+        """What tasks get: each has its own ranges, none the list of all."""
+        return self.__dict__ | {"packed": ""}
+
     def partitions(self):
-        return self.ranges
+        ranges = (Range(*file, *r) for *file, own in json.loads(self.packed) for r in own)
+        return [Lot(own) for own in _lots(ranges, self.lot_bytes)]
 
     def read(self, part):
         if part is None:  # there are no ranges
             return
-        number = part.number << self.bits
+        for uri, own in groupby(part.ranges, lambda r: r.uri):
+            if uri.endswith(ARCHIVES) and not self.facts:
+                for r in own:
+                    name, unpacked = member(uri)
+                    if name.endswith(self.kind):
+                        for i, (_, text) in enumerate((cells if self.kind == HTML else elements)(unpacked)):
+                            yield uri, (r.number << self.bits) + i, text.decode("utf-8", "replace")
+                continue
+            with opened(uri) as f:
+                for r in own:
+                    yield from self._range(f, r)
+
+    def _range(self, f, r: Range):
         if self.facts:
-            with opened(part.uri) as f:
-                yield part.uri, part.start, json.dumps(changes(_limited(f, part.start, part.end), _escaped(f, part.start)))
-        elif part.uri.endswith(ARCHIVES):
-            name, unpacked = member(part.uri)
-            if name.endswith(self.kind):
-                for i, (_, text) in enumerate((cells if self.kind == HTML else elements)(unpacked)):
-                    yield part.uri, number + i, text.decode("utf-8", "replace")
-        else:
-            with opened(part.uri) as f:
-                escaped = part.inside and _escaped(f, part.start)
-                from_here = _limited(f, part.start, part.size)
-                found = cells(from_here, part.start, part.end) if self.kind == HTML else elements(from_here, part.start, part.end, part.depth, part.inside, escaped)
-                for at, text in found:
-                    yield part.uri, number + at, text.decode("utf-8", "replace")
+            yield r.uri, r.start, json.dumps(changes(_limited(f, r.start, r.end), _escaped(f, r.start)))
+            return
+        escaped = r.inside and _escaped(f, r.start)
+        from_here = _limited(f, r.start, r.size)
+        found = cells(from_here, r.start, r.end) if self.kind == HTML else elements(from_here, r.start, r.end, r.depth, r.inside, escaped)
+        for at, text in found:
+            yield r.uri, (r.number << self.bits) + at, text.decode("utf-8", "replace")
 
 
 class WatchExport(DataSource):
-    """Options: ranges (JSON), kind (.json or .html), bits of a place in a file, facts (a row of facts for each range in place of its items)."""
+    """Options: ranges (JSON), lot_bytes (of ranges that one task reads), kind (.json or .html), bits of a place in a file, facts (a row of facts for each range in place of its items)."""
 
     @classmethod
     def name(cls):
@@ -280,7 +323,7 @@ def items(spark: SparkSession, path: str, range_bytes: int = RANGE) -> dict[str,
     large = []
     for number, (uri, size) in enumerate(files):
         cuts = [0, size] if uri.endswith(ARCHIVES) else [*range(0, size, range_bytes), size]
-        own = [(uri, number, a, b, size) for a, b in zip(cuts, cuts[1:])]
+        own = [Range(uri, number, size, a, b) for a, b in zip(cuts, cuts[1:])]
         if uri.endswith(ARCHIVES):  # of either kind: the reader of the other one looks at its names alone
             ranges[JSON] += own
             ranges[HTML] += own
@@ -292,20 +335,26 @@ def items(spark: SparkSession, path: str, range_bytes: int = RANGE) -> dict[str,
             ranges[JSON] += own
     if large:
         ranges[JSON] += _begun(spark, large)
-    return {k: spark.read.format("watch_export").options(ranges=json.dumps(own), kind=k, bits=bits).load() for k, own in ranges.items() if own or k == JSON}
+    return {k: _read(spark, own, kind=k, bits=bits) for k, own in ranges.items() if own or k == JSON}
+
+
+def _read(spark: SparkSession, ranges: list[Range], **options) -> DataFrame:
+    """Small ranges share tasks, so that there are few for each core; those of RANGE bytes have tasks of their own."""
+    lot_bytes = min(RANGE, -(-sum(r.end - r.start for r in ranges) // (TASKS * spark.sparkContext.defaultParallelism)))
+    return spark.read.format("watch_export").options(ranges=_packed(ranges), lot_bytes=lot_bytes, **options).load()
 
 
-def _begun(spark: SparkSession, files: list[list[tuple]]) -> list[tuple]:
+def _begun(spark: SparkSession, files: list[list[Range]]) -> list[Range]:
     """The ranges of JSON files with the depth that each begins at, and whether it begins in a string."""
-    told = spark.read.format("watch_export").options(ranges=json.dumps([r for own in files for r in own]), facts="true").load()
-    facts = {(r.path, r.ingest_ord): json.loads(r.text) for r in told.collect()}  # a row for each RANGE bytes
+    told = _read(spark, [r for own in files for r in own], facts="true")
+    facts = {(r.path, r.ingest_ord): r.text for r in told.collect()}  # a row for each range
     out = []
     for own in files:
         depth, inside = 0, False
         for r in own:
-            out.append((*r, depth, inside))
-            quotes, outside_first, inside_first = facts[r[0], r[2]]
+            out.append(r._replace(depth=depth, inside=inside))
+            quotes, outside_first, inside_first = json.loads(facts[r.uri, r.start])
             depth, inside = depth + (inside_first if inside else outside_first), inside != bool(quotes)
         if depth or inside:
-            raise Broken(f"{own[0][0]} is cut off")
+            raise Broken(f"{own[0].uri} is cut off")
     return out
