@@ -7,9 +7,11 @@ import random
 import re
 import sqlite3
 import tarfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from tables import DATA
 
 from tidemark import file_sink, sinks
 from tidemark import schemas as S
@@ -150,6 +152,22 @@ def captions(*tracks):
     return [(f, 1, "\n\n".join(f"1\n00:00:01,000 --> 2\n{word} number {i}." for i in range(n))) for f, word, n in tracks]
 
 
+def test_small_files_are_written_beside_each_other_and_read_in_few_tasks(spark, tmp_path, monkeypatch):
+    from tidemark.plans import files as plans
+    from tidemark.sources import openers
+
+    for i in range(2500):
+        (tmp_path / f"{i}.info.json").write_text(json.dumps({"id": str(i)}))
+    rows = lists.info_records(spark, f"file://{tmp_path}")
+    assert 1 < rows.rdd.getNumPartitions() <= openers.TASKS * spark.sparkContext.defaultParallelism
+    assert sorted(int(r.id) for r in rows.select("id").collect()) == list(range(2500))
+    seen, real = [], lists.info_records
+    monkeypatch.setattr(plans.lists, "info_records", lambda s, path: seen.append(path) or real(s, path))
+    found = plans.info_files(spark, str(DATA / "sf0.001")).count()
+    written = list(Path(seen[0].removeprefix("file://")).rglob("*"))
+    assert len(written) == found + 1 and all(p.is_file() for p in written)
+
+
 class Killed(Exception):
     pass
 

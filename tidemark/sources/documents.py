@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import importable
+from .openers import in_few_tasks
 
 Extractor = Callable[[bytes], str]
 
@@ -70,11 +71,11 @@ def extracted(files: DataFrame, extractors: dict[str, Extractor] | None = None)
 
 
 def read_documents(spark: SparkSession, path: str, extractors: dict[str, Extractor] | None = None) -> DataFrame:
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = in_few_tasks(spark.read.format("binaryFile").load(path)).select("path", "content")
     return extracted(files, extractors)
 
 
 def text_files(spark: SparkSession, path: str) -> DataFrame:
     """Plain text alone, without Python: path, content_sha, text."""
-    rows = spark.read.format("binaryFile").load(path)
+    rows = in_few_tasks(spark.read.format("binaryFile").load(path))
     return rows.select("path", F.sha2("content", 256).alias("content_sha"), X.universal_newlines(X.decoded("content")).alias("text"), F.lit(None).cast("string").alias("error"))

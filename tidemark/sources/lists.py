@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import text as X
+from .openers import in_few_tasks
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -41,7 +42,7 @@ def channel_cache(spark: SparkSession, path: str) -> DataFrame:
     """The cache of resolved videos (an object by video id), empty where there is no file; a null value is a recorded miss."""
     if not exists(spark, path):
         return spark.createDataFrame([], S.CHANNEL_CACHE)
-    whole = spark.read.text(path, wholetext=True)
+    whole = in_few_tasks(spark.read.text(path, wholetext=True))
     entries = whole.select(F.explode(F.from_json("value", "map<string, struct<channel: string, channel_url: string>>")).alias("video_id", "v"))
     return entries.select("video_id", "v.channel", "v.channel_url")
 
@@ -80,18 +81,18 @@ def videos_strict(spark: SparkSession, path: str) -> DataFrame:
 
 def info_records(spark: SparkSession, path: str) -> DataFrame:
     """Info records (a JSON file each) with their file name; unreadable ones are skipped."""
-    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
+    whole = in_few_tasks(spark.read.text(path, wholetext=True)).select("value", F.col("_metadata.file_name").alias("file"))
     return whole.filter(F.get_json_object("value", "$").isNotNull()).select(F.from_json("value", S.INFO.simpleString()).alias("e"), "file").select("e.*", "file")
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
     """file and size of what is in a folder; contents are not read."""
-    rows = spark.read.format("binaryFile").load(path)
+    rows = in_few_tasks(spark.read.format("binaryFile").load(path))
     return rows.select(F.substring_index("path", "/", -1).alias("file"), F.col("length").alias("size"))
 
 
 def srt_files(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.format("binaryFile").load(path)
+    rows = in_few_tasks(spark.read.format("binaryFile").load(path))
     return rows.select(F.substring_index("path", "/", -1).alias("file"), F.col("length").alias("size"), X.decoded("content").alias("content"))
 
 

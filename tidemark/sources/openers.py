@@ -6,9 +6,11 @@ import io
 from collections.abc import Iterator
 from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BLOCK = 1 << 20
+#: Tasks for each core that small files are dealt to, and bytes that are worth a task beyond those.
+TASKS, TASK_BYTES = 8, 64 << 20
 
 
 def listed(spark: SparkSession, path: str) -> list[tuple[str, int]]:
@@ -19,6 +21,15 @@ def listed(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted((x.getPath().toUri().toString(), x.getLen()) for x in there if x.isFile() and x.getPath().getName()[0] not in "._")
 
 
+def in_few_tasks(rows: DataFrame) -> DataFrame:
+    """Rows that were just loaded from files, however many, in a few tasks for each core or in tasks of TASK_BYTES.
+
+    Spark counts every file as 4 MB at least, so by itself it makes a task of each 32 small ones.
+    """
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return rows.coalesce(max(TASKS * rows.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES))
+
+
 def put(spark: SparkSession, path: str, content: bytes) -> None:
     """Write a small file from the driver."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
