@@ -168,6 +168,19 @@ def test_small_files_are_written_beside_each_other_and_read_in_few_tasks(spark,
     assert len(written) == found + 1 and all(p.is_file() for p in written)
 
 
+def test_captions_of_very_many_blank_and_index_lines_are_parsed_in_small_batches(spark):
+    from tidemark.operators import captions as O
+
+    texts = ["\n" * 20_000, "7\n" * 20_000 + "said", "1\n00:00:01,000 --> 2\n<i>a &amp; b</i>\n42\n&#10;\n \n7\nnext"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, content string").select("id", O.cues("content").alias("c")).orderBy("id").collect()
+    assert [r.c for r in rows] == [[], [["said"]], [["a & b", "42"], ["next"]]]
+    best = O.best_track(spark.createDataFrame([("v.en.srt", 1, "x" * 300)], S.SRT_FILE))
+    made = O.transcripts(best, chosen=True)
+    assert [(r.id, r.rank, r.file, r.status) for r in made.collect()] == [("v", 0, "v.en.srt", "written")]
+    assert "Window" not in O.transcripts(spark.createDataFrame([("v", 0, "f", "x")], "id string, rank int, file string, content string"), chosen=True)._jdf.queryExecution().executedPlan().toString()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1024
+
+
 class Killed(Exception):
     pass
 

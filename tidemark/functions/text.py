@@ -53,21 +53,24 @@ def _unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def _unescape_nested(s: pd.Series) -> pd.Series:
-    return s.map(lambda rows: None if rows is None else [[html.unescape(x) for x in row] for row in rows])
-
-
 def unescape_html(c) -> Column:
     """HTML entities replaced; only texts with an ampersand leave the JVM."""
     c = _col(c)
     return F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
-def unescape_nested(c, source) -> Column:
-    """The same over an array of arrays that comes from the text `source`."""
+_LINE = re.compile(r"[^\n\r]+")
+
+
+@F.pandas_udf(T.StringType())
+def _unescape_lines(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: _LINE.sub(lambda m: re.sub("[\n\r]", " ", html.unescape(m[0])) if "&" in m[0] else m[0], x), na_action="ignore")
+
+
+def unescape_lines(c, source) -> Column:
+    """The same of each line of a text that comes from the text `source`; line ends that entities stand for become spaces."""
     c = _col(c)
-    return F.coalesce(_unescape_nested(F.when(F.contains(_col(source), F.lit("&")), c)), c)
+    return F.coalesce(_unescape_lines(F.when(F.contains(_col(source), F.lit("&")), c)), c)
 
 
 def watched_title(c) -> Column:

@@ -15,8 +15,12 @@ from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..functions.text import SPACE
-from ..session import importable
+from ..session import importable, small_batches
 
+#: Texts whose lines are Python strings together.
+AT_ONCE = 32
+#: White space inside a line; most characters fail the first ranges.
+_BLANK = rf"[\x00-\x20\x7f-\x{{10FFFF}}&&{SPACE.replace(r'\t-\r', r'\t\x0b\x0c')}]"
 #: Lines already emitted that a new one is held against.
 WINDOW = 3
 
@@ -28,26 +32,31 @@ def cues(content, unescape: bool = True) -> Column:
     text has been accepted. Tags go, entities are replaced (in Python, and only where there are any), white space
     collapses, and lines without text are no lines.
     """
-    content = X._col(content)
-    lines = F.filter(F.split(content, "\r\n|\r|\n"), lambda x: ~X.is_timing_line(x))
-    # blank lines become form marks, so that one split gives the cues
-    marked = F.array_join(F.transform(lines, lambda x: F.when(x.rlike(rf"\A{SPACE}*\z"), F.lit("\r")).otherwise(x)), "\n")
-    parts = F.split(marked, "(?:\n|^)(?:\r(?:\n|$))+")
-    # each line without tags, after a mark that tells index lines
-    digits = rf"\A{SPACE}*\p{{Nd}}+{SPACE}*\z"
-    bare = F.transform(parts, lambda cue: F.transform(F.split(cue, "\n"), lambda x: F.concat(F.when(x.rlike(digits), "#").otherwise("-"), X.strip_tags(x))))
-    text = X.unescape_nested(bare, content) if unescape else bare
-
-    def accepted(lines: Column) -> Column:
-        # the first line that is text by itself; index lines count from there on
-        place = F.array_position(F.transform(lines, lambda x: x.startswith("-") & (x != "-")), True)
-        kept = X.let(place, lambda first: F.filter(lines, lambda x, i: (first > 0) & (i + 1 >= first) & (F.length(x) > 1)))
-        return F.transform(kept, lambda x: F.substr(x, F.lit(2)))
-
-    def clean(cue: Column) -> Column:
-        return F.transform(cue, lambda x: F.concat(F.substr(x, F.lit(1), F.lit(1)), X.collapse_space(X.strip(F.substr(x, F.lit(2))))))
-
-    return F.filter(F.transform(text, lambda cue: X.let(clean(cue), accepted)), lambda cue: F.size(cue) > 0)
+    # whole-text patterns that begin with a plain character: an expression for each line costs several times as much
+    def changed(text: Column, *pairs: tuple[str, str]) -> Column:
+        for pattern, by in pairs:
+            text = F.regexp_replace(text, pattern, by)
+        return text
+
+    stop = r"(?![^\n\r])"
+    lines = F.replace(F.replace(F.concat(F.lit("\n"), X._col(content)), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    timed = changed(lines, (rf"\n\d{{2}}:\d{{2}}:\d{{2}}[,.]\d{{3}}{_BLANK}*-->[^\n]*", ""))
+    marked = changed(
+        F.replace(timed, F.lit("\n"), F.lit("\n-")),  # a mark for each line: # is that of index lines
+        (rf"\n-(?={_BLANK}*\p{{Nd}}+{_BLANK}*{stop})", "\n#"),
+        (rf"(?:\n-{_BLANK}*{stop})++", "\r"),  # blank lines: \r stands between cues from here on
+        (r"<[^>\n\r]+>", ""),
+    )
+    text = X.unescape_lines(marked, content) if unescape else marked
+    kept = changed(
+        text,
+        (f"{_BLANK}+", " "),
+        (r"(\n[-#]) ", "$1"),
+        (rf" {stop}", ""),
+        (rf"\n-{stop}", ""),  # lines without text
+        (r"(?<![^\r])(?:\n#[^\n\r]*)++", ""),  # index lines before a cue's first line of text
+    )
+    return F.transform(F.filter(F.split(kept, "\r"), lambda cue: cue != ""), lambda cue: F.split(F.substr(cue, F.lit(3)), "\n[-#]"))
 
 
 def rolling_dedupe(lines) -> Column:
@@ -76,17 +85,21 @@ def rolling_dedupe_long(lines: pd.Series) -> pd.Series:
 
 
 def _joined(rows: DataFrame) -> DataFrame:
-    """id, said of rows (id, lines): the deduped lines of each row, joined."""
-    importable(rows.sparkSession)
+    """Rows (lines, and other columns) with said for lines: the deduped lines of each row, joined."""
+    small_batches(importable(rows.sparkSession))
+    carried = [f for f in rows.schema.fields if f.name != "lines"]
+    names = [f.name for f in carried]
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            said = [" ".join(emitted(x or [])) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(said, pa.string())], ["id", "said"])
+            lines, said = b.column(len(names)), []
+            for i in range(0, len(lines), AT_ONCE):
+                said += [" ".join(emitted(x or [])) for x in lines.slice(i, AT_ONCE).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(said, pa.string())], [*names, "said"])
 
-    return rows.select("id", "lines").mapInArrow(run, "id string, said string")
+    return rows.select(*names, "lines").mapInArrow(run, T.StructType([*carried, T.StructField("said", T.StringType())]))
 
 
 def reflow(text, size: int = 5) -> Column:
@@ -108,14 +121,17 @@ def best_track(files: DataFrame) -> DataFrame:
     return rows.withColumn("__r", F.row_number().over(Window.partitionBy("id").orderBy("rank", "file"))).filter("__r = 1").drop("__r")
 
 
-def transcripts(files: DataFrame, done: DataFrame | None = None, min_chars: int = 200) -> DataFrame:
-    """id, body, words, status (written or too_short) of each video's best track; those in done are skipped."""
-    best = best_track(files)
+def transcripts(files: DataFrame, done: DataFrame | None = None, min_chars: int = 200, chosen: bool = False) -> DataFrame:
+    """id, body, words, status (written or too_short) of each video's best track; those in done are skipped.
+
+    chosen: the rows are what `best_track` gave, and its rank and the file stay.
+    """
+    best, carried = files if chosen else best_track(files), ("rank", "file") if chosen else ()
     if done is not None:
         best = best.join(done.select("id"), "id", "left_anti")
-    said = _joined(best.select("id", F.flatten(cues("content")).alias("lines")))
-    body = said.select("id", reflow("said").alias("body"))
-    return body.select("id", "body", X.word_count("body").alias("words"), F.when(F.length("body") >= min_chars, "written").otherwise("too_short").alias("status"))
+    said = _joined(best.select("id", *carried, F.flatten(cues("content")).alias("lines")))
+    body = said.select("id", *carried, reflow("said").alias("body"))
+    return body.select("id", "body", X.word_count("body").alias("words"), F.when(F.length("body") >= min_chars, "written").otherwise("too_short").alias("status"), *carried)
 
 
 def conversion_report(made: DataFrame, already: DataFrame) -> DataFrame:

@@ -19,6 +19,13 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession, rows: int = 1024) -> SparkSession:
+    """Arrow batches of fewer rows where the session has Spark's default: texts are long."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return spark
+
+
 def local(cpus: int | str = "*", **conf: str) -> SparkSession:
     """A session for one machine."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("tidemark")
