@@ -84,14 +84,13 @@ def convert_captions(spark: SparkSession, source: str, target: str, checkpoint:
         known = _tried(spark, target, number).select("id", F.struct("rank", "file").alias("least"), (F.col("status") == "written").alias("has"))
         new = captions.best_track(batch).join(known, "id", "left")
         better = F.struct("rank", "file") < F.col("least")
-        new = staged(new.filter(F.col("least").isNull() | (better & (F.lit(later == TAKE_BETTER) | ~F.col("has")))).drop("least", "has"), "tracks")
-        made = staged(captions.transcripts(new, min_chars=min_chars), "made")
+        new = new.filter(F.col("least").isNull() | (better & (F.lit(later == TAKE_BETTER) | ~F.col("has"))))
+        made = staged(captions.transcripts(new, min_chars=min_chars, chosen=True), "made")
         made.filter("status = 'written'").select("id", "body", "words", F.lit(number).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{target}/made/batch={number}")
-        tried = new.select("id", "rank", "file").join(made.select("id", "status"), "id")
-        tried.write.mode("overwrite").parquet(f"{target}/tried/batch={number}")
+        made.select("id", "rank", "file", "status").write.mode("overwrite").parquet(f"{target}/tried/batch={number}")
         if number % fold_every == fold_every - 1:
             _tried(spark, target, number + 1).write.mode("overwrite").parquet(f"{target}/tried/upto={number}")
-        freed(new, made)
+        freed(made)
 
     return run_once(new_files(spark, source, SRT_FILE, per_batch=per_batch), checkpoint, each)
 
