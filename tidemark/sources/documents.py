@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..session import importable
+from ..session import importable, small_batches
 from .openers import in_few_tasks
 
 Extractor = Callable[[bytes], str]
@@ -45,7 +45,7 @@ EXTRACTORS: dict[str, Extractor] = {".pdf": command(".pdf"), ".epub": command(".
 
 def extracted(files: DataFrame, extractors: dict[str, Extractor] | None = None) -> DataFrame:
     """path, content_sha, text, error of files (path, content); one file's failure is a value, not the query's."""
-    importable(files.sparkSession)
+    small_batches(importable(files.sparkSession))
     known = extractors or EXTRACTORS
 
     def run(batches):
