@@ -239,3 +239,48 @@ def test_model_edges(frame):
     assert [r.log_likelihood for r in L.lm_scores(frame([(1, None)])).collect()] == [0.0]
     assert L.lm_scores(frame([])).count() == 0
     assert [r.n_words for r in L.lm_scores(frame([(1, "one"), (2, "two")])).collect()] == [1, 1]
+
+
+def test_words_of_many_texts_are_those_of_each():
+    texts = [t for _, t in odd_corpus()] + [" a  b\t", "\x0b\x0c \r\n", "a\x1cb\x85c\xa0d e", "İSTANBUL ΣΑΣ ΟΔΟΣ ẞ", "z" * 70_000 + " a", None, ""]
+    for part in (texts, texts[:1], [None, ""], ["a", "a b"], []):
+        words, at, n = L.distinct_words(part)
+        words = L.listed(words)
+        assert len(words) == len(set(words))
+        assert [words[i] for i in at] == [w for t in part for w in L.words_of(t)]
+        assert n.tolist() == [len(L.words_of(t)) for t in part]
+
+
+def test_a_word_is_looked_up_once_for_many_texts(frame, monkeypatch):
+    """Not once for each place that has it: what is named beside a text and its units stay those of every place."""
+    texts = [None, "", *(t for _, t in odd_corpus() * 20)]
+    lex, *_ = L.lexicon(frame(odd_corpus()), 12)
+    asked = []
+    once = L.Lexicon.looked_up
+    monkeypatch.setattr(L.Lexicon, "looked_up", lambda self, words, tails=False: asked.extend(words) or once(self, words, tails))
+    ((n, a, b, tail, (words, times, named)),) = L.coded(lex, texts, True)
+    assert Counter(asked) == Counter({w for t in texts for w in L.words_of(t)})
+    assert n.tolist() == [len(L.words_of(t)) for t in texts]
+    want = lex.encode([w for t in texts for w in L.words_of(t)], True)
+    assert all(np.array_equal(x, y) for x, y in zip((a, b, tail), want))
+    words = L.listed(words)
+    for t, i, j in zip(texts, [0, *named], named):
+        assert dict(zip(words[i:j], times[i:j])) == Counter(w for w in L.words_of(t) if w not in lex.ids)
+
+
+def test_short_texts_are_scored_together_and_alike(frame, monkeypatch):
+    """The network runs once for many short texts, and a text's score has the same bits whatever stands beside it."""
+    rows = odd_corpus() * 3 + [(900, "word " * 5000)]
+    lex, m, _ = L.fit(frame(rows), 12, rounds=1)
+    texts = []
+    for n, a, b, tail, _ in L.coded(lex, [t for _, t in rows], True):
+        texts += [(a[j - k : j], b[j - k : j], tail[j - k : j]) for k, j in zip(n, n.cumsum())]
+    runs, log_units = [], L.Model.log_units
+    monkeypatch.setattr(L.Model, "log_units", lambda self, *x: runs.append(1) or log_units(self, *x))
+    together = list(m.scores(texts))
+    words = sum(len(a) for a, _, _ in texts)
+    assert len(texts) > 190 and len(runs) <= (words + L.ROW_STEP * len(texts)) / L.BLOCK + 1
+    assert together == [m.score(*x) for x in texts]
+    order = np.random.default_rng(1).permutation(len(texts))
+    assert [together[i] for i in order] == list(m.scores([texts[i] for i in order]))
+    assert list(m.scores([])) == [] and m.score(*(x[:0] for x in texts[0])) == 0

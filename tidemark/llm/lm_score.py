@@ -23,15 +23,17 @@ added up in whole numbers, so scores don't depend on partitions or the order of
 
 Words are in lower case and split at ASCII white space. A text without words (or null) has 0 words, sum 0 and a null
 mean. An empty table, or one without words, gives scores without a model: none is needed. Repeated rows train and
-return as often as they come. Other columns are ignored, whatever their names. Long texts are read whole, in pieces of
-`CHUNK` words.
+return as often as they come. Other columns are ignored, whatever their names. Long texts are read whole.
+
+Words are split and told apart for many texts at once by Arrow, and each distinct one is looked up once among them. The
+network scores words of many texts together, but no matrix product has rows of two texts, so a text scores the same
+whatever stands beside it.
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_left
-from itertools import islice, repeat
+from itertools import repeat
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +46,10 @@ ROUNDS, SHARD_WORDS = 8, 1_000_000
 BATCH, POOL, RATE = 512, 32, 0.7
 #: Fractions of the unit of log probabilities in the gains.
 GAIN_PARTS = 1 << 20
-#: Texts whose words are looked up together, and words of a text that are scored at a time.
-TEXTS, CHUNK = 64, 1024
+#: Characters of texts whose words are counted and looked up together, and words scored together.
+COUNTED, LOOKED_UP, TOGETHER = 1 << 24, 1 << 22, 1 << 16
+#: Rows that the network scores at a time, and rows of a matrix product: a text takes whole ones, since a row's last bits follow from its place in the product.
+BLOCK, ROW_STEP = 960, 48
 #: Fractions of a weight's unit in the whole-number means, and words that weigh one.
 UNIT_PARTS, WORDS_PER_WEIGHT = 1 << 24, 1024
 _END = 256  # of the spelled middle, and as the state before it; above it: a beginning and ending that overlap
@@ -55,28 +59,60 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().split()
 
 
+def groups(items, size, most: int):
+    """Items in turn, in lists whose sizes reach `most`."""
+    held, n = [], 0
+    for x in items:
+        held.append(x)
+        n += size(x)
+        if n >= most:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def _characters(text: str | None) -> int:
+    return len(text or "") + 1
+
+
+def distinct_words(texts: list[str | None]):
+    """Distinct words of the texts (an Arrow array), the place among them of each word in turn, and each text's number of words; words are those of `words_of`."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    split = pc.ascii_split_whitespace(pa.array([(t or "").lower() for t in texts], pa.large_string()))
+    ends = split.offsets.to_numpy()
+    found = split.values.dictionary_encode()
+    words, at = found.dictionary, found.indices.to_numpy()
+    blank = pc.index(words, "").as_py()
+    if blank >= 0:  # before a text's first word, after its last, or all of it
+        full = at != blank
+        ends = np.append(0, full.cumsum())[ends]
+        at = at[full]
+        at = at - (at > blank)
+        words = pa.concat_arrays([words[:blank], words[blank + 1 :]])
+    return words.cast(pa.large_binary()).cast(pa.binary()), at, np.diff(ends)
+
+
+def listed(words) -> list[bytes]:
+    """An Arrow array's words; a tenth of the time that `to_pylist` takes."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """w (binary), n over all texts; each task adds up its own before the counts meet."""
 
     def run(batches):
-        from collections import Counter
-
+        import numpy as np
         import pyarrow as pa
 
         working("lm_score")
-        c: Counter = Counter()
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], ["w", "n"])
-
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                c.update(words_of(t))
-            if len(c) > 400_000:
-                yield out()
-                c.clear()
-        if c:
-            yield out()
+        for part in groups((t for b in batches for t in b.column(0).to_pylist()), _characters, COUNTED):
+            words, at, _ = distinct_words(part)
+            if len(words):
+                yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(at, minlength=len(words)), pa.int64())], ["w", "n"])
 
     return docs.select("text").mapInArrow(run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
@@ -204,7 +240,7 @@ class Model:
     def __init__(self, lexicon: Lexicon):
         import numpy as np
 
-        self.held = None
+        self.held = self.held_places = None
         rng = np.random.default_rng(4)
         self.log_beginning = lexicon.log_beginning
         wide = 4 * SIDE * EMBEDDING
@@ -260,34 +296,53 @@ class Model:
             self.held = [np.empty((max(n, BATCH), k), np.float32) for k in (wide, HIDDEN, 2 * UNITS, UNITS, HIDDEN, wide)]
         return [x[:n] for x in self.held]
 
-    def forward(self, near, ending):
-        """Layer inputs and a row of exponents for each word (of endings, then of beginnings given the ending), with each half's sum."""
+    def places(self, near):
+        """Where the embeddings' numbers of these units stand among all, flat."""
+        import numpy as np
+
+        if self.held_places is None or len(self.held_places[1]) < near.size:
+            self.held_places = np.arange(math.prod(self.shapes[0])).reshape(self.shapes[0]), np.empty((near.size, EMBEDDING), np.int64)
+        each, out = self.held_places
+        return np.take(each, near.reshape(-1), 0, out=out[: near.size], mode="clip").reshape(-1)
+
+    @staticmethod
+    def mine(ending, beginning):
+        """Where the logits of words' own endings, then beginnings, stand among all, flat."""
+        import numpy as np
+
+        row = np.arange(len(ending)) * (2 * UNITS)
+        return np.concatenate([row + ending, row + (UNITS + beginning)])
+
+    def forward(self, near, ending, rows: int | None = None):
+        """Layer inputs and a row of exponents for each word (of endings, then of beginnings given the ending), with each half's sum; products are taken of so many rows at a time, or of all."""
         import numpy as np
 
         e, w1, b1, w2, b2 = self.weights
         x, h, z, row, _, _ = self.buffers(len(near))
         np.take(e, near.reshape(-1), 0, out=x.reshape(-1, EMBEDDING), mode="clip")
-        np.matmul(x, w1, out=h)
+        apart = (len(near) // rows, rows) if rows else (1, len(near))
+        np.matmul(x.reshape(*apart, -1), w1, out=h.reshape(*apart, -1))
         h += b1
         np.tanh(h, out=h)
-        np.matmul(h, w2, out=z)
+        np.matmul(h.reshape(*apart, -1), w2, out=z.reshape(*apart, -1))
         z += b2
         np.take(self.log_beginning, ending, 0, out=row, mode="clip")
         z[:, UNITS:] += row
         halves = z.reshape(-1, UNITS)
         if z.max() > 60:  # else nothing overflows
-            halves -= halves.max(1, keepdims=True)
+            most = halves.max(1, keepdims=True)
+            halves -= np.where(most > 60, most, 0)  # of other rows nothing, so none depends on those beside it
         np.exp(halves, out=halves)
-        return x, h, z, halves @ np.ones(UNITS, np.float32)
+        return x, h, z, (halves.reshape(apart[0], -1, UNITS) @ np.ones(UNITS, np.float32)).reshape(-1)
 
-    def log_units(self, near, ending, beginning):
+    def log_units(self, near, ending, beginning, rows: int | None = None):
         """log P(ending | both sides) + log P(beginning | ending, both sides)."""
         import numpy as np
 
-        _, _, z, total = self.forward(near, ending)
-        r = np.arange(len(near))
-        mine = np.maximum(np.stack([z[r, ending], z[r, UNITS + beginning]], 1), np.float32(1e-37))
-        return np.log(mine / total.reshape(-1, 2)).sum(1)
+        _, _, z, total = self.forward(near, ending, rows)
+        mine = np.maximum(z.reshape(-1)[self.mine(ending, beginning)].reshape(2, -1), np.float32(1e-37))
+        ending, beginning = np.log(mine / total.reshape(-1, 2).T)
+        return ending + beginning
 
     def step(self, near, ending, beginning, rate: float) -> None:
         """One step of gradient descent on a batch."""
@@ -298,9 +353,7 @@ class Model:
         *_, dh, dx = self.buffers(len(near))
         halves = z.reshape(-1, UNITS)
         halves *= (1 / total)[:, None]
-        r = np.arange(len(near))
-        z[r, ending] -= 1
-        z[r, UNITS + beginning] -= 1
+        z.reshape(-1)[self.mine(ending, beginning)] -= 1
         one, rate = np.ones(len(near), np.float32), np.float32(rate / len(near))
         np.matmul(z, w2.T, out=dh)
         w2 -= rate * (h.T @ z)
@@ -312,18 +365,35 @@ class Model:
         w1 -= rate * (x.T @ dh)
         b1 -= rate * (one @ dh)
         dx *= -8 * rate
-        places = (near * np.int32(EMBEDDING))[:, :, None] + np.arange(EMBEDDING, dtype=np.int32)
-        np.add.at(e.reshape(-1), places.reshape(-1), dx.reshape(-1))  # faster flat
+        np.add.at(e.reshape(-1), self.places(near), dx.reshape(-1))  # faster flat
 
     def score(self, a, b, tail) -> float:
         """The log probability of a text with these units and shares (or their sum)."""
+        return next(self.scores([(a, b, tail)]))
+
+    def scores(self, texts):
+        """The same of each text in turn."""
         import numpy as np
 
-        padded, total = self.padded(a, b), float(np.sum(tail))
-        for i in range(0, len(a), CHUNK):
-            j = min(i + CHUNK, len(a))
-            total += float(self.log_units(self.windows(padded, i, j), a[i:j], b[i:j]).sum(dtype=np.float64))
-        return total
+        for part in groups(texts, lambda x: len(x[0]), TOGETHER):
+            size = np.array([len(a) for a, _, _ in part])
+            wide = -(-size // ROW_STEP) * ROW_STEP
+            first = wide.cumsum() - wide
+            rows = -(-int(wide.sum()) // BLOCK) * BLOCK
+            here = np.arange(size.sum()) + np.repeat(first - size.cumsum() + size, size)  # of each word among the rows; the others have a mark, and are not read
+            padded = np.concatenate([self.padded(x, y) for x, y, _ in part])
+            at, a, b = np.full(rows, SIDE), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+            at[here] = np.arange(size.sum()) + np.repeat(SIDE * (2 * np.arange(len(part)) + 1), size)
+            a[here], b[here] = (np.concatenate([x[k] for x in part]) for k in (0, 1))
+            logs = np.zeros(rows)
+            for i in range(0, rows, BLOCK):
+                s = slice(i, i + BLOCK)
+                near = padded[at[s, None] + np.array([d for d in range(-SIDE, SIDE + 1) if d])].reshape(BLOCK, -1)
+                logs[s] = self.log_units(near, a[s], b[s], ROW_STEP)
+            sums, full = np.zeros(len(part)), size > 0
+            if full.any():
+                sums[full] = np.add.reduceat(logs[here], (size.cumsum() - size)[full])
+            yield from (float(np.sum(x[2])) + s for x, s in zip(part, sums.tolist()))
 
 
 def _units(counts: DataFrame, top: list[tuple[bytes, int]]) -> Units:
@@ -348,7 +418,7 @@ def _cells(counts: DataFrame, units: Units, ids: dict) -> DataFrame:
         square = UNITS * UNITS
         out = np.zeros(2 * square + STATES * SYMBOLS, np.int64)
         for batch in batches:
-            words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            words, n = listed(batch.column(0)), batch.column(1).to_numpy()
             a, b, end_taken, begin_taken = u.of(words)
             for i, w in enumerate(words):
                 if w in u.whole:
@@ -374,7 +444,7 @@ def _gains(rest: DataFrame, lex: Lexicon) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            words = b.column(0).to_pylist()
+            words = listed(b.column(0))
             if words:
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sent.value.gains(words, b.column(1).to_numpy()), pa.int64())], ["w", "gain"])
 
@@ -405,18 +475,22 @@ def lexicon(docs: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Lexicon | No
     return lex, int(cells.sum()), gains
 
 
-def coded(lex: Lexicon, texts, tails: bool = False):
-    """Units (log shares, and words beyond the vocabulary) of each text in turn, looked up for `TEXTS` of them together; None for one without words."""
-    texts = iter(texts)
-    while part := [words_of(t) for t in islice(texts, TEXTS)]:
-        a, b, tail, rare = lex.looked_up([w for x in part for w in x], tails)
-        rare = rare.tolist() if tails else ()
-        at = seen = 0
-        for x in part:
-            s = slice(at, at := at + len(x))
-            upto = bisect_left(rare, at, seen)
-            yield (a[s], b[s], tail[s] if tails else None, [x[i - s.start] for i in rare[seen:upto]]) if x else None
-            seen = upto
+def coded(lex: Lexicon | None, texts, tails: bool = False):
+    """For some texts at a time: their numbers of words; units (and log shares) of their words in turn; and their words beyond the vocabulary, times of each and how many are named up to each text's end. Without a lexicon, texts count as empty."""
+    import numpy as np
+
+    for part in groups(texts, _characters, LOOKED_UP):
+        words, at, n = distinct_words(part if lex else [None] * len(part))
+        a, b, tail, rare = lex.looked_up(listed(words), tails) if lex else (np.zeros(0, np.int64),) * 4
+        if not tails:
+            yield n, a[at], b[at], None, None
+            continue
+        beyond = np.zeros(len(words), bool)
+        beyond[rare] = True
+        here = np.flatnonzero(beyond[at])
+        named, times = np.unique(np.repeat(np.arange(len(n)), n)[here] * max(len(words), 1) + at[here], return_counts=True)
+        text, word = np.divmod(named, max(len(words), 1))
+        yield n, a[at], b[at], tail[at], (words.take(word), times, np.searchsorted(text, np.arange(len(n)), "right"))
 
 
 def encoded(docs: DataFrame, lex: Lexicon | None, rounds: int = 1) -> DataFrame:
@@ -424,26 +498,19 @@ def encoded(docs: DataFrame, lex: Lexicon | None, rounds: int = 1) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(lex)
 
     def run(batches):
-        from collections import Counter
-
         import numpy as np
         import pyarrow as pa
 
         working("lm_score")
-        lex = sent.value
-        for b in batches:
-            n, share, units, words, times, ends = [], [], [], [], [], [0]
-            for text in coded(lex, b.column(1).to_pylist(), tails=True) if lex else repeat(None, b.num_rows):
-                rare = Counter(text[3]) if text else {}
-                n.append(len(text[0]) if text else 0)
-                share.append(float(text[2].sum()) if text else 0.0)
-                units.append(np.concatenate(text[:2]).astype(np.uint8).tobytes() if text else b"")
-                words += rare.keys()
-                times += rare.values()
-                ends.append(len(words))
-            ends = pa.array(np.array(ends, np.int32))
-            columns = [pa.array(n, pa.int64()), pa.array(share, pa.float64()), pa.array(units, pa.binary()), pa.ListArray.from_arrays(ends, pa.array(words, pa.binary())), pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *columns], ["doc_id", "h", "n_words", "share", "units", "words", "times"])
+        for batch in batches:
+            done = 0
+            for n, a, b, tail, (words, times, named) in coded(sent.value, batch.column(1).to_pylist(), tails=True):
+                ends = n.cumsum()
+                share = [float(tail[i:j].sum()) for i, j in zip((ends - n).tolist(), ends.tolist())]
+                named = pa.array(np.append(0, named), pa.int32())
+                columns = [pa.array(n, pa.int64()), pa.array(share, pa.float64()), _units_bytes(n, a, b), pa.ListArray.from_arrays(named, words), pa.ListArray.from_arrays(named, pa.array(times, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(n)), batch.column(2).slice(done, len(n)), *columns], ["doc_id", "h", "n_words", "share", "units", "words", "times"])
+                done += len(n)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("h"))
     made = rows.mapInArrow(run, "doc_id long, h long, n_words long, share double, units binary, words array<binary>, times array<int>")
@@ -451,6 +518,18 @@ def encoded(docs: DataFrame, lex: Lexicon | None, rounds: int = 1) -> DataFrame:
     return staged(out, "encoded", "round")
 
 
+def _units_bytes(n, a, b):
+    """An Arrow array with the units of each text's n words: endings, then beginnings."""
+    import numpy as np
+    import pyarrow as pa
+
+    ends = n.cumsum()
+    at = np.arange(len(a)) + np.repeat(ends - n, n)
+    out = np.empty(2 * len(a), np.uint8)
+    out[at], out[at + np.repeat(n, n)] = a, b
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.append(0, 2 * ends).astype(np.int32)), pa.py_buffer(out)])
+
+
 def units_of(x: bytes):
     """Endings and beginnings of a text from its bytes."""
     import numpy as np
@@ -461,7 +540,7 @@ def units_of(x: bytes):
 
 def train(m: Model, lex: Lexicon, texts) -> int:
     """Train on every word of the texts; the number of words."""
-    return train_on(m, (text[:2] for text in coded(lex, texts) if text))
+    return train_on(m, ((a[j - k : j], b[j - k : j]) for n, a, b, *_ in coded(lex, texts) for k, j in zip(n.tolist(), n.cumsum().tolist()) if k))
 
 
 def train_on(m: Model, texts) -> int:
@@ -485,9 +564,10 @@ def _steps(m: Model, near: list, want: list) -> int:
 
     near, a, b = np.concatenate(near), np.concatenate([x for x, _ in want]), np.concatenate([y for _, y in want])
     order = np.random.default_rng(len(a)).permutation(len(a))  # words of a text apart
+    near, a, b = near[order], a[order], b[order]
     for i in range(0, len(a), BATCH):
-        at = order[i : i + BATCH]
-        m.step(near[at], a[at], b[at], RATE * len(at) / BATCH)
+        j = min(i + BATCH, len(a))
+        m.step(near[i:j], a[i:j], b[i:j], RATE * (j - i) / BATCH)
     return len(a)
 
 
@@ -550,7 +630,9 @@ def _scores(rows: DataFrame, fitted) -> DataFrame:
 
         m = sent.value
         for b in batches:
-            total = [round(m.score(*units_of(x), s), 5) if x else 0.0 for x, s in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
+            units = b.column(3).to_pylist()
+            made = m.scores((*units_of(x), s) for x, s in zip(units, b.column(4).to_pylist()) if x) if m else ()
+            total = [round(next(made), 5) if x else 0.0 for x in units]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(total, pa.float64())], ["row", "doc_id", "n_words", "total"])
 
     made = rows.select("row", "doc_id", "n_words", "units", "share").mapInArrow(run, "row long, doc_id long, n_words long, total double")
