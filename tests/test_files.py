@@ -9,6 +9,7 @@ import sqlite3
 import tarfile
 from pathlib import Path
 
+import oracle
 import pytest
 from pyspark.sql import functions as F
 from tables import DATA
@@ -17,7 +18,8 @@ from tidemark import file_sink, sinks
 from tidemark import schemas as S
 from tidemark.functions import dates, patterns
 from tidemark.operators import cluster, videos
-from tidemark.sources import browser, documents, exports, lists, takeout
+from tidemark.plans import registry
+from tidemark.sources import browser, documents, exports, lists, openers, takeout
 from tidemark.streaming import incremental
 
 
@@ -336,3 +338,25 @@ def test_late_views_change_no_session_and_are_counted(spark, tmp_path):
     found = sorted((r.viewer, str(r.start)[11:16], str(r.end)[11:16], r.views, r.first_video, r.last_video) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert found == [("a", "00:00", "00:20", 2, "1", "2"), ("a", "09:00", "09:00", 1, "3", "3"), ("b", "09:10", "09:10", 1, "4", "4")]
     assert late[:2] == [0, 0] and late[2] == 2
+
+
+ODD_TEXTS = ("Two words.\nVi", "12", "One.\niv\nTwo.", "re-\njoined", "Head\na b\f" * 6, "a\u00a0b\x0bc\x85d", "\u00ad x", "a\r\nb\rc", "+/ \U0001f600", "", " \n", None)
+
+
+@pytest.mark.parametrize(("name", "ids"), [("document_kinds", (-9, -8, -7, None)), ("document_files", ()), ("plain_files", ())])
+def test_words_and_records_of_odd_documents_are_those_of_sql(spark, tmp_path, monkeypatch, name, ids):
+    """Lines that look like page numbers, page heads, hyphens at line ends, empty files, and what is no file."""
+    rows = [(100 * (4 * n + k) + k, x) for n, x in enumerate(ODD_TEXTS) for k in range(4) if x is not None or name == "document_kinds"] + [(i, "A b c d.") for i in ids]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    sql = registry.ORACLES[name].replace(" FROM documents", f" FROM '{tmp_path}/documents.parquet/*.parquet'")
+    monkeypatch.setattr(oracle, "TABLES", [])
+    oracle.check(spark, registry.QUERIES[name], sql, str(tmp_path))
+
+
+def test_files_without_a_byte_are_read(spark, tmp_path):
+    names = {"a b+c%20\u00e9.txt": b"", "e.pdf": b"", "q.txt": b"x", "_h.txt": b""}
+    for n, x in names.items():
+        (tmp_path / n).write_bytes(x)
+    for path in (str(tmp_path), f"file://{tmp_path}/*"):
+        assert sorted((r.path, bytes(r.content)) for r in openers.whole_files(spark, path).collect()) == sorted((f"file:{tmp_path}/{n}", x) for n, x in names.items() if n[0] != "_")
+    assert documents.text_files(spark, str(tmp_path / "a b*")).first().text == ""

@@ -77,11 +77,12 @@ def extractor(path) -> Column:
     return out
 
 
-def records(files: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def records(files: DataFrame, min_words: int = MIN_WORDS, *more: Column) -> DataFrame:
     """Document records and their text.
 
     files: path, content_sha (hex), text (extracted; null on failure), error (null, or what went wrong). A file of
     unknown kind has title, author and checksum and an error; one that could not be read has only the error.
+    more: further columns, of what files has.
     """
     leaf = F.substring_index("path", "/", -1)
     stem = F.regexp_replace(leaf, r"(?s)^(.+)\.[^.]*$", "$1")
@@ -106,6 +107,7 @@ def records(files: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "status",
         F.when(F.col("status") == "ok", F.concat(F.lit("transcripts/"), X.doc_slug("title"), F.lit(".txt"))).alias("transcript"),
         F.when(F.col("status") == "ok", F.col("body")).alias("body"),
+        *more,
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import importable, small_batches
-from .openers import in_few_tasks
+from .openers import whole_files
 
 Extractor = Callable[[bytes], str]
 
@@ -71,11 +71,10 @@ def extracted(files: DataFrame, extractors: dict[str, Extractor] | None = None)
 
 
 def read_documents(spark: SparkSession, path: str, extractors: dict[str, Extractor] | None = None) -> DataFrame:
-    files = in_few_tasks(spark.read.format("binaryFile").load(path)).select("path", "content")
-    return extracted(files, extractors)
+    return extracted(whole_files(spark, path), extractors)
 
 
 def text_files(spark: SparkSession, path: str) -> DataFrame:
     """Plain text alone, without Python: path, content_sha, text."""
-    rows = in_few_tasks(spark.read.format("binaryFile").load(path))
+    rows = whole_files(spark, path)
     return rows.select("path", F.sha2("content", 256).alias("content_sha"), X.universal_newlines(X.decoded("content")).alias("text"), F.lit(None).cast("string").alias("error"))

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BLOCK = 1 << 20
 #: Tasks for each core that small files are dealt to, and bytes that are worth a task beyond those.
@@ -30,6 +31,29 @@ def in_few_tasks(rows: DataFrame) -> DataFrame:
     return rows.coalesce(max(TASKS * rows.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES))
 
 
+def whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """path and content of the files at a path or pattern, also of those without a byte, which Spark's reader passes by.
+
+    Names of files come to the driver only if fewer are read than are listed.
+    """
+    import pyarrow as pa
+
+    found = spark.read.format("binaryFile").load(path)
+    rows = in_few_tasks(found).select("path", "content")
+    names = found._jdf.inputFiles()
+    if len(names) == in_few_tasks(found).count():
+        return rows
+    # in one call, as inputFiles() makes one for each file; addresses have no line ends
+    names = spark.createDataFrame(pa.table({"value": spark.sparkContext._jvm.org.apache.hadoop.util.StringUtils.join("\n", names).split("\n")}))
+
+    def address(c):  # file:/a and file:///a are one file
+        return F.regexp_replace(c, "^([^:/]+):/+", "$1:/").alias("at")
+
+    read = in_few_tasks(found).select(address(F.col("_metadata.file_path")))
+    empty = names.select(address("value")).join(read, "at", "left_anti")
+    return rows.unionByName(empty.select(F.url_decode(F.replace("at", F.lit("+"), F.lit("%2B"))).alias("path"), F.lit(b"").alias("content")))
+
+
 def put(spark: SparkSession, path: str, content: bytes) -> None:
     """Write a small file from the driver."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
